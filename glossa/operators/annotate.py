@@ -60,11 +60,13 @@ def annotate(
     outcomes: DataFrame,
     key: str = "vlm_content_key",
     columns: Callable[..., dict[str, Column]] | None = None,
+    drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add annotation columns; rows without a second-pass outcome get blanks.
 
     ``outcomes`` has one row per key: ``k``, ``resp``, ``err``, ``model_used`` and the
-    typed ``reply``. ``columns`` is an own builder, see ``glossa.hooks``.
+    typed ``reply``. ``columns`` is an own builder, see ``glossa.hooks``; it sees the
+    whole row but for ``drop``.
     """
     second = outcomes.select(
         F.col("k").alias(key),
@@ -80,7 +82,7 @@ def annotate(
     else:
         made = columns(
             reply=reply,
-            row=row_metadata(df, drop=("analysis", "media_fname")),
+            row=F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in drop]),
             analysis=F.col("analysis"),
             key=F.col(key),
             media=F.col("media_fname"),

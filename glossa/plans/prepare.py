@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from glossa.config import JobConfig
 from glossa.functions.text import download_error, mime_type
@@ -95,7 +96,9 @@ def prepare(
 ) -> Queue | None:
     """Build and write the queue; None when every row is already done."""
     rows = queue_rows(posts, processed, job)
-    source = [c for c in rows.columns if c != job.ordinal or c in posts.columns]
+    # A struct is the reader's own numbering (sources.posts.input_order), not a user column.
+    numbered = isinstance(posts.schema[job.ordinal].dataType, StructType)
+    source = [c for c in rows.columns if c != job.ordinal or not numbered]
     if job.shuffle_batch:
         order = shuffle_order(KEY, job.ordinal, job.shuffle_seed)
     else:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from glossa.config import JobConfig
 from glossa.functions.prompts import media_prompt, url_prompt
-from glossa.hooks import HOOK_ERROR  # noqa: F401  (part of the public error texts)
 from glossa.operators.annotate import annotate, annotation_column_names, second_pass_requests
 from glossa.operators.gate import annotation_gate
 from glossa.operators.queue import KEY
@@ -91,7 +90,7 @@ def second_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> DataF
     )
     outcomes = _score(wanted, job, 2, F.col("prompt"), client)
     replies = with_analysis(outcomes, schema_spec(job.annotation)).withColumnRenamed("analysis", "reply")
-    return annotate(rows, replies, POS, job.annotation_columns)
+    return annotate(rows, replies, POS, job.annotation_columns, drop=work)
 
 
 def _stop_position(rows: DataFrame, job: JobConfig) -> int | None:
