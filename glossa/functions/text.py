@@ -15,6 +15,10 @@ WHITESPACE = (
 # Fixed value: the separator between key parts.
 KEY_SEPARATOR = "\x1f"
 
+# The word that means "missing", and hosts whose URLs are rewritten.
+NAN_WORD = r"\A(?i:nan)\z"
+X_HOSTS = r"(?i)x\.com|twitter\.com"
+
 # Media type per file extension.
 MIME_BY_EXTENSION = {
     ".mp4": "video/mp4",
@@ -49,20 +53,24 @@ def strip(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Stripped text; null, NaN and the word ``nan`` in any case become ``''``."""
-    s = strip(F.coalesce(c.cast("string"), F.lit("")))
-    return F.when(F.lower(s) == "nan", "").otherwise(s)
+    return F.regexp_replace(strip(F.coalesce(c.cast("string"), F.lit(""))), NAN_WORD, "")
+
+
+def _rewrite_status(u: Column) -> Column:
+    # The argument appears twice only: a longer chain of WHENs would copy the whole
+    # cleaning expression into each branch and outgrow generated code.
+    path = F.when(u.rlike(X_HOSTS), "/status/").otherwise("/statuses/")
+    return F.replace(u, F.lit("/statuses/"), path)
 
 
 def normalize_url(c: Column) -> Column:
     """Stripped URL; ``/statuses/`` becomes ``/status/`` where the text mentions the X hosts."""
-    u = strip(F.coalesce(c, F.lit("")))
-    low = F.lower(u)
-    rewrite = u.contains("/statuses/") & (low.contains("x.com") | low.contains("twitter.com"))
-    return F.when(rewrite, F.replace(u, F.lit("/statuses/"), F.lit("/status/"))).otherwise(u)
+    return _rewrite_status(strip(F.coalesce(c, F.lit(""))))
 
 
 def clean_url(c: Column) -> Column:
-    return normalize_url(clean_text(c))
+    """``normalize_url`` of ``clean_text``."""
+    return _rewrite_status(clean_text(c))
 
 
 def content_key(parts: list[Column]) -> Column:
@@ -70,10 +78,14 @@ def content_key(parts: list[Column]) -> Column:
     return F.sha2(F.concat_ws(KEY_SEPARATOR, *[clean_url(p) for p in parts]), 256)
 
 
-def media_save_name(url: Column, role: str) -> Column:
-    """Folder name of a URL in the media store; ``post`` pages get their own suffix."""
-    digest = F.substring(F.sha2(F.concat(F.lit(f"{role}\n"), strip(url)), 256), 1, 16)
-    return F.concat(digest, F.lit("_post")) if role == "post" else digest
+def media_save_name(url: Column, role: Column | str) -> Column:
+    """Folder name of a URL in the media store; ``post`` pages get their own suffix.
+
+    Null where the URL or the role is.
+    """
+    role = F.lit(role) if isinstance(role, str) else role
+    digest = F.sha2(F.concat(role, F.lit("\n"), strip(url)), 256)
+    return F.concat(F.substring(digest, 1, 16), F.when(role == "post", "_post").otherwise(""))
 
 
 def url_host(c: Column) -> Column:
@@ -106,9 +118,8 @@ def mime_type(path: Column) -> Column:
 
 def shorten(c: Column, limit: int) -> Column:
     """Stripped text, cut to ``limit`` characters ending in ``...``."""
-    t = strip(F.coalesce(c, F.lit("")))
-    cut = F.concat(F.substring(t, 1, limit - 3), F.lit("..."))
-    return F.when(F.length(t) > limit, cut).otherwise(t)
+    too_long = rf"(?s)\A(.{{{limit - 3}}}).{{4,}}\z"
+    return F.regexp_replace(strip(F.coalesce(c, F.lit(""))), too_long, "$1...")
 
 
 def clip_text(c: Column, limit: int = CLIP_LIMIT) -> Column:

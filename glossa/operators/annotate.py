@@ -31,28 +31,36 @@ def apply_model_and_error(columns: dict[str, Column], reply: Column, error: Colu
     return out
 
 
-def second_pass_requests(
+def _url(df: DataFrame) -> Column:
+    return first_url(*[F.col(c) if c in df.columns else F.lit("") for c in ("post_url", "media_url")])
+
+
+def second_pass_rows(df: DataFrame, gate: Column) -> DataFrame:
+    """Gated rows with the URL of the call; rows with neither media nor URL are left out.
+
+    Needs ``analysis`` and ``media_fname``.
+    """
+    rows = df.filter(gate).withColumn("call_url", _url(df))
+    return rows.filter(F.col("media_fname").isNotNull() | F.col("call_url").isNotNull())
+
+
+def second_prompt(
     df: DataFrame,
-    gate: Column,
     template: str | None,
     key: str = "vlm_content_key",
-    prompt: Callable[[Column, Column, Column], Column] | None = None,
+    own: Callable[[Column, Column, Column], Column] | None = None,
     drop: tuple[str, ...] = (),
-) -> DataFrame:
-    """Gated rows with their prompt. Rows with neither media nor URL are left out.
+) -> Column:
+    """Second-pass prompt over the columns of ``df``: an own builder's, else the template's.
 
-    Needs ``analysis`` and ``media_fname``; adds ``prompt`` and ``call_url``.
+    ``own`` gets key, analysis and row metadata. ``drop`` are columns that are not metadata.
     """
-    url = first_url(*[F.col(c) if c in df.columns else F.lit("") for c in ("post_url", "media_url")])
-    metadata = row_metadata(df, drop=("analysis", "media_fname", *drop))
-    if prompt is not None:
-        text = prompt(F.col(key), F.col("analysis"), metadata)
-    elif template is not None:
-        text = annotation_prompt(template, F.col(key), F.col("analysis"), metadata, url)
-    else:
+    metadata = row_metadata(df, drop=("analysis", *drop))
+    if own is not None:
+        return own(F.col(key), F.col("analysis"), metadata)
+    if template is None:
         raise ValueError("the second pass needs a template or a prompt builder")
-    rows = df.filter(gate).withColumn("prompt", text).withColumn("call_url", url)
-    return rows.filter(F.col("media_fname").isNotNull() | F.col("call_url").isNotNull())
+    return annotation_prompt(template, F.col(key), F.col("analysis"), metadata, _url(df))
 
 
 def annotate(

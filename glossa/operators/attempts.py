@@ -45,13 +45,17 @@ def wait_seconds(policy: RetryPolicy) -> Column:
     )
 
 
-def _chosen(final: Column, where: Column | None = None) -> Column:
+def with_final(log: DataFrame, policy: RetryPolicy) -> DataFrame:
+    return log.withColumn("_final", is_final(policy))
+
+
+def _chosen(where: Column | None = None) -> Column:
     """First final attempt, else the last one present, among rows where ``where`` holds.
 
     Comparing whole structs makes the choice the same however often a task was re-run.
     """
     row = F.struct("attempt", "resp", "err")
-    use = final if where is None else final & where
+    use = F.col("_final") if where is None else F.col("_final") & where
     present = F.lit(True) if where is None else where
     return F.coalesce(F.min(F.when(use, row)), F.max(F.when(present, row)))
 
@@ -61,7 +65,7 @@ def resolve_attempts(log: DataFrame, policy: RetryPolicy, by: list[str]) -> Data
 
     ``log`` must already carry reply errors (``with_reply_error``).
     """
-    return log.groupBy(*by).agg(_chosen(is_final(policy)).alias("_o")).select(*by, "_o.*")
+    return with_final(log, policy).groupBy(*by).agg(_chosen().alias("_o")).select(*by, "_o.*")
 
 
 def planned_wait(log: DataFrame, policy: RetryPolicy, by: list[str]) -> DataFrame:
@@ -75,7 +79,7 @@ def planned_wait(log: DataFrame, policy: RetryPolicy, by: list[str]) -> DataFram
     waits = [F.max(F.when(F.col("attempt") == i, F.col("_wait"))).alias(f"_w{i}") for i in slots]
     spent = [F.when(F.col("_last") >= i, F.coalesce(f"_w{i}", F.lit(0.0))).otherwise(0.0) for i in slots]
     return (
-        log.withColumn("_final", is_final(policy))
+        with_final(log, policy)
         .withColumn("_wait", wait_seconds(policy))
         .groupBy(*by)
         .agg(final_at.alias("_last"), *waits)
@@ -91,10 +95,9 @@ def decide(
     Keys called on the primary model fall back only after an exhausted, not daily, error;
     keys called on the fallback model alone keep its outcome. One aggregation covers both.
     """
-    final = is_final(policy)
     on_primary, on_fallback = F.col("model") == primary, F.col("model") == fallback
-    both = log.groupBy(by).agg(
-        _chosen(final, on_primary).alias("p"), _chosen(final, on_fallback).alias("f")
+    both = with_final(log, policy).groupBy(by).agg(
+        _chosen(on_primary).alias("p"), _chosen(on_fallback).alias("f")
     )
     p_err = F.col("p.err")
     decision = (

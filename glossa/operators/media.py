@@ -31,19 +31,13 @@ def dispatch_url(df: DataFrame) -> DataFrame:
     to the media URL.
     """
     def url(column: str) -> Column:
-        return clean_url(F.col(column)) if column in df.columns else F.lit("")
+        return F.nullif(clean_url(F.col(column)), F.lit("")) if column in df.columns else F.lit(None)
 
+    role = F.when(F.col("_post").isNotNull(), "post").when(F.col("_media").isNotNull(), "media")
     return (
-        df.withColumn("_post", url("post_url"))
-        .withColumn("_media", url("media_url"))
-        .withColumn("call_url", F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("_post", "_media")]))
-        .withColumn("url_role", F.when(F.col("_post") != "", "post").when(F.col("_media") != "", "media"))
-        .withColumn(
-            "save_name",
-            F.when(F.col("url_role") == "post", media_save_name(F.col("call_url"), "post")).when(
-                F.col("url_role") == "media", media_save_name(F.col("call_url"), "media")
-            ),
-        )
+        df.withColumns({"_post": url("post_url").cast("string"), "_media": url("media_url").cast("string")})
+        .withColumns({"call_url": F.coalesce("_post", "_media"), "url_role": role})
+        .withColumn("save_name", media_save_name(F.col("call_url"), F.col("url_role")))
         .drop("_post", "_media")
     )
 

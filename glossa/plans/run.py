@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.config import JobConfig
 from glossa.functions.prompts import media_prompt, url_prompt
-from glossa.operators.annotate import annotate, annotation_column_names, second_pass_requests
+from glossa.operators.annotate import annotate, annotation_column_names, second_pass_rows, second_prompt
+from glossa.operators.attempts import decide
 from glossa.operators.gate import annotation_gate
 from glossa.operators.queue import KEY
 from glossa.operators.quota import quota_flag
@@ -22,7 +23,7 @@ from glossa.operators.results import column_order, project_to, result_columns, r
 from glossa.plans.prepare import ROUTE_COLUMNS, Queue, prepare
 from glossa.plans.scoring import ClientFactory, score
 from glossa.schema_spec import schema_spec
-from glossa.session import configure, write_scratch
+from glossa.session import configure, write_observed
 from glossa.sinks.tables import annotation_rows, append_annotations, append_results
 from glossa.sources.media import media_manifest
 from glossa.sources.posts import read_posts
@@ -40,95 +41,88 @@ class RunReport:
     stopped: bool
 
 
-def call_requests(rows: DataFrame, job: JobConfig, number: int, prompt) -> DataFrame:
-    """Call requests: media on the primary model, URL-only on the fallback model."""
-    has_media = F.col("media_fname").isNotNull()
+def call_requests(rows: DataFrame, number: int, prompt: Column) -> DataFrame:
+    """Request columns: the prompt for media, or for the URL alone."""
+    has_media, url = F.col("media_fname").isNotNull(), F.col("call_url")
     return rows.select(
-        F.col(POS).alias("k"),
+        "k",
         F.lit(number).alias("pass"),
-        F.when(has_media, job.primary_model).otherwise(job.fallback_model).alias("model"),
-        F.when(has_media, media_prompt(prompt, F.col("call_url")))
-        .otherwise(url_prompt(prompt, F.col("call_url")))
-        .alias("prompt"),
+        "model",
+        "attempt",
+        F.when(has_media, media_prompt(prompt, url)).otherwise(url_prompt(prompt, url)).alias("prompt"),
         "call_url",
-        F.when(has_media, F.concat_ws("/", F.col("save_name"), F.col("media_fname"))).alias("media_path"),
+        F.when(has_media, F.concat_ws("/", "save_name", "media_fname")).alias("media_path"),
         "mime",
+        "wait_sec",
     )
 
 
-def _score(rows: DataFrame, job: JobConfig, number: int, prompt, client: ClientFactory) -> DataFrame:
-    spark = rows.sparkSession
-    partitions = job.score_partitions or spark.sparkContext.defaultParallelism
-    outcomes, _ = score(
-        call_requests(rows, job, number, prompt), client, job.retry,
-        job.primary_model, job.fallback_model, partitions,
+def _outcomes(rows: DataFrame, job: JobConfig, number: int, prompt: Column, client: ClientFactory) -> DataFrame:
+    """Media is called on the primary model, a URL alone on the fallback model."""
+    model = F.when(F.col("media_fname").isNotNull(), job.primary_model).otherwise(job.fallback_model)
+    log = score(
+        rows.withColumn("model", model).withColumnRenamed(POS, "k"),
+        lambda spread: call_requests(spread, number, prompt),
+        client,
+        job.retry,
+        job.primary_model,
+        job.fallback_model,
+        job.score_partitions or rows.sparkSession.sparkContext.defaultParallelism,
     )
-    return outcomes
+    return decide(log, job.retry, job.primary_model, job.fallback_model)
 
 
-def first_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> DataFrame:
-    """Rows with ``analysis``, ``err`` and ``model_used``; written once."""
-    callable_rows = rows.filter(F.col("url_used") != "None")
-    outcomes = _score(callable_rows, job, 1, F.lit(job.prompt), client)
+def first_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> tuple[DataFrame, int | None]:
+    """Rows with ``analysis``, ``err`` and ``model_used``, and the position to stop at, if any."""
+    wanted = rows.filter(F.col("url_used") != "None").select(
+        POS, "call_url", "save_name", "media_fname", "mime"
+    )
+    outcomes = _outcomes(wanted, job, 1, F.lit(job.prompt), client)
     paired = rows.join(
         outcomes.select(F.col("k").alias(POS), "resp", "err", "model_used"), POS, "left"
     )
-    return write_scratch(with_analysis(paired, schema_spec(job.analysis)).drop("resp"), "first")
+    flag = quota_flag(F.col("err"), F.col("model_used"), job.primary_model)
+    stop = F.when(flag & F.lit(job.stop_on_primary_daily_quota), F.col(POS))
+    scored = with_analysis(paired, schema_spec(job.analysis)).drop("resp")
+    table, seen = write_observed(scored, "first", stop=F.min(stop))
+    return table, seen["stop"]
 
 
 def second_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> DataFrame:
     """Result rows with annotation columns."""
-    spec = schema_spec(job.analysis)
     gate = annotation_gate(
-        F.col("analysis"), spec, True, job.annotation_criteria, job.annotation_rules
+        F.col("analysis"), schema_spec(job.analysis), True, job.annotation_criteria, job.annotation_rules
     )
     work = (POS, "analysis", *ROUTE_COLUMNS)
-    # The second prompt's metadata is the row's own columns, without the route.
-    wanted = second_pass_requests(
-        rows, gate, job.annotation_template, KEY, job.annotation_prompt,
-        drop=tuple(c for c in work if c != "analysis"),
-    )
-    outcomes = _score(wanted, job, 2, F.col("prompt"), client)
+    prompt = second_prompt(rows, job.annotation_template, KEY, job.annotation_prompt, drop=work)
+    outcomes = _outcomes(second_pass_rows(rows, gate), job, 2, prompt, client)
     replies = with_analysis(outcomes, schema_spec(job.annotation)).withColumnRenamed("analysis", "reply")
     return annotate(rows, replies, POS, job.annotation_columns, drop=work)
 
 
-def _stop_position(rows: DataFrame, job: JobConfig) -> int | None:
-    if not job.stop_on_primary_daily_quota:
-        return None
-    flag = quota_flag(F.col("err"), F.col("model_used"), job.primary_model)
-    return rows.filter(flag).agg(F.min(POS)).first()[0]
-
-
 def run_queue(queue: Queue, job: JobConfig, client: ClientFactory) -> RunReport:
     """Score and append every chunk, up to the first daily quota error of the primary model."""
     spec = schema_spec(job.analysis)
     names = annotation_column_names(job.annotation_columns) if job.annotation else []
     columns = column_order(queue.source_columns, result_columns(spec, names))
+    work = tuple(c for c in (POS, "analysis", *ROUTE_COLUMNS) if c not in queue.source_columns)
     written = 0
     for start in range(0, queue.count, job.commit_rows):
         chunk = queue.ordered.slice(start, start + job.commit_rows, POS)
-        scored = first_pass(chunk, job, client)
-        stop = _stop_position(scored, job)
+        scored, stop = first_pass(chunk, job, client)
         if stop is not None:
             scored = scored.filter(F.col(POS) <= stop)
-        results = result_rows(
-            scored, queue.source_columns, spec, keep=(POS, "analysis", *_missing(ROUTE_COLUMNS, queue))
-        )
+        results = result_rows(scored, queue.source_columns, spec, keep=work)
         if job.annotation:
             results = second_pass(results, job, client)
-        committed = write_scratch(project_to(results, columns), "chunk")
+        committed, seen = write_observed(project_to(results, columns), "chunk", rows=F.count("*"))
         _append(committed, job, names)
-        written += committed.count()
+        written += seen["rows"]
         if stop is not None:
             return RunReport(queue.count, written, True)
     return RunReport(queue.count, written, False)
 
 
-def _missing(columns: tuple[str, ...], queue: Queue) -> tuple[str, ...]:
-    return tuple(c for c in columns if c not in queue.source_columns)
-
-
 def _append(rows: DataFrame, job: JobConfig, names: list[str]) -> None:
     """Results first: their keys are what a resumed run skips. Then the copies."""
     append_results(rows, job.results_path)

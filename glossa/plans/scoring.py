@@ -8,14 +8,16 @@ no plan that contains the calls is ever run twice by a second action.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.config import RetryPolicy
-from glossa.operators.attempts import decide, is_final, wait_seconds, with_reply_error
-from glossa.session import write_scratch
+from glossa.functions.errors import with_error_class
+from glossa.operators.attempts import wait_seconds, with_final, with_reply_error
+from glossa.session import write_observed
 from glossa.sources.attempts import LOG_SCHEMA
 
 # What a client sees of each request.
@@ -58,8 +60,8 @@ def per_row_client(call: Callable[[dict], Any]) -> ClientFactory:
     return factory
 
 
-def call_once(requests: DataFrame, make_client: ClientFactory, partitions: int) -> DataFrame:
-    """Log rows for ``requests``: one call each, spread evenly whatever the keys."""
+def call_once(requests: DataFrame, make_client: ClientFactory) -> DataFrame:
+    """Log rows for ``requests``: one call each, one client per partition."""
 
     def run(batches: Iterator) -> Iterator:
         client = make_client()
@@ -70,55 +72,61 @@ def call_once(requests: DataFrame, make_client: ClientFactory, partitions: int)
             log["err"] = list(answer["err"])
             yield log
 
-    wanted = requests.select(*REQUEST_COLUMNS).repartition(partitions, "k")
-    return wanted.mapInPandas(run, LOG_SCHEMA)
-
-
-def _rounds(
-    requests: DataFrame, make_client: ClientFactory, policy: RetryPolicy, partitions: int
-) -> list[DataFrame]:
-    """Score until every request has a final attempt; returns the written rounds."""
-    done: list[DataFrame] = []
-    todo = requests.withColumn("attempt", F.lit(0)).withColumn("wait_sec", F.lit(0.0))
-    for attempt in range(policy.max_attempts):
-        log = with_reply_error(write_scratch(call_once(todo, make_client, partitions), "calls"))
-        done.append(log)
-        again = log.filter(~is_final(policy)).select("k", wait_seconds(policy).alias("wait_sec"))
-        if again.isEmpty():
-            break
-        todo = requests.withColumn("attempt", F.lit(attempt + 1)).join(again, "k")
-    return done
+    return requests.select(*REQUEST_COLUMNS).mapInPandas(run, LOG_SCHEMA)
+
+
+def with_next(log: DataFrame, policy: RetryPolicy, primary: str, fallback: str) -> DataFrame:
+    """Add what each attempt leads to: the same model again, the fallback, or nothing.
+
+    ``next_model`` is null where the row is done. Decided row by row, without a shuffle.
+    """
+    turn = F.col("exhausted") & ~F.col("daily") & (F.col("model") == primary) & F.lit(primary != fallback)
+    again = ~F.col("_final")
+    return (
+        with_error_class(with_final(log, policy))
+        .withColumns(
+            {
+                "next_model": F.when(again, F.col("model")).when(turn, F.lit(fallback)),
+                "next_attempt": F.when(again, F.col("attempt") + 1).when(turn, F.lit(0)),
+                "wait_sec": F.when(again, wait_seconds(policy)).otherwise(0.0),
+            }
+        )
+        .select(*log.columns, "next_model", "next_attempt", "wait_sec")
+    )
 
 
 def score(
-    requests: DataFrame,
+    rows: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
     make_client: ClientFactory,
     policy: RetryPolicy,
     primary: str,
     fallback: str,
     partitions: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Call the model for every request, then the fallback where the primary was exhausted.
+) -> DataFrame:
+    """Call the model for every row until nothing is left to retry; returns the attempt log.
 
-    ``requests`` has a unique ``k`` and the ``model`` to start with. Returns the outcomes
-    (``decide``) and the full attempt log.
+    ``rows`` has a unique ``k`` and the ``model`` to start with; ``build`` adds the request
+    columns. It runs after the rows are spread, so prompts are never shuffled. Each round
+    holds only the rows the one before left open, at most twice the allowed attempts.
     """
-    logs = _rounds(requests, make_client, policy, partitions)
-    first = _union(logs)
-    if primary != fallback:
-        turned = decide(first, policy, primary, fallback).filter("decision = 'fallback'").select("k")
-        second = requests.join(turned, "k", "left_semi").withColumn("model", F.lit(fallback))
-        if not turned.isEmpty():
-            logs += _rounds(second, make_client, policy, partitions)
-    log = _union(logs)
-    return decide(log, policy, primary, fallback), log
-
-
-def _union(logs: list[DataFrame]) -> DataFrame:
-    out = logs[0]
-    for log in logs[1:]:
-        out = out.unionByName(log)
-    return out
+    logs: list[DataFrame] = []
+    todo = rows.withColumns({"attempt": F.lit(0), "wait_sec": F.lit(0.0)})
+    for _ in range(2 * policy.max_attempts):
+        spread = build(todo.repartition(partitions, "k"))
+        answered = with_reply_error(call_once(spread, make_client))
+        log, seen = write_observed(
+            with_next(answered, policy, primary, fallback), "calls",
+            open_rows=F.count("next_model"),
+        )
+        logs.append(log)
+        if not seen["open_rows"]:
+            break
+        following = log.filter("next_model is not null").select(
+            "k", F.col("next_model").alias("model"), F.col("next_attempt").alias("attempt"), "wait_sec"
+        )
+        todo = rows.drop("model").join(following, "k")
+    return reduce(DataFrame.unionByName, logs)
 
 
 def stub_client(daily_after: int | None = None) -> ClientFactory:

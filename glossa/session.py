@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings that change results; the rest of the session is the caller's.
 RESULT_CONF = {
@@ -41,14 +41,23 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch folder, removed when the driver's JVM ends."""
     path = f"{scratch_root(spark)}/glossa-{label}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, where = _file_system(spark, path)
     # deleteOnExit ignores paths that do not exist yet.
-    fs.mkdirs(jpath)
-    fs.deleteOnExit(jpath)
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
     return path
 
 
@@ -62,3 +71,11 @@ def write_scratch(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def write_observed(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``write_scratch`` that also returns aggregates over the rows, taken during the write."""
+    seen = Observation()
+    named = [value.alias(name) for name, value in metrics.items()]
+    table = write_scratch(df.observe(seen, *named), label)
+    return table, seen.get

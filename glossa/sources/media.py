@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossa.session import path_exists
+
 MANIFEST_SCHEMA = "save_name string, fname string, size long, path string"
 
 
 def media_manifest(spark: SparkSession, media_dir: str) -> DataFrame:
     """Files of ``<dir>/<save name>/<file>`` with their size; contents are not read."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(media_dir)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], MANIFEST_SCHEMA)
-        raise
+    if not path_exists(spark, media_dir):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(media_dir)
     where = r"([^/]+)/([^/]+)$"
     return files.select(
         F.regexp_extract("path", where, 1).alias("save_name"),

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.operators.queue import KEY, distinct_keys
+from glossa.session import path_exists
 from glossa.sources.posts import read_csv
 
-_NO_KEYS = f"{KEY} string"
-
 
 def is_csv(path: str) -> bool:
     return path.rstrip("/").endswith(".csv")
@@ -26,18 +26,12 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
 
 def read_results(spark: SparkSession, path: str) -> DataFrame | None:
     """All results by column name, columns missing from older files null; None if there are none."""
-    try:
-        if not is_csv(path):
-            return spark.read.option("mergeSchema", "true").parquet(path)
-        parts = [read_csv(spark, v, ordinal=None) for v in _versions(spark, path)]
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    out = None
-    for part in parts:
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    if not path_exists(spark, path):
+        return None
+    if not is_csv(path):
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    parts = [read_csv(spark, version, ordinal=None) for version in _versions(spark, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
 
 def processed_keys(spark: SparkSession, path: str, retry_errors: bool = False) -> DataFrame:
@@ -46,18 +40,14 @@ def processed_keys(spark: SparkSession, path: str, retry_errors: bool = False) -
     Failed rows count as done; with ``retry_errors`` only keys with a good row do. From
     Parquet only the key (and error) column is read.
     """
-    empty = spark.createDataFrame([], _NO_KEYS)
-    try:
-        if is_csv(path):
-            results = read_results(spark, path)
-        else:
-            results = spark.read.schema(f"{_NO_KEYS}, vlm_error string").parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return empty
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], f"{KEY} string")
+    if is_csv(path):
+        results = read_results(spark, path)
+    else:
+        results = spark.read.schema(f"{KEY} string, vlm_error string").parquet(path)
     if results is None or KEY not in results.columns:
-        return empty
+        return spark.createDataFrame([], f"{KEY} string")
     if retry_errors and "vlm_error" in results.columns:
         results = results.filter(F.col("vlm_error").isNull())
     return distinct_keys(results)

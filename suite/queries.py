@@ -11,12 +11,12 @@ from glossa.config import RetryPolicy
 from glossa.functions import errors, prompts, reply, text
 from glossa.functions.cells import cell_text, json_text
 from glossa.operators import attempts, gate, media, positions, queue, quota, results
-from glossa.operators.annotate import annotate, second_pass_requests
+from glossa.operators.annotate import annotate, second_pass_rows, second_prompt
 from glossa.plans import prepare as plans
 from glossa.plans.run import run_job
 from glossa.plans.scoring import stub_client
 from glossa.schema_spec import schema_spec
-from glossa.session import configure, scratch_path
+from glossa.session import configure, scratch_path, write_scratch
 from glossa.sinks.tables import annotation_rows, append_by_name, append_results
 from glossa.sources.attempts import response_text
 from glossa.sources.posts import CSV_OPTIONS, read_csv
@@ -221,25 +221,30 @@ def media_resolve(spark, sf):
     return media.join_media(names, media.resolve_media(manifest), "page_id")
 
 
-def store(spark: SparkSession, sf: str) -> DataFrame:
+def posts_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The posts as a table on disk, with what ``dispatch_url`` and ``with_content_key`` add."""
+    return write_scratch(media.dispatch_url(keyed_posts(spark, sf)), "posts")
+
+
+def store(posts: DataFrame) -> DataFrame:
     """Media files for two thirds of the posts, some of them empty."""
-    routed = media.dispatch_url(view(spark, sf, "posts")).filter("save_name is not null and ordinal % 3 <> 0")
     suffix = F.when(F.col("ordinal") % 2 == 0, ".mp4").otherwise(".jpg")
-    return routed.select(
+    return posts.filter("save_name is not null and ordinal % 3 <> 0").select(
         "save_name", F.concat("save_name", suffix).alias("fname"), (F.col("ordinal") % 7).alias("size")
     )
 
 
-def failures(spark: SparkSession, sf: str) -> DataFrame:
-    routed = media.dispatch_url(view(spark, sf, "posts")).filter("save_name is not null and ordinal % 5 <> 0")
-    return routed.select(
+def failures(posts: DataFrame) -> DataFrame:
+    return posts.filter("save_name is not null and ordinal % 5 <> 0").select(
         "save_name", F.lit("no video").alias("video_error"),
         F.concat(F.lit("exit 1 | "), text.url_context(F.col("call_url"))).alias("image_error"),
     )
 
 
 def routed_posts(spark: SparkSession, sf: str) -> DataFrame:
-    return plans.with_media(keyed_posts(spark, sf), JOB, store(spark, sf), failures(spark, sf))
+    posts = posts_table(spark, sf)
+    rows = posts.drop("call_url", "url_role", "save_name")
+    return plans.with_media(rows, JOB, store(posts), failures(posts))
 
 
 @query
@@ -258,9 +263,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def error_class(spark, sf):
-    return messages(spark, sf).withColumn("c", errors.error_class(F.col("err"))).select(
-        "k", "attempt", "c.retryable", "c.exhausted", "c.per_minute", "c.daily"
-    )
+    return errors.with_error_class(messages(spark, sf)).drop("err", "delay_sec")
 
 
 @query
@@ -415,10 +418,9 @@ def prompt_first(spark, sf):
 @query
 def prompt_annotation(spark, sf):
     work = (*plans.ROUTE_COLUMNS, "resp", "err", "model_used")
-    wanted = second_pass_requests(
-        scored_posts(spark, sf), F.col("analysis").isNotNull(), TEMPLATE, drop=work
-    )
-    return wanted.select("ordinal", "prompt")
+    rows = scored_posts(spark, sf)
+    wanted = second_pass_rows(rows, F.col("analysis").isNotNull())
+    return wanted.select("ordinal", second_prompt(rows, TEMPLATE, drop=work).alias("prompt"))
 
 
 # ---------------------------------------------------------------- results
@@ -436,7 +438,7 @@ def routed_log(spark: SparkSession, sf: str, posts: DataFrame, shift: int = 0) -
 
 def scored_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated posts with the outcome of their calls and the typed reply."""
-    posts = routed_posts(spark, sf)
+    posts = write_scratch(routed_posts(spark, sf), "routed")
     batch = queue.dedup_first(posts)
     outcomes = attempts.decide(routed_log(spark, sf, posts), POLICY, "primary", "fallback")
     paired = batch.join(
@@ -479,7 +481,7 @@ def annotated_posts(spark: SparkSession, sf: str) -> DataFrame:
     chosen = gate.annotation_gate(
         F.col("analysis"), ANALYSIS, criteria=lambda a: a["ai_generated"].isin("HIGH", "MEDIUM")
     )
-    wanted = second_pass_requests(rows, chosen, TEMPLATE).select("ordinal", "vlm_url_used")
+    wanted = second_pass_rows(rows, chosen).select("ordinal", "vlm_url_used")
     log = routed_log(spark, sf, wanted.withColumnRenamed("vlm_url_used", "url_used"), shift=1)
     outcomes = attempts.decide(log, POLICY, "primary", "fallback")
     typed = results.with_analysis(outcomes, NOTE).withColumnRenamed("analysis", "reply")
@@ -574,15 +576,16 @@ def _job(path: str, **changes):
 @query
 def resume_run(spark, sf):
     """A capped run, a run over the rest in chunks, and a third that finds nothing to do."""
-    posts = view(spark, sf, "posts")
+    known = posts_table(spark, sf)
+    posts, manifest = known.select("ordinal", *JOB.key_columns), store(known)
     path = scratch_path(spark, "resume") + "/table"
-    run_job(posts, _job(path, rows_per_platform=3), stub_client(), store(spark, sf))
+    run_job(posts, _job(path, rows_per_platform=3), stub_client(), manifest)
     chunk = max(100, posts.count() // 2)
-    run_job(posts, _job(path, commit_rows=chunk), stub_client(), store(spark, sf))
-    last = run_job(posts, _job(path), stub_client(), store(spark, sf))
+    run_job(posts, _job(path, commit_rows=chunk), stub_client(), manifest)
+    last = run_job(posts, _job(path), stub_client(), manifest)
     return read_results(spark, path).select(
         "ordinal", KEY, "platform", "vlm_url_used", "vlm_model_used", "vlm_ai_generated",
-        "vlm_justification", "vlm_error", F.lit(last.queued).alias("left_over"),
+        "vlm_justification", "vlm_error", F.lit(last.queued).cast("long").alias("left_over"),
     )
 
 
@@ -600,7 +603,7 @@ def stream_resume(spark, sf):
     for attempt in (1, 2):
         annotate_stream(arriving, _job(path), stub_client(), f"{folder}/checkpoint{attempt}").awaitTermination()
     done = read_results(spark, path)
-    return done.groupBy(KEY).agg(F.count_distinct("vlm_full_response_json", "vlm_error").alias("n_replies"))
+    return done.groupBy(KEY).agg(F.count_distinct(F.coalesce("vlm_full_response_json", "vlm_error")).alias("n_replies"))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
