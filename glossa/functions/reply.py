@@ -45,23 +45,23 @@ def _is_single(parsed: Column) -> Column:
     return F.coalesce(marker, F.lit(False))
 
 
-def reply_status(text: Column, parsed: Column) -> Column:
-    """``ok``, ``empty``, ``bad_json`` or ``not_object``; ``parsed`` is ``parse_reply_json(text)``."""
+def _reply_case(text: Column, parsed: Column, empty: str, bad: str, other: str) -> Column:
+    is_object = F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{"))
     return (
-        F.when(F.coalesce(text, F.lit("")) == "", "empty")
-        .when(~_is_single(parsed), "bad_json")
-        .when(~F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{")), "not_object")
-        .otherwise("ok")
+        F.when(F.coalesce(text, F.lit("")) == "", empty)
+        .when(~_is_single(parsed), bad)
+        .when(~is_object, other)
     )
 
 
-def status_error(status: Column) -> Column:
-    """Error message of a reply status, null for ``ok``."""
-    return (
-        F.when(status == "empty", EMPTY_REPLY)
-        .when(status == "bad_json", BAD_JSON)
-        .when(status == "not_object", NOT_AN_OBJECT)
-    )
+def reply_status(text: Column, parsed: Column) -> Column:
+    """``ok``, ``empty``, ``bad_json`` or ``not_object``; ``parsed`` is ``parse_reply_json(text)``."""
+    return _reply_case(text, parsed, "empty", "bad_json", "not_object").otherwise("ok")
+
+
+def reply_error(text: Column, parsed: Column) -> Column:
+    """Error message of a reply without an object, null for one with."""
+    return _reply_case(text, parsed, EMPTY_REPLY, BAD_JSON, NOT_AN_OBJECT)
 
 
 def enum_value(raw: Column, values: tuple[str, ...]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,9 +92,8 @@ def media_save_name(url: Column, role: Column | str) -> Column:
 
 def url_host(c: Column) -> Column:
     """Lower-cased host of a URL, ``https`` assumed; ``''`` where there is none."""
-    u = strip(F.coalesce(c, F.lit("")))
-    u = F.when(u.contains("://") | (u == ""), u).otherwise(F.concat(F.lit("https://"), u))
-    u = F.translate(u, "\t\r\n", "")
+    u = F.translate(strip(F.coalesce(c, F.lit(""))), "\t\r\n", "")
+    u = F.regexp_replace(u, r"(?s)\A(?!.*://)(?=.)", "https://")
     authority = F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
     return F.lower(F.regexp_extract(authority, r"^(?:.*@)?([^:@]*)", 1))
 
@@ -100,13 +101,12 @@ def url_host(c: Column) -> Column:
 def host_family(c: Column) -> Column:
     """``ig``, ``fb`` or null, by exact host or dot suffix."""
     host = url_host(c)
-    family = F.lit(None).cast("string")
-    for name, domains in HOST_FAMILIES.items():
-        hit = F.lit(False)
-        for domain in domains:
-            hit = hit | (host == domain) | host.endswith("." + domain)
-        family = F.coalesce(family, F.when(hit, F.lit(name)))
-    return family
+    names = {
+        family: "|".join(re.escape(d) for d in domains) for family, domains in HOST_FAMILIES.items()
+    }
+    return F.coalesce(
+        *[F.when(host.rlike(rf"\A(.*\.)?({domains})\z"), family) for family, domains in names.items()]
+    )
 
 
 def mime_type(path: Column) -> Column:

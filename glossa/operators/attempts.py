@@ -13,17 +13,16 @@ from pyspark.sql import functions as F
 
 from glossa.config import RetryPolicy
 from glossa.functions import errors
-from glossa.functions.reply import parse_reply_json, reply_status, status_error
+from glossa.functions.reply import parse_reply_json, reply_error
 
 UNKNOWN_ERROR = "Unknown error"
 
 
 def with_reply_error(log: DataFrame) -> DataFrame:
     """Give attempts whose reply holds no object the error that says so."""
-    status = reply_status(F.col("resp"), F.col("_parsed"))
     return (
         log.withColumn("_parsed", F.when(F.col("err").isNull(), parse_reply_json(F.col("resp"))))
-        .withColumn("err", F.coalesce(F.col("err"), status_error(status)))
+        .withColumn("err", F.coalesce(F.col("err"), reply_error(F.col("resp"), F.col("_parsed"))))
         .drop("_parsed")
     )
 

@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 from glossa.config import JobConfig
 from glossa.functions.prompts import media_prompt, url_prompt
 from glossa.operators.annotate import annotate, annotation_column_names, second_pass_rows, second_prompt
-from glossa.operators.attempts import decide
 from glossa.operators.gate import annotation_gate
 from glossa.operators.queue import KEY
 from glossa.operators.quota import quota_flag
 from glossa.operators.results import column_order, project_to, result_columns, result_rows, with_analysis
 from glossa.plans.prepare import ROUTE_COLUMNS, Queue, prepare
-from glossa.plans.scoring import ClientFactory, score
+from glossa.plans.scoring import ClientFactory, outcomes, score
 from glossa.schema_spec import schema_spec
 from glossa.session import configure, write_observed
 from glossa.sinks.tables import annotation_rows, append_annotations, append_results
@@ -69,7 +68,7 @@ def _outcomes(rows: DataFrame, job: JobConfig, number: int, prompt: Column, clie
         job.fallback_model,
         job.score_partitions or rows.sparkSession.sparkContext.defaultParallelism,
     )
-    return decide(log, job.retry, job.primary_model, job.fallback_model)
+    return outcomes(log)
 
 
 def first_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> tuple[DataFrame, int | None]:
@@ -77,10 +76,8 @@ def first_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> tuple[
     wanted = rows.filter(F.col("url_used") != "None").select(
         POS, "call_url", "save_name", "media_fname", "mime"
     )
-    outcomes = _outcomes(wanted, job, 1, F.lit(job.prompt), client)
-    paired = rows.join(
-        outcomes.select(F.col("k").alias(POS), "resp", "err", "model_used"), POS, "left"
-    )
+    settled = _outcomes(wanted, job, 1, F.lit(job.prompt), client)
+    paired = rows.join(settled.withColumnRenamed("k", POS), POS, "left")
     flag = quota_flag(F.col("err"), F.col("model_used"), job.primary_model)
     stop = F.when(flag & F.lit(job.stop_on_primary_daily_quota), F.col(POS))
     scored = with_analysis(paired, schema_spec(job.analysis)).drop("resp")
@@ -95,8 +92,8 @@ def second_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> DataF
     )
     work = (POS, "analysis", *ROUTE_COLUMNS)
     prompt = second_prompt(rows, job.annotation_template, KEY, job.annotation_prompt, drop=work)
-    outcomes = _outcomes(second_pass_rows(rows, gate), job, 2, prompt, client)
-    replies = with_analysis(outcomes, schema_spec(job.annotation)).withColumnRenamed("analysis", "reply")
+    settled = _outcomes(second_pass_rows(rows, gate), job, 2, prompt, client)
+    replies = with_analysis(settled, schema_spec(job.annotation)).withColumnRenamed("analysis", "reply")
     return annotate(rows, replies, POS, job.annotation_columns, drop=work)
 
 

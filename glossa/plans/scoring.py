@@ -104,11 +104,14 @@ def score(
     fallback: str,
     partitions: int,
 ) -> DataFrame:
-    """Call the model for every row until nothing is left to retry; returns the attempt log.
+    """Call the model for every row until nothing is left to retry.
 
     ``rows`` has a unique ``k`` and the ``model`` to start with; ``build`` adds the request
     columns. It runs after the rows are spread, so prompts are never shuffled. Each round
     holds only the rows the one before left open, at most twice the allowed attempts.
+
+    Returns the attempt log. Its rows without a ``next_model`` are the outcomes, one per
+    ``k``: see ``outcomes``.
     """
     logs: list[DataFrame] = []
     todo = rows.withColumns({"attempt": F.lit(0), "wait_sec": F.lit(0.0)})
@@ -129,6 +132,14 @@ def score(
     return reduce(DataFrame.unionByName, logs)
 
 
+def outcomes(log: DataFrame) -> DataFrame:
+    """The attempt that settled each ``k``; a filter, since every row knows what came of it."""
+    return log.filter("next_model is null").select(
+        "k", F.when(F.col("err").isNull(), F.col("resp")).alias("resp"), "err",
+        F.col("model").alias("model_used"),
+    )
+
+
 def stub_client(daily_after: int | None = None) -> ClientFactory:
     """A deterministic stand-in for a model, for tests: it looks at nothing but the request.
 

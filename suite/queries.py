@@ -333,9 +333,9 @@ def parsed_replies(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def reply_status(spark, sf):
-    status = reply.reply_status(F.col("resp"), F.col("v"))
+    resp, v = F.col("resp"), F.col("v")
     return parsed_replies(spark, sf).select(
-        "k", status.alias("status"), reply.status_error(status).alias("error")
+        "k", reply.reply_status(resp, v).alias("status"), reply.reply_error(resp, v).alias("error")
     )
 
 
