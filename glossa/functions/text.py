@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters Python's ``str.strip`` removes.
@@ -17,9 +17,8 @@ WHITESPACE = (
 # Fixed value: the separator between key parts.
 KEY_SEPARATOR = "\x1f"
 
-# The word that means "missing", and hosts whose URLs are rewritten.
-NAN_WORD = r"\A(?i:nan)\z"
-X_HOSTS = r"(?i)x\.com|twitter\.com"
+# Hosts whose URLs are rewritten, looked for anywhere in lower-case text.
+X_HOSTS = r"x\.com|twitter\.com"
 
 # Media type per file extension.
 MIME_BY_EXTENSION = {
@@ -53,31 +52,50 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def clean_text(c: Column) -> Column:
-    """Stripped text; null, NaN and the word ``nan`` in any case become ``''``."""
-    return F.regexp_replace(strip(F.coalesce(c.cast("string"), F.lit(""))), NAN_WORD, "")
+def _stripped(c: Column) -> Column:
+    return strip(F.coalesce(c.cast("string"), F.lit("")))
+
+
+def _without_nan(s: Column) -> Column:
+    return F.when(F.lower(s) == "nan", "").otherwise(s)
 
 
 def _rewrite_status(u: Column) -> Column:
-    # The argument appears twice only: a longer chain of WHENs would copy the whole
-    # cleaning expression into each branch and outgrow generated code.
-    path = F.when(u.rlike(X_HOSTS), "/status/").otherwise("/statuses/")
-    return F.replace(u, F.lit("/statuses/"), path)
+    old, new = F.lit("/statuses/"), F.lit("/status/")
+    rewrite = u.contains("/statuses/") & F.lower(u).rlike(X_HOSTS)
+    return F.when(rewrite, F.replace(u, old, new)).otherwise(u)
+
+
+def clean_text(c: Column) -> Column:
+    """Stripped text; null, NaN and the word ``nan`` in any case become ``''``."""
+    return _without_nan(_stripped(c))
 
 
 def normalize_url(c: Column) -> Column:
     """Stripped URL; ``/statuses/`` becomes ``/status/`` where the text mentions the X hosts."""
-    return _rewrite_status(strip(F.coalesce(c, F.lit(""))))
+    return _rewrite_status(_stripped(c))
+
+
+def with_clean_urls(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns holding ``normalize_url`` of ``clean_text`` of the given ones.
+
+    One projection per step: nested in one expression, every step would copy the one
+    before into each of its branches.
+    """
+    for step in (_stripped, _without_nan, _rewrite_status):
+        df = df.withColumns({name: step(value) for name, value in columns.items()})
+        columns = {name: F.col(name) for name in columns}
+    return df
 
 
 def clean_url(c: Column) -> Column:
-    """``normalize_url`` of ``clean_text``."""
+    """``normalize_url`` of ``clean_text`` as one expression, for single columns."""
     return _rewrite_status(clean_text(c))
 
 
 def content_key(parts: list[Column]) -> Column:
-    """SHA-256 (hex) over the cleaned key parts; parts are never null, so none is skipped."""
-    return F.sha2(F.concat_ws(KEY_SEPARATOR, *[clean_url(p) for p in parts]), 256)
+    """SHA-256 (hex) over cleaned key parts, none of them null (a null would be skipped)."""
+    return F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), 256)
 
 
 def media_save_name(url: Column, role: Column | str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.config import RetryPolicy
-from glossa.functions import errors
+from glossa.functions.errors import is_daily, is_exhausted, with_error_class
 from glossa.functions.reply import parse_reply_json, reply_error
 
 UNKNOWN_ERROR = "Unknown error"
@@ -27,25 +27,19 @@ def with_reply_error(log: DataFrame) -> DataFrame:
     )
 
 
-def is_final(policy: RetryPolicy) -> Column:
-    err, attempt = F.col("err"), F.col("attempt")
-    again = errors.is_per_minute(err) | errors.is_retryable(err)
-    return err.isNull() | ~again | (attempt >= policy.max_attempts - 1)
-
+def with_final(log: DataFrame, policy: RetryPolicy) -> DataFrame:
+    """Add the error tests (``_retryable`` …), ``_final`` and the planned ``_wait``.
 
-def wait_seconds(policy: RetryPolicy) -> Column:
-    """Planned wait after an attempt; a per-minute limit waits even after the last one."""
-    err, attempt = F.col("err"), F.col("attempt")
-    backoff = errors.is_retryable(err) & (attempt < policy.max_attempts - 1)
-    return (
-        F.when(errors.is_per_minute(err), errors.retry_delay(err) + F.lit(policy.rate_limit_margin_sec))
-        .when(backoff, F.lit(policy.base_delay_sec) * F.pow(F.lit(2.0), attempt))
-        .otherwise(F.lit(0.0))
+    A per-minute limit waits even after the last attempt; a server error only before it.
+    """
+    attempt, last = F.col("attempt"), policy.max_attempts - 1
+    again = (F.col("_per_minute") | F.col("_retryable")) & (attempt < last)
+    wait = (
+        F.when(F.col("_per_minute"), F.col("_delay_sec") + policy.rate_limit_margin_sec)
+        .when(again, policy.base_delay_sec * F.pow(F.lit(2.0), attempt))
+        .otherwise(0.0)
     )
-
-
-def with_final(log: DataFrame, policy: RetryPolicy) -> DataFrame:
-    return log.withColumn("_final", is_final(policy))
+    return with_error_class(log, "err", "_").withColumns({"_final": ~again, "_wait": wait})
 
 
 def _chosen(where: Column | None = None) -> Column:
@@ -79,7 +73,6 @@ def planned_wait(log: DataFrame, policy: RetryPolicy, by: list[str]) -> DataFram
     spent = [F.when(F.col("_last") >= i, F.coalesce(f"_w{i}", F.lit(0.0))).otherwise(0.0) for i in slots]
     return (
         with_final(log, policy)
-        .withColumn("_wait", wait_seconds(policy))
         .groupBy(*by)
         .agg(final_at.alias("_last"), *waits)
         .select(*by, reduce(lambda a, b: a + b, spent).alias("wait_sec"))
@@ -102,8 +95,8 @@ def decide(
     decision = (
         F.when(F.col("p").isNull(), "fallback_only")
         .when(p_err.isNull(), "ok")
-        .when(errors.is_daily(p_err), "stop_daily")
-        .when(errors.is_exhausted(p_err) & F.lit(primary != fallback), "fallback")
+        .when(is_daily(p_err), "stop_daily")
+        .when(is_exhausted(p_err) & F.lit(primary != fallback), "fallback")
         .otherwise("error")
     )
     from_fallback = F.col("decision").isin("fallback", "fallback_only")

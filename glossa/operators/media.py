@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.functions.text import clean_url, media_save_name
+from glossa.functions.text import media_save_name, with_clean_urls
 
 NO_URL_ERROR = "No media_url or post_url available to download."
 
@@ -30,13 +30,19 @@ def dispatch_url(df: DataFrame) -> DataFrame:
     The first URL present decides: a post URL whose file is missing never falls back
     to the media URL.
     """
-    def url(column: str) -> Column:
-        return F.nullif(clean_url(F.col(column)), F.lit("")) if column in df.columns else F.lit(None)
-
-    role = F.when(F.col("_post").isNotNull(), "post").when(F.col("_media").isNotNull(), "media")
+    urls = {
+        name: F.col(column) if column in df.columns else F.lit("")
+        for name, column in (("_post", "post_url"), ("_media", "media_url"))
+    }
+    has_post, has_media = F.col("_post") != "", F.col("_media") != ""
     return (
-        df.withColumns({"_post": url("post_url").cast("string"), "_media": url("media_url").cast("string")})
-        .withColumns({"call_url": F.coalesce("_post", "_media"), "url_role": role})
+        with_clean_urls(df, urls)
+        .withColumns(
+            {
+                "call_url": F.when(has_post, F.col("_post")).when(has_media, F.col("_media")),
+                "url_role": F.when(has_post, "post").when(has_media, "media"),
+            }
+        )
         .withColumn("save_name", media_save_name(F.col("call_url"), F.col("url_role")))
         .drop("_post", "_media")
     )

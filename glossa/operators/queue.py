@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.functions.text import content_key, strip
+from glossa.functions.text import content_key, strip, with_clean_urls
 from glossa.operators.positions import with_position
 
 KEY = "vlm_content_key"
@@ -24,8 +24,11 @@ def require_columns(df: DataFrame, columns: tuple[str, ...] | list[str]) -> Data
 
 def with_content_key(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrame:
     """Add the content key; a key column the table lacks counts as empty."""
-    parts = [F.col(f"`{c}`") if c in df.columns else F.lit("") for c in columns]
-    return df.withColumn(KEY, content_key(parts))
+    parts = {
+        f"_key{i}": F.col(f"`{c}`") if c in df.columns else F.lit("") for i, c in enumerate(columns)
+    }
+    cleaned = with_clean_urls(df, parts)
+    return cleaned.withColumn(KEY, content_key([F.col(p) for p in parts])).drop(*parts)
 
 
 def dedup_first(

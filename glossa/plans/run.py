@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from glossa.config import JobConfig
@@ -112,22 +112,30 @@ def run_queue(queue: Queue, job: JobConfig, client: ClientFactory) -> RunReport:
         results = result_rows(scored, queue.source_columns, spec, keep=work)
         if job.annotation:
             results = second_pass(results, job, client)
-        committed, seen = write_observed(project_to(results, columns), "chunk", rows=F.count("*"))
-        _append(committed, job, names)
-        written += seen["rows"]
+        written += _commit(project_to(results, columns), job, names)
         if stop is not None:
             return RunReport(queue.count, written, True)
     return RunReport(queue.count, written, False)
 
 
-def _append(rows: DataFrame, job: JobConfig, names: list[str]) -> None:
-    """Results first: their keys are what a resumed run skips. Then the copies."""
-    append_results(rows, job.results_path)
-    if names and job.annotations_path:
-        picked = annotation_rows(rows, names, job.annotation_rows, job.annotation_headers)
+def _commit(rows: DataFrame, job: JobConfig, names: list[str]) -> int:
+    """Append to the results, whose keys a resumed run skips, then to the copies.
+
+    With more than one table to fill, the rows are written once and the appends read that.
+    """
+    annotations = names and job.annotations_path
+    if not (annotations or job.mirror_path):
+        seen = Observation()
+        append_results(rows.observe(seen, F.count("*").alias("rows")), job.results_path)
+        return seen.get["rows"]
+    written, metrics = write_observed(rows, "chunk", rows=F.count("*"))
+    append_results(written, job.results_path)
+    if annotations:
+        picked = annotation_rows(written, names, job.annotation_rows, job.annotation_headers)
         append_annotations(picked, job.annotations_path)
     if job.mirror_path:
-        append_results(rows, job.mirror_path)
+        append_results(written, job.mirror_path)
+    return metrics["rows"]
 
 
 def run_job(

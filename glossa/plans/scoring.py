@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.config import RetryPolicy
-from glossa.functions.errors import with_error_class
-from glossa.operators.attempts import wait_seconds, with_final, with_reply_error
+from glossa.operators.attempts import with_final, with_reply_error
 from glossa.session import write_observed
 from glossa.sources.attempts import LOG_SCHEMA
 
@@ -80,18 +79,15 @@ def with_next(log: DataFrame, policy: RetryPolicy, primary: str, fallback: str)
 
     ``next_model`` is null where the row is done. Decided row by row, without a shuffle.
     """
-    turn = F.col("exhausted") & ~F.col("daily") & (F.col("model") == primary) & F.lit(primary != fallback)
+    turn = (
+        F.col("_exhausted") & ~F.col("_daily") & (F.col("model") == primary) & F.lit(primary != fallback)
+    )
     again = ~F.col("_final")
-    return (
-        with_error_class(with_final(log, policy))
-        .withColumns(
-            {
-                "next_model": F.when(again, F.col("model")).when(turn, F.lit(fallback)),
-                "next_attempt": F.when(again, F.col("attempt") + 1).when(turn, F.lit(0)),
-                "wait_sec": F.when(again, wait_seconds(policy)).otherwise(0.0),
-            }
-        )
-        .select(*log.columns, "next_model", "next_attempt", "wait_sec")
+    return with_final(log, policy).select(
+        *log.columns,
+        F.when(again, F.col("model")).when(turn, F.lit(fallback)).alias("next_model"),
+        F.when(again, F.col("attempt") + 1).when(turn, F.lit(0)).alias("next_attempt"),
+        F.when(again, F.col("_wait")).otherwise(0.0).alias("wait_sec"),
     )
 
 
