@@ -66,24 +66,25 @@ def second_prompt(
 def annotate(
     df: DataFrame,
     outcomes: DataFrame,
-    key: str = "vlm_content_key",
+    on: str,
     columns: Callable[..., dict[str, Column]] | None = None,
     drop: tuple[str, ...] = (),
+    key: str = "vlm_content_key",
 ) -> DataFrame:
     """Add annotation columns; rows without a second-pass outcome get blanks.
 
-    ``outcomes`` has one row per key: ``k``, ``resp``, ``err``, ``model_used`` and the
+    ``outcomes`` has one row per value of ``on``: ``k``, ``err``, ``model_used`` and the
     typed ``reply``. ``columns`` is an own builder, see ``glossa.hooks``; it sees the
     whole row but for ``drop``.
     """
     second = outcomes.select(
-        F.col("k").alias(key),
+        F.col("k").alias(on),
         F.lit(True).alias("_called"),
         F.col("reply").alias("_reply"),
         F.col("err").alias("_err"),
         F.col("model_used").alias("_model"),
     )
-    joined = df.join(second, key, "left")
+    joined = df.join(second, on, "left")
     reply, error, model = F.col("_reply"), F.col("_err"), F.col("_model")
     if columns is None:
         made = default_columns(reply, error, model)
