@@ -72,6 +72,8 @@ class JobConfig:
     results_path: str = ""
     mirror_path: str = ""
     annotations_path: str = ""
+    # Where to keep every attempt of every call; empty keeps none.
+    attempts_path: str = ""
     media_dir: str = ""
 
     def with_(self, **changes: Any) -> JobConfig:

@@ -48,12 +48,11 @@ def dispatch_url(df: DataFrame) -> DataFrame:
     )
 
 
-def join_media(df: DataFrame, media: DataFrame, spread_by: str) -> DataFrame:
-    """Left join to ``resolve_media`` output; rows without a save name stay spread out."""
+def join_by_name(df: DataFrame, right: DataFrame, spread_by: str) -> DataFrame:
+    """Left join on ``save_name``; rows without one stay spread out instead of meeting in one task."""
     nothing = F.concat(F.lit("?"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
     keyed = df.withColumn("_name", F.coalesce(F.col("save_name"), nothing))
-    files = media.select(F.col("save_name").alias("_name"), "media_fname")
-    return keyed.join(files, "_name", "left").drop("_name")
+    return keyed.join(right.withColumnRenamed("save_name", "_name"), "_name", "left").drop("_name")
 
 
 def with_route(df: DataFrame) -> DataFrame:

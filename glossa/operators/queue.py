@@ -13,6 +13,9 @@ KEY = "vlm_content_key"
 # Above this many rows a limit is taken by position instead of in one task.
 SMALL_LIMIT = 10_000
 
+# A batch of at most this many rows has keys (64 characters each) that may be broadcast.
+SMALL_BATCH = 500_000
+
 
 def require_columns(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
@@ -60,6 +63,15 @@ def pending(df: DataFrame, processed: DataFrame) -> DataFrame:
     return df.join(processed.select(KEY), KEY, "left_anti")
 
 
+def keys_among(processed: DataFrame, batch: DataFrame) -> DataFrame:
+    """Processed keys that occur in ``batch``.
+
+    Only for a batch counted to be at most ``SMALL_BATCH`` rows: its keys are broadcast, so
+    the results table is scanned but not shuffled, however large it has grown.
+    """
+    return processed.join(F.broadcast(batch.select(KEY).distinct()), KEY, "left_semi")
+
+
 def sort_order(
     df: DataFrame,
     columns: tuple[str, ...] | list[str],

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from glossa.config import JobConfig
 from glossa.functions.text import download_error, mime_type
-from glossa.operators.media import dispatch_url, join_media, resolve_media, with_route
+from glossa.operators.media import dispatch_url, join_by_name, resolve_media, with_route
 from glossa.operators.positions import OrderedTable, order_table
 from glossa.operators.queue import (
     KEY,
@@ -70,14 +70,14 @@ def with_media(rows: DataFrame, job: JobConfig, manifest: DataFrame | None,
     if manifest is None:
         found = routed.withColumn("media_fname", F.lit(None).cast("string"))
     else:
-        found = join_media(routed, resolve_media(manifest), job.ordinal)
+        found = join_by_name(routed, resolve_media(manifest), job.ordinal)
     if failures is None:
         found = found.withColumn("download_error", F.lit(None).cast("string"))
     else:
         why = failures.groupBy("save_name").agg(
             F.max(download_error(F.col("video_error"), F.col("image_error"))).alias("download_error")
         )
-        found = found.join(why, "save_name", "left").withColumn(
+        found = join_by_name(found, why, job.ordinal).withColumn(
             "download_error", F.when(F.col("media_fname").isNull(), F.col("download_error"))
         )
     return with_route(found).withColumn("mime", mime_type(F.col("media_fname")))

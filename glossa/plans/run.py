@@ -16,13 +16,13 @@ from glossa.config import JobConfig
 from glossa.functions.prompts import media_prompt, url_prompt
 from glossa.operators.annotate import annotate, annotation_column_names, second_pass_rows, second_prompt
 from glossa.operators.gate import annotation_gate
-from glossa.operators.queue import KEY
+from glossa.operators.queue import KEY, SMALL_BATCH, keys_among, with_content_key
 from glossa.operators.quota import quota_flag
 from glossa.operators.results import column_order, project_to, result_columns, result_rows, with_analysis
 from glossa.plans.prepare import ROUTE_COLUMNS, Queue, prepare
 from glossa.plans.scoring import ClientFactory, outcomes, score
 from glossa.schema_spec import schema_spec
-from glossa.session import configure, write_observed
+from glossa.session import configure, scratch_scope, write_observed
 from glossa.sinks.tables import annotation_rows, append_annotations, append_results
 from glossa.sources.media import media_manifest
 from glossa.sources.posts import read_posts
@@ -68,13 +68,16 @@ def _outcomes(rows: DataFrame, job: JobConfig, number: int, prompt: Column, clie
         job.fallback_model,
         job.score_partitions or rows.sparkSession.sparkContext.defaultParallelism,
     )
+    if job.attempts_path:
+        keys = rows.select(F.col(POS).alias("k"), KEY)
+        append_results(log.join(keys, "k").select(KEY, *log.columns), job.attempts_path)
     return outcomes(log)
 
 
 def first_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> tuple[DataFrame, int | None]:
     """Rows with ``analysis``, ``err`` and ``model_used``, and the position to stop at, if any."""
     wanted = rows.filter(F.col("url_used") != "None").select(
-        POS, "call_url", "save_name", "media_fname", "mime"
+        POS, KEY, "call_url", "save_name", "media_fname", "mime"
     )
     settled = _outcomes(wanted, job, 1, F.lit(job.prompt), client)
     paired = rows.join(settled.withColumnRenamed("k", POS), POS, "left")
@@ -105,14 +108,15 @@ def run_queue(queue: Queue, job: JobConfig, client: ClientFactory) -> RunReport:
     work = tuple(c for c in (POS, "analysis", *ROUTE_COLUMNS) if c not in queue.source_columns)
     written = 0
     for start in range(0, queue.count, job.commit_rows):
-        chunk = queue.ordered.slice(start, start + job.commit_rows, POS)
-        scored, stop = first_pass(chunk, job, client)
-        if stop is not None:
-            scored = scored.filter(F.col(POS) <= stop)
-        results = result_rows(scored, queue.source_columns, spec, keep=work)
-        if job.annotation:
-            results = second_pass(results, job, client)
-        written += _commit(project_to(results, columns), job, names)
+        with scratch_scope(queue.ordered.table.sparkSession):
+            chunk = queue.ordered.slice(start, start + job.commit_rows, POS)
+            scored, stop = first_pass(chunk, job, client)
+            if stop is not None:
+                scored = scored.filter(F.col(POS) <= stop)
+            results = result_rows(scored, queue.source_columns, spec, keep=work)
+            if job.annotation:
+                results = second_pass(results, job, client)
+            written += _commit(project_to(results, columns), job, names)
         if stop is not None:
             return RunReport(queue.count, written, True)
     return RunReport(queue.count, written, False)
@@ -144,12 +148,19 @@ def run_job(
     client: ClientFactory,
     manifest: DataFrame | None = None,
     failures: DataFrame | None = None,
+    post_count: int | None = None,
 ) -> RunReport:
-    """One run over ``posts``: skip what the results table has, score the rest."""
+    """One run over ``posts``: skip what the results table has, score the rest.
+
+    ``post_count``, where known, lets a small batch skip the shuffle of a large results table.
+    """
     spark = configure(posts.sparkSession)
     done = processed_keys(spark, job.results_path, job.retry_errors)
-    queue = prepare(posts, done, job, manifest, failures)
-    return run_queue(queue, job, client) if queue else RunReport(0, 0, False)
+    if post_count is not None and post_count <= SMALL_BATCH:
+        done = keys_among(done, with_content_key(posts, job.key_columns))
+    with scratch_scope(spark):
+        queue = prepare(posts, done, job, manifest, failures)
+        return run_queue(queue, job, client) if queue else RunReport(0, 0, False)
 
 
 def run_project(spark, job: JobConfig, client: ClientFactory) -> RunReport:

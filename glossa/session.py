@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -15,6 +18,7 @@ RESULT_CONF = {
 }
 
 _local_scratch: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -52,15 +56,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the scratch folder, removed when the driver's JVM ends."""
+    """A fresh path under the scratch folder, removed with its scope or when the driver's JVM ends."""
     path = f"{scratch_root(spark)}/glossa-{label}-{uuid.uuid4().hex}"
     fs, where = _file_system(spark, path)
     # deleteOnExit ignores paths that do not exist yet.
     fs.mkdirs(where)
     fs.deleteOnExit(where)
+    opened = _scope.get()
+    if opened is not None:
+        opened.append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside on leaving; what reads them must be done by then."""
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        opened = _scope.get()
+        _scope.reset(token)
+        for path in opened:
+            fs, where = _file_system(spark, path)
+            fs.delete(where, True)
+
+
 def write_scratch(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of what was written.
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from glossa.config import JobConfig
 from glossa.plans.run import run_job
 from glossa.plans.scoring import ClientFactory
-from glossa.session import configure
+from glossa.session import configure, scratch_scope, write_observed
 
 
 def annotate_stream(
@@ -26,7 +27,10 @@ def annotate_stream(
     configure(posts.sparkSession)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        run_job(batch, job, client, manifest)
+        with scratch_scope(batch.sparkSession):
+            # Read from the source once, however many jobs the run takes.
+            arrived, seen = write_observed(batch, "batch", rows=F.count("*"))
+            run_job(arrived, job, client, manifest, post_count=seen["rows"])
 
     return (
         posts.writeStream.foreachBatch(run_batch)

@@ -218,7 +218,7 @@ def media_resolve(spark, sf):
     names = table(spark, sf, "pages").select(
         "page_id", F.concat(F.lit("s"), F.col("page_id") % 50).alias("save_name")
     )
-    return media.join_media(names, media.resolve_media(manifest), "page_id")
+    return media.join_by_name(names, media.resolve_media(manifest), "page_id")
 
 
 def posts_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -193,9 +193,12 @@ def replying(request):
 
 
 def test_second_pass(spark, posts, manifest, tmp_path):
-    job = annotating(tmp_path)
+    job = annotating(tmp_path).with_(attempts_path=str(tmp_path / "log"))
     report = run_job(posts, job, per_row_client(replying), manifest)
     got = read_results(spark, job.results_path)
+    log = read_results(spark, job.attempts_path)
+    assert {r["pass"] for r in log.collect()} == {1, 2}
+    assert log.join(got, KEY, "left_anti").count() == 0
     high = got.filter("vlm_ai_generated = 'HIGH'").collect()
     assert high and all(r.vlm_annotation_model_used for r in high)
     for r in high:
@@ -292,6 +295,16 @@ def test_project_file(spark, tmp_path):
     assert "ordinal" not in read_results(spark, job.results_path).columns
 
 
+def test_scratch_is_gone_after_a_run(spark, posts, tmp_path):
+    from pathlib import Path
+
+    from glossa.session import scratch_root
+
+    left = set(Path(scratch_root(spark)).iterdir())
+    run_job(posts, JOB.with_(results_path=str(tmp_path / "r")), answering("{}"))
+    assert set(Path(scratch_root(spark)).iterdir()) == left
+
+
 def test_stream_delivers_each_key_once(spark, posts, tmp_path):
     source = str(tmp_path / "in")
     half = posts.filter("ordinal % 2 = 0").coalesce(1)
