@@ -94,8 +94,11 @@ def clean_url(c: Column) -> Column:
 
 
 def content_key(parts: list[Column]) -> Column:
-    """SHA-256 (hex) over cleaned key parts, none of them null (a null would be skipped)."""
-    return F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), 256)
+    """SHA-256 (hex) over cleaned key parts, none of them null (a null would be skipped).
+
+    Declared non-null, or joins on it would test the whole expression for null at the scan.
+    """
+    return F.coalesce(F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), 256), F.lit(""))
 
 
 def media_save_name(url: Column, role: Column | str) -> Column:

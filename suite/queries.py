@@ -48,13 +48,13 @@ def keyed_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def earlier_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Results of every third post, with padded, blank and missing keys between."""
+    """A results table of every third post, with padded, blank and missing keys between."""
     n = F.col("ordinal") % 6
     key = (
         F.when(n == 0, F.col(KEY)).when(n == 3, F.concat(F.lit(" "), F.col(KEY), F.lit("\t")))
         .when(n == 1, F.lit("  "))
     )
-    return keyed_posts(spark, sf).select(key.alias(KEY), "platform")
+    return write_scratch(keyed_posts(spark, sf).select(key.alias(KEY), "platform"), "earlier")
 
 
 # ---------------------------------------------------------------- sources and scalars
@@ -201,7 +201,7 @@ def chunk_ids(spark, sf):
 def bulk_queue(spark, sf):
     """The whole queue on a larger table where one URL holds about a third of the rows."""
     posts = view(spark, sf, "bulk_posts")
-    done = queue.with_content_key(posts.filter("likes > 45"), JOB.key_columns)
+    done = write_scratch(queue.with_content_key(posts.filter("likes > 45"), JOB.key_columns).select(KEY), "earlier")
     rows = plans.queue_rows(posts, queue.distinct_keys(done), JOB.with_(rows_per_platform=500))
     return rows.groupBy("platform").agg(
         F.count("*").alias("n_rows"), F.min("ordinal").alias("first"), F.max("ordinal").alias("last"),
