@@ -117,15 +117,3 @@ def reply_struct(parsed: Column, spec: tuple[FieldSpec, ...]) -> Column:
     of the wrong shape becomes null.
     """
     return _object(parsed, _ROOT, spec)
-
-
-def reply_flags(parsed: Column, spec: tuple[FieldSpec, ...]) -> list[Column]:
-    """``<field>_coerced`` columns: enum fields that fell back to the first value."""
-    return [
-        F.coalesce(
-            enum_fell_back(F.try_variant_get(parsed, f"{_ROOT}.{f.name}", "string"), f.values),
-            F.lit(False),
-        ).alias(f"{f.name}_coerced")
-        for f in spec
-        if f.kind == "enum"
-    ]

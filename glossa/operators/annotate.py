@@ -32,6 +32,8 @@ def apply_model_and_error(columns: dict[str, Column], reply: Column, error: Colu
 
 
 def _url(df: DataFrame) -> Column:
+    if "call_url" in df.columns:
+        return F.col("call_url")
     return first_url(*[F.col(c) if c in df.columns else F.lit("") for c in ("post_url", "media_url")])
 
 

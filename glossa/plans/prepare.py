@@ -23,6 +23,7 @@ from glossa.operators.queue import (
     top_per_group,
     with_content_key,
 )
+from glossa.sources.media import list_media
 
 
 @dataclass(frozen=True)
@@ -63,10 +64,13 @@ def with_media(rows: DataFrame, job: JobConfig, manifest: DataFrame | None,
                failures: DataFrame | None = None) -> DataFrame:
     """Add route, media file, media type and download error.
 
+    Without a manifest, the job's media folder is asked for the names in ``rows``.
     ``failures`` (``save_name``, ``video_error``, ``image_error``) is what a downloader
     recorded for files that are not in the store.
     """
     routed = dispatch_url(rows)
+    if manifest is None and job.media_dir:
+        manifest = list_media(routed.filter("save_name is not null").select("save_name").distinct(), job.media_dir)
     if manifest is None:
         found = routed.withColumn("media_fname", F.lit(None).cast("string"))
     else:

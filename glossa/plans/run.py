@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.config import JobConfig
@@ -24,7 +24,6 @@ from glossa.plans.scoring import ClientFactory, outcomes, score
 from glossa.schema_spec import schema_spec
 from glossa.session import configure, scratch_scope, write_observed
 from glossa.sinks.tables import annotation_rows, append_annotations, append_results
-from glossa.sources.media import media_manifest
 from glossa.sources.posts import read_posts
 from glossa.sources.results import processed_keys
 
@@ -163,9 +162,6 @@ def run_job(
         return run_queue(queue, job, client) if queue else RunReport(0, 0, False)
 
 
-def run_project(spark, job: JobConfig, client: ClientFactory) -> RunReport:
+def run_project(spark: SparkSession, job: JobConfig, client: ClientFactory) -> RunReport:
     """``run_job`` over the job's own input path and media folder."""
-    configure(spark)
-    posts = read_posts(spark, job.input_path, job.ordinal)
-    manifest = media_manifest(spark, job.media_dir) if job.media_dir else None
-    return run_job(posts, job, client, manifest)
+    return run_job(read_posts(configure(spark), job.input_path, job.ordinal), job, client)

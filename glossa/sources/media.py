@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.session import path_exists
 
+LISTING_SCHEMA = "save_name string, fname string, size long"
+
 MANIFEST_SCHEMA = "save_name string, fname string, size long, path string"
 
 
 def media_manifest(spark: SparkSession, media_dir: str) -> DataFrame:
-    """Files of ``<dir>/<save name>/<file>`` with their size; contents are not read."""
+    """Files of ``<dir>/<save name>/<file>`` with their size; contents are not read.
+
+    Spark lists the whole store on the driver. For a store of many millions of files look
+    up the names a queue needs with ``list_media``, or keep a manifest table.
+    """
     if not path_exists(spark, media_dir):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(media_dir)
@@ -22,3 +30,29 @@ def media_manifest(spark: SparkSession, media_dir: str) -> DataFrame:
         F.col("length").alias("size"),
         "path",
     )
+
+
+def list_media(names: DataFrame, media_dir: str) -> DataFrame:
+    """Manifest rows for the given ``save_name`` values only, one folder listing per name.
+
+    The listings run in the tasks, against the shared store that ``media_dir`` names (a
+    path or a URI); nothing is listed on the driver.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+        from pyarrow import fs
+
+        if "://" in media_dir:
+            store, root = fs.FileSystem.from_uri(media_dir)
+        else:
+            store, root = fs.LocalFileSystem(), media_dir
+        for batch in batches:
+            found = []
+            for name in batch["save_name"]:
+                folder = fs.FileSelector(f"{root}/{name}", allow_not_found=True)
+                files = [i for i in store.get_file_info(folder) if i.type == fs.FileType.File]
+                found += [(name, i.base_name, i.size) for i in files]
+            yield pd.DataFrame(found, columns=["save_name", "fname", "size"])
+
+    return names.select("save_name").mapInPandas(run, LISTING_SCHEMA)

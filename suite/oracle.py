@@ -465,7 +465,7 @@ oracle(
       vlm_download_error_before_url, cast(null as varchar) as vlm_ai_generated,
       cast(null as varchar) as vlm_full_response_json from results where vlm_error is not null""", *SCORED,
 )
-oracle("annotate_posts", "select ordinal, vlm_annotation_json, vlm_annotation_error, vlm_annotation_model_used "
+oracle("annotate", "select ordinal, vlm_annotation_json, vlm_annotation_error, vlm_annotation_model_used "
                          "from annotated", *ANNOTATED)
 oracle(
     "annotation_sink_rows",
@@ -485,7 +485,7 @@ oracle(
       union all select page_id + 1000000000, 'web', null, url from pages)""", "posts",
 )
 oracle(
-    "cells_as_text",
+    "cell_text",
     """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || case when microsecond(ts) % 1000000 = 0 then ''
         else '.' || lpad((microsecond(ts) % 1000000)::varchar, 6, '0') end as ts_text,
       cast(value as varchar) as value_text, cast(value * 1e7 as varchar) as large_text,

@@ -35,11 +35,13 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
+    """Register ``fn`` under its name, less the underscore that keeps it off an import."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         return fn(spark, sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return fn
 
 
@@ -489,7 +491,7 @@ def annotated_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def annotate_posts(spark, sf):
+def annotate_(spark, sf):
     return annotated_posts(spark, sf).select("ordinal", *results.ANNOTATION_COLUMNS)
 
 
@@ -521,7 +523,7 @@ def header_reconcile(spark, sf):
 
 
 @query
-def cells_as_text(spark, sf):
+def cell_text_(spark, sf):
     rows = table(spark, sf, "events").select(
         "event_id", "ts", "value", (F.col("value") * 1e7).alias("large"),
         (F.col("value") / 1e5).alias("small"), (F.col("value") > 20).alias("big"),

@@ -295,6 +295,47 @@ def test_project_file(spark, tmp_path):
     assert "ordinal" not in read_results(spark, job.results_path).columns
 
 
+def test_media_folder_lookup_and_listing(spark, tmp_path):
+    from glossa.functions.text import media_save_name
+    from glossa.operators.media import resolve_media
+    from glossa.sources.media import list_media, media_manifest
+
+    urls = ["https://a", "https://b", "https://c"]
+    names = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string")
+             .select(media_save_name(F.col("u"), "post")).collect()]
+    store = tmp_path / "media"
+    files = {f"{names[0]}/{names[0]}.mp4": "", f"{names[0]}/{names[0]}_2.jpg": "x", f"{names[0]}/other.jpg": "x",
+             f"{names[1]}/{names[1]}.webp": "x", f"{names[1]}/{names[1]}.mp4": "x", "else/else.mp4": "x"}
+    for name, content in files.items():
+        (store / name).parent.mkdir(parents=True, exist_ok=True)
+        (store / name).write_text(content)
+    want = {(names[0], f"{names[0]}_2.jpg"), (names[1], f"{names[1]}.mp4")}
+    asked = list_media(spark.createDataFrame([(n,) for n in names], "save_name string"), str(store))
+    assert {tuple(r) for r in resolve_media(asked).collect()} == want
+    every = resolve_media(media_manifest(spark, str(store)))
+    assert {tuple(r) for r in every.collect()} == want | {("else", "else.mp4")}
+    assert media_manifest(spark, str(tmp_path / "none")).count() == 0
+
+    posts = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "ordinal long, post_url string, platform string")
+    job = JOB.with_(results_path=str(tmp_path / "r"), media_dir=str(store))
+    seen = per_row_client(lambda request: {"justification": request["media_path"]})
+    run_job(posts, job, seen)
+    assert rows(spark, job.results_path, "ordinal", "vlm_url_used", "vlm_justification") == [
+        (0, "post", f"{names[0]}/{names[0]}_2.jpg"), (1, "post", f"{names[1]}/{names[1]}.mp4"), (2, "url", None)]
+
+
+def test_empty_results_have_every_column(spark, tmp_path):
+    from glossa.operators.results import empty_results, result_columns
+    from glossa.schema_spec import schema_spec
+
+    spec = schema_spec(Typed)
+    source = T.StructType.fromDDL("ordinal long, vlm_content_key string")
+    empty = empty_results(spark, source, spec, ["vlm_annotation_json"])
+    assert empty.count() == 0
+    assert set(empty.columns) == {"ordinal", *result_columns(spec, ["vlm_annotation_json"])}
+    assert dict(empty.dtypes)["vlm_n"] == "bigint"
+
+
 def test_scratch_is_gone_after_a_run(spark, posts, tmp_path):
     from pathlib import Path
 
