@@ -66,6 +66,7 @@ def _outcomes(rows: DataFrame, job: JobConfig, number: int, prompt: Column, clie
         job.primary_model,
         job.fallback_model,
         job.score_partitions or rows.sparkSession.sparkContext.defaultParallelism,
+        stop_early=job.stop_on_primary_daily_quota and number == 1,
     )
     if job.attempts_path:
         keys = rows.select(F.col(POS).alias("k"), KEY)

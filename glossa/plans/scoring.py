@@ -15,12 +15,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.config import RetryPolicy
+from glossa.functions.errors import (
+    DAILY_MARKS,
+    DELAY_HOURS,
+    DELAY_SECONDS,
+    EXHAUSTED_MARKS,
+    RETRYABLE_MARKS,
+    SPELLED_DAY,
+    SPELLED_LIMIT,
+)
 from glossa.operators.attempts import with_final, with_reply_error
 from glossa.session import write_observed
 from glossa.sources.attempts import LOG_SCHEMA
 
 # What a client sees of each request.
-REQUEST_COLUMNS = ["k", "pass", "model", "attempt", "prompt", "call_url", "media_path", "mime", "wait_sec"]
+REQUEST_COLUMNS = [
+    "k", "pass", "model", "attempt", "prompt", "call_url", "media_path", "mime", "wait_sec", "stops",
+]
 
 # A factory, called once per partition; the client maps request rows to ``resp`` and ``err``.
 Client = Callable[[Any], Any]
@@ -30,29 +41,50 @@ ClientFactory = Callable[[], Client]
 def per_row_client(call: Callable[[dict], Any]) -> ClientFactory:
     """Client from ``call(request) -> reply``; what it raises becomes the attempt's error.
 
-    A reply may be text, a dict or a dataclass instance.
+    A reply may be text, a dict or a dataclass instance. Where a daily quota ends the run
+    (``stops``), rows behind the first such error of a task share it without a call: they
+    lie behind the stop and are never stored.
     """
+    exhausted, retryable, daily = EXHAUSTED_MARKS, RETRYABLE_MARKS, DAILY_MARKS
+    day, limit, seconds, hours = SPELLED_DAY, SPELLED_LIMIT, DELAY_SECONDS, DELAY_HOURS
 
     def factory() -> Client:
         import dataclasses
         import json
+        import re
 
         import pandas as pd
 
+        spent: list[str] = []
+
         def text(reply):
             if reply is None or isinstance(reply, str):
                 return reply
             plain = dataclasses.asdict(reply) if dataclasses.is_dataclass(reply) else reply
             return json.dumps(plain, ensure_ascii=False, default=lambda v: getattr(v, "value", str(v)))
 
+        def ends_the_run(error):
+            # Narrower than the engine's own test: only errors that are final and daily.
+            if re.search(retryable, error) or re.search(seconds, error) or not re.search(exhausted, error):
+                return False
+            wait = re.search(hours, error)
+            if wait:
+                return int(wait.group(1)) >= 1
+            return bool(re.search(daily, error) or (re.search(day, error) and re.search(limit, error)))
+
+        def one(request):
+            if request["stops"] and spent:
+                return None, spent[0]
+            try:
+                return text(call(request)), None
+            except Exception as exc:
+                error = str(exc)
+                if request["stops"] and ends_the_run(error):
+                    spent.append(error)
+                return None, error
+
         def run(requests):
-            answers = []
-            for request in requests.to_dict("records"):
-                try:
-                    answers.append((text(call(request)), None))
-                except Exception as exc:
-                    answers.append((None, str(exc)))
-            return pd.DataFrame(answers, columns=["resp", "err"])
+            return pd.DataFrame([one(r) for r in requests.to_dict("records")], columns=["resp", "err"])
 
         return run
 
@@ -99,12 +131,14 @@ def score(
     primary: str,
     fallback: str,
     partitions: int,
+    stop_early: bool = False,
 ) -> DataFrame:
     """Call the model for every row until nothing is left to retry.
 
     ``rows`` has a unique ``k`` and the ``model`` to start with; ``build`` adds the request
     columns. It runs after the rows are spread, so prompts are never shuffled. Each round
-    holds only the rows the one before left open, at most twice the allowed attempts.
+    holds only the rows the one before left open, at most twice the allowed attempts. With
+    ``stop_early`` a client may skip rows behind a daily quota error of the primary model.
 
     Returns the attempt log. Its rows without a ``next_model`` are the outcomes, one per
     ``k``: see ``outcomes``.
@@ -112,8 +146,10 @@ def score(
     logs: list[DataFrame] = []
     todo = rows.withColumns({"attempt": F.lit(0), "wait_sec": F.lit(0.0)})
     for _ in range(2 * policy.max_attempts):
-        spread = build(todo.repartition(partitions, "k"))
-        answered = with_reply_error(call_once(spread, make_client))
+        spread = todo.repartition(partitions, "k").sortWithinPartitions("k")
+        stops = F.lit(stop_early) & (F.col("model") == primary)
+        requests = build(spread).withColumn("stops", stops)
+        answered = with_reply_error(call_once(requests, make_client))
         log, seen = write_observed(
             with_next(answered, policy, primary, fallback), "calls",
             open_rows=F.count("next_model"),

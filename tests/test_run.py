@@ -101,6 +101,40 @@ def test_quota_stop_is_an_exact_prefix(spark, posts, tmp_path):
     assert stop < report.written < report.queued
 
 
+@pytest.mark.parametrize(
+    ("error", "calls", "written"),
+    [
+        ("429 quota exceeded: PerDay retry in 14h0m1s", 6, 6),
+        ("429 quota per day", 6, 6),
+        # Worth a retry as well, so not final at first: nothing behind it may be skipped.
+        ("429 per-day retry in 5s", 20 + 15 + 15, 6),
+        # No daily error at all.
+        ("403 no", 20, 20),
+    ],
+)
+def test_calls_behind_a_daily_stop_are_saved(spark, tmp_path, error, calls, written):
+    from glossa.functions.text import media_save_name
+
+    posts = spark.range(20).select(
+        F.col("id").alias("ordinal"), F.format_string("https://p/%02d", "id").alias("post_url"), F.lit("x").alias("platform")
+    )
+    name = media_save_name(F.col("post_url"), "post")
+    manifest = posts.select(name.alias("save_name"), F.concat(name, F.lit(".mp4")).alias("fname"), F.lit(1).alias("size"))
+    counter = tmp_path / "calls"
+
+    def call(request):
+        with open(counter, "a") as out:
+            out.write("x")
+        if request["call_url"] >= "https://p/05":
+            raise RuntimeError(error)
+        return "{}"
+
+    job = JOB.with_(score_partitions=1, stop_on_primary_daily_quota=True, results_path=str(tmp_path / "r"))
+    report = run_job(posts, job, per_row_client(call), manifest)
+    assert report.written == written and len(counter.read_text()) == calls
+    assert sorted(r[0] for r in rows(spark, job.results_path, "ordinal")) == list(range(written))
+
+
 def test_url_only_rows_never_stop_a_run(spark, posts, tmp_path):
     job = JOB.with_(stop_on_primary_daily_quota=True, results_path=str(tmp_path / "r"))
 
@@ -143,7 +177,8 @@ def test_attempts_and_fallback(spark, tmp_path):
     df = spark.createDataFrame(list(enumerate(kinds)), "k long, call_url string").withColumn("model", F.lit("primary"))
 
     def build(spread):
-        return spread.withColumns({"pass": F.lit(1), "prompt": F.lit("p"), "media_path": F.lit("f"), "mime": F.lit("m")})
+        return spread.withColumns({"pass": F.lit(1), "prompt": F.lit("p"), "media_path": F.lit("f"),
+                                   "mime": F.lit("m")})
 
     log = score(df, build, per_row_client(call), RetryPolicy(), "primary", "fallback", 3)
     calls = {r.k: r.n for r in log.groupBy("k").agg(F.count("*").alias("n")).collect()}
