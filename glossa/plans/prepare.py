@@ -90,6 +90,16 @@ def with_media(rows: DataFrame, job: JobConfig, manifest: DataFrame | None,
 # Working columns of the queue that results do not carry.
 ROUTE_COLUMNS = ("call_url", "url_role", "save_name", "media_fname", "download_error", "url_used", "mime")
 
+# Names a run needs for itself; input columns must not use them.
+RESERVED_COLUMNS = (*ROUTE_COLUMNS, "analysis", "resp", "err", "model_used", "k", "model", "prompt")
+
+
+def check_names(posts: DataFrame) -> DataFrame:
+    taken = [c for c in posts.columns if c in RESERVED_COLUMNS or c.startswith("_")]
+    if taken:
+        raise ValueError(f"Rename input columns {taken}: a run uses these names.")
+    return posts
+
 
 def prepare(
     posts: DataFrame,
@@ -99,7 +109,7 @@ def prepare(
     failures: DataFrame | None = None,
 ) -> Queue | None:
     """Build and write the queue; None when every row is already done."""
-    rows = queue_rows(posts, processed, job)
+    rows = queue_rows(check_names(posts), processed, job)
     # A struct is the reader's own numbering (sources.posts.input_order), not a user column.
     numbered = isinstance(posts.schema[job.ordinal].dataType, StructType)
     source = [c for c in rows.columns if c != job.ordinal or not numbered]

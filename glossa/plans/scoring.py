@@ -74,7 +74,7 @@ def per_row_client(call: Callable[[dict], Any]) -> ClientFactory:
 
         def one(request):
             if request["stops"] and spent:
-                return None, spent[0]
+                return None, f"Not called after: {spent[0]}"
             try:
                 return text(call(request)), None
             except Exception as exc:

@@ -41,6 +41,13 @@ def test_required_columns(spark):
         queue.dedup_first(posts(spark, []).drop("post_url"))
 
 
+def test_names_a_run_uses_are_refused(spark):
+    for name in ("mime", "err", "_pos"):
+        df = posts(spark, [(1, "a", None, "x")]).withColumn(name, F.lit(1))
+        with pytest.raises(ValueError, match=name):
+            prepare(df, no_keys(spark), JOB)
+
+
 def test_null_group_is_dropped_by_the_cap(spark):
     df = posts(spark, [(1, "a", None, None), (2, "b", None, "x"), (3, "c", None, "x"), (4, "d", None, "y")])
     rows = queue_rows(df, no_keys(spark), JOB.with_(rows_per_platform=1))
