@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate, mixing, near_dup, quality, sharding
-from glossa.llm.common import id_remainder, table
+from glossa.llm.common import id_remainder, prepare, repeats_an_id, table
 from glossa.llm.queries import N_SHARDS, TARGETS
-from glossa.session import configure, write_scratch
+from glossa.session import write_scratch
 
 # Five words and a similarity of 0.8.
 NEAR_DUP = near_dup.NearDupSettings()
@@ -23,7 +23,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Nulls, empty texts, repeated rows and clashing columns: as in ``score_quality``.
     """
-    taught = table(spark, sf_dir, "labels").filter(id_remainder("doc_id", 3) != 1)
+    taught = table(prepare(spark), sf_dir, "labels").filter(id_remainder("doc_id", 3) != 1)
     model = quality.learn_quality(docs, taught)
     return quality.keep_predicted(docs, model)
 
@@ -33,8 +33,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Rows without a doc_id stay. Of rows that repeat a doc_id the smallest, by text and then the other columns, stays.
     """
+    prepare(spark)
     named = docs.filter(F.col("doc_id").isNotNull())
-    if near_dup.repeats_an_id(named.select("doc_id")):
+    if repeats_an_id(named.select("doc_id")):
         rest = ["text", *[c for c in docs.columns if c not in ("doc_id", "text")]]
         one = named.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*")
         docs = write_scratch(one.select(*docs.columns).union(docs.filter(F.col("doc_id").isNull())), "named")
@@ -44,7 +45,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(prepare(spark), sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +73,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each but the last is written as Parquet and read again."""
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(prepare(spark), sf_dir, "documents")
     *others, (_, last) = STAGES
     docs = reduce(lambda d, stage: write_scratch(stage[1](spark, d, sf_dir), "stage"), others, docs)
     return last(spark, docs, sf_dir)

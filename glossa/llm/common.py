@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,9 +11,37 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from glossa.session import configure
+
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+# Rows of a batch between the JVM and Python. Whole texts travel, so the usual ten thousand would be too many.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings the operators rely on: bounded batches, and those that change results."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return configure(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Give back the disk of shuffles whose tables are written.
+
+    Spark deletes the files of a shuffle once the driver's JVM finds that nothing refers to it, which on a
+    driver with little garbage may be long after. Plans die in the first collection and what they hold in the second.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
+def repeats_an_id(rows: DataFrame) -> bool:
+    return bool(rows.groupBy("doc_id").count().filter("count > 1").limit(1).count())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,13 +1,14 @@
 """Near-duplicates by banded MinHash with odd sketches (Mitzenmacher, Pagh and Pham, 2014).
 
 Exactly equal shingle sets are one class. Classes meet in bands of MinHash samples. The samples of a
-class are also folded into a bitmap of parities; the number of bits in which two bitmaps differ bounds
-the number of samples in which they differ, so pairs far below the threshold fall before their sets are
-read. What is left is compared on the full sets.
+class are also folded into a bitmap of parities, and so is its whole set. The number of bits in which two
+bitmaps differ bounds the samples, and the shingles, in which they differ, so pairs below the
+threshold fall before their sets are read. What is left is compared on the full sets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from math import comb
@@ -18,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import utf8, with_text_columns
+from glossa.llm.bitmap import bitmap_of, passes
+from glossa.llm.common import release, repeats_an_id, utf8, with_text_columns
 from glossa.llm.components import connected_components
 from glossa.llm.hashing import mix, shingle_set
 from glossa.session import write_scratch
@@ -26,19 +28,24 @@ from glossa.session import write_scratch
 
 @dataclass(frozen=True)
 class NearDupSettings:
-    """``percent``: least similarity, inclusive. ``bands`` bands of ``rows`` samples each.
+    """``percent``: least similarity, inclusive. ``bands`` bands of ``rows`` samples each; large buckets of the
+    first ``forest_bands`` are searched for likely links first, those of all bands afterwards.
 
     A pair at the threshold meets in no band with probability (1 - (percent/100)^rows)^bands:
-    6e-11 for 85 % and 2e-8 for 80 % at the values below. ``sketch_words``: 64-bit words of the bitmap.
-    ``lost``: probability at which the bitmap may refuse a pair at the threshold. ``block``: most
-    members of a bucket compared in one task at once.
+    6e-11 for 85 % and 5e-8 for 80 % at the values below. ``sketch_words``, ``parity_words``: 64-bit
+    words of the bitmaps of samples and of sets. ``lost``: probability at which the samples' bitmap may refuse a
+    pair at the threshold; that of sets never does. ``block``: most members of a bucket compared in one
+    task at once. ``filter_words``: size of the filter that says whose sets are wanted.
     """
 
     shingle: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 4
+    forest_bands: int = 8
     sketch_words: int = 8
+    parity_words: int = 16
+    filter_words: int = 1 << 18
     lost: float = 1e-9
     block: int = 512
     seed: int = 11
@@ -80,79 +87,89 @@ def odd_sketch(samples: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
+def set_parity(items: np.ndarray, words: int) -> np.ndarray:
+    """Parity bitmap of a whole set: two of them differ in at most as many bits as their sets in items."""
+    place = (items * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    bits = np.bincount((place % np.uint64(words * 64)).astype(np.int64), minlength=words * 64) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+
+
 def signatures(docs: DataFrame, settings: NearDupSettings) -> DataFrame:
-    """(doc_id, n, fp, bands, sketch) per row. ``fp``: fingerprint of the whole set, null if empty."""
+    """(doc_id, n, fp, bands, sketch, parity) per row. ``fp``: fingerprint of the whole set, null if empty."""
     flips, factors = _constants(settings)
     shape = (settings.bands, settings.rows)
 
     def of_text(text: str | None):
         items = shingle_set(utf8(text), settings.shingle)
         if not len(items):
-            return 0, None, [], []
+            return 0, None, [], [], []
         samples = min_hashes(items, flips, factors)
         keys = np.arange(settings.bands, dtype=np.uint64) + np.uint64(1)
         for column in samples.astype(np.uint64).reshape(shape).T:
             keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + column)
         fp = f"{int(items.sum(dtype=np.uint64)):016x}{int(np.bitwise_xor.reduce(mix(items * np.uint64(5) + np.uint64(1)))):016x}"
-        return len(items), fp, keys.view(np.int64), odd_sketch(samples, settings.sketch_words).view(np.int64)
+        return len(items), fp, keys.view(np.int64), odd_sketch(samples, settings.sketch_words).view(np.int64), set_parity(items, settings.parity_words).view(np.int64)
 
     fields = {
         "n": ("long", pa.int64()), "fp": ("string", pa.string()),
-        "bands": ("array<long>", pa.list_(pa.int64())), "sketch": ("array<long>", pa.list_(pa.int64())),
+        **{name: ("array<long>", pa.list_(pa.int64())) for name in ("bands", "sketch", "parity")},
     }
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return with_text_columns(rows, "text", fields, lambda texts: list(zip(*map(of_text, texts)))).drop("text")
 
 
-def shingle_sets(docs: DataFrame, settings: NearDupSettings) -> DataFrame:
-    """(id, items): the sorted full set of each row of (id, text)."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: NearDupSettings) -> DataFrame:
+    """(id, items): the sorted full sets of the documents whose id is in ``wanted`` (and of few others).
+
+    Made again from the text where the text is read, so no text is shuffled; written once.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted.select("id"), settings.filter_words))
 
-    def sets(texts: list) -> list:
-        return [[shingle_set(utf8(t), settings.shingle).view(np.int64) for t in texts]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                hit = part.filter(pa.array(passes(part.column("id").to_numpy().view(np.uint64), sent.value)))
+                sets = [shingle_set(utf8(t), settings.shingle).view(np.int64) for t in hit.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([hit.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "items"])
 
-    return with_text_columns(docs.select("id", "text"), "text", {"items": ("array<long>", pa.list_(pa.int64()))}, sets, rows=500).drop("text")
+    rows = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+    return write_scratch(rows.mapInArrow(run, "id long, items array<long>"), "sets")
 
 
-def _similar_sizes(n: Column, m: Column, settings: NearDupSettings) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * settings.percent
+def _differing_bits(a: str, b: str, words: int) -> Column:
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(words)])
 
 
-def _differing_bits(a: str, b: str, settings: NearDupSettings) -> Column:
-    parts = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(settings.sketch_words)]
-    return reduce(lambda x, y: x + y, parts)
+def _may_link(settings: NearDupSettings) -> Column:
+    """Whether sizes and bitmaps of classes a and b allow a link."""
+    n, m = F.col("n_a"), F.col("n_b")
+    sample_bits = _differing_bits("sketch_a", "sketch_b", settings.sketch_words)
+    set_bits = _differing_bits("parity_a", "parity_b", settings.parity_words)
+    return (
+        (F.least(n, m) * 100 >= F.greatest(n, m) * settings.percent)
+        & (sample_bits <= most_differing_bits(settings))
+        & (set_bits * (100 + settings.percent) <= (n + m) * (100 - settings.percent))
+    )
 
 
 def _links(shared: Column, n: Column, m: Column, settings: NearDupSettings) -> Column:
     return shared * 100 >= (n + m - shared) * settings.percent
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, settings: NearDupSettings) -> DataFrame:
-    """Full sets of the classes in ``ids``, made again from the text and written once."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return write_scratch(shingle_sets(texts, settings), "sets")
-
-
-def _star_links(docs: DataFrame, classes: DataFrame, buckets: DataFrame, members: DataFrame, settings: NearDupSettings) -> DataFrame:
-    """Links between the smallest class of a bucket and every other one in it."""
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, settings: NearDupSettings) -> DataFrame:
+    """The ``pairs`` (a, b) of classes that are links, by their full sets."""
+    slim = classes.select("id", "n", "sketch", "parity")
     pairs = (
-        members.join(buckets, "bucket").filter(F.col("id") != F.col("first"))
-        .select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    )
-    slim = classes.select(F.col("id"), "n", "sketch")
-    pairs = (
-        pairs.join(slim.toDF("a", "n_a", "sketch_a"), "a").join(slim.toDF("b", "n_b", "sketch_b"), "b")
-        .filter(_similar_sizes(F.col("n_a"), F.col("n_b"), settings))
-        .filter(_differing_bits("sketch_a", "sketch_b", settings) <= most_differing_bits(settings))
-        .select("a", "b", "n_a", "n_b")
+        pairs.join(slim.toDF("a", "n_a", "sketch_a", "parity_a"), "a").join(slim.toDF("b", "n_b", "sketch_b", "parity_b"), "b")
+        .filter(_may_link(settings)).select("a", "b", "n_a", "n_b")
     )
     pairs = write_scratch(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _sets_of(docs, ids, settings)
+    sets = shingle_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))), settings)
     shared = F.size(F.array_intersect("items_a", "items_b")).cast("long")
     links = (
         pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
-        .filter(_links(shared, F.col("n_a"), F.col("n_b"), settings))
-        .select("a", "b")
+        .filter(_links(shared, F.col("n_a"), F.col("n_b"), settings)).select("a", "b")
     )
     return write_scratch(links, "links")
 
@@ -173,30 +190,68 @@ def _tiles(rows: DataFrame, settings: NearDupSettings) -> DataFrame:
     )
 
 
-def _other_links(docs: DataFrame, classes: DataFrame, rest: DataFrame, settings: NearDupSettings) -> DataFrame:
-    """Links between members of a bucket with several labels, apart from its smallest member.
+class _Tile:
+    """Members of a tile, and which of them the bitmaps allow to be linked with one of them."""
+
+    def __init__(self, tile: pd.DataFrame, settings: NearDupSettings):
+        self.settings, self.bits = settings, most_differing_bits(settings)
+        self.ids, self.n = tile["id"].to_numpy(), tile["n"].to_numpy()
+        self.sketch, self.parity = (
+            np.array(tile[c].to_list(), dtype=np.int64).view(np.uint64) for c in ("sketch", "parity")
+        )
+
+    def distance(self, i: int) -> np.ndarray:
+        """Differing samples' bits from member ``i``, and a large number where a link is ruled out."""
+        n, m, percent = self.n, self.n[i], self.settings.percent
+        bits = np.bitwise_count(self.sketch ^ self.sketch[i]).sum(axis=1, dtype=np.int64)
+        sets = np.bitwise_count(self.parity ^ self.parity[i]).sum(axis=1, dtype=np.int64)
+        fits = (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (sets * (100 + percent) <= (n + m) * (100 - percent))
+        return np.where(fits & (bits <= self.bits), bits, 1 << 30)
+
+
+def _likely_links(rows: DataFrame, settings: NearDupSettings) -> DataFrame:
+    """(a, b): per tile, a shortest forest by the bitmaps, so that few pairs are likely to join many members."""
+
+    def forest(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("id")
+        members = _Tile(tile, settings)
+        ids, far = members.ids, 1 << 30
+        nearest, by = np.full(len(ids), far), np.zeros(len(ids), dtype=np.int64)
+        left = np.ones(len(ids), dtype=bool)
+        out, i = [], 0
+        for _ in range(len(ids)):
+            left[i] = False
+            closer = np.where(left, members.distance(i), far)
+            better = closer < nearest
+            nearest[better], by[better] = closer[better], i
+            nearest[i] = far
+            if not left.any():
+                break
+            i = int(np.argmin(np.where(left, nearest, far + 1)))
+            if nearest[i] < far:
+                a, b = sorted((int(ids[i]), int(ids[by[i]])))
+                out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return _tiles(rows, settings).groupBy("bucket", "low", "high").applyInPandas(forest, "a long, b long")
+
 
-    First, sketches alone tell which members have a partner of another label in their tile. The full
+def _other_links(docs: DataFrame, rest: DataFrame, settings: NearDupSettings) -> DataFrame:
+    """Links between members of a bucket that have different labels, all of them as far as labels go.
+
+    First, bitmaps alone tell which members have a partner of another label in their tile. The full
     sets of those alone go to the tiles, where pairs are compared unless their labels have met
     already; a tile returns a spanning forest of its links.
     """
-    bits, percent, words = most_differing_bits(settings), settings.percent, settings.sketch_words
 
     def partners(tile: pd.DataFrame) -> pd.DataFrame:
-        n, label = tile["n"].to_numpy(), tile["label"].to_numpy()
-        sketch = np.array(tile["sketch"].to_list(), dtype=np.int64).view(np.uint64).reshape(-1, words)
-        active = np.zeros(len(tile), dtype=bool)
-        for i in range(len(tile)):
-            fits = (label != label[i]) & (np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent)
-            near = np.flatnonzero(fits)
-            differ = np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1)
-            active[i] = bool((differ <= bits).any())
-        return tile.loc[active, ["bucket", "low", "high", "id", "label", "n", "sketch"]]
+        members, label = _Tile(tile, settings), tile["label"].to_numpy()
+        active = [bool(((members.distance(i) < 1 << 30) & (label != label[i])).any()) for i in range(len(tile))]
+        return tile.loc[active, ["bucket", "low", "high", "id", "label", "n", "sketch", "parity"]]
 
     def compare(tile: pd.DataFrame) -> pd.DataFrame:
-        ids, label, n = (tile[c].to_numpy() for c in ("id", "label", "n"))
-        sketch = np.array(tile["sketch"].to_list(), dtype=np.int64).view(np.uint64).reshape(-1, words)
-        sets = tile["items"].to_list()
+        members, label = _Tile(tile, settings), tile["label"].to_numpy()
+        ids, n, sets = members.ids, members.n, tile["items"].to_list()
         root = {x: x for x in label}
 
         def find(x):
@@ -207,35 +262,27 @@ def _other_links(docs: DataFrame, classes: DataFrame, rest: DataFrame, settings:
 
         out = []
         for i in range(len(tile)):
-            later = np.arange(i + 1, len(tile))
-            fits = np.minimum(n[later], n[i]) * 100 >= np.maximum(n[later], n[i]) * percent
-            later = later[fits & (np.bitwise_count(sketch[later] ^ sketch[i]).sum(axis=1) <= bits)]
-            for j in later:
+            for j in np.flatnonzero(members.distance(i) < 1 << 30):
                 x, y = find(label[i]), find(label[j])
-                if x == y:
+                if j <= i or x == y:
                     continue
                 shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if shared * 100 >= (n[i] + n[j] - shared) * percent:
+                if shared * 100 >= (n[i] + n[j] - shared) * settings.percent:
                     root[x] = y
                     out.append((ids[i], ids[j]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     key = ["bucket", "low", "high"]
-    slim = rest.join(classes.select("id", "n", "sketch"), "id")
     active = write_scratch(
-        _tiles(slim, settings).groupBy(*key).applyInPandas(
-            partners, "bucket long, low int, high int, id long, label long, n long, sketch array<long>"
+        _tiles(rest, settings).groupBy(*key).applyInPandas(
+            partners, "bucket long, low int, high int, id long, label long, n long, sketch array<long>, parity array<long>"
         ),
         "active",
     )
-    sets = _sets_of(docs, active.select("id").distinct(), settings)
+    sets = shingle_sets(docs, active, settings)
     return active.join(sets, "id").groupBy(*key).applyInPandas(compare, "a long, b long").distinct()
 
 
-def repeats_an_id(rows: DataFrame) -> bool:
-    return bool(rows.groupBy("doc_id").count().filter("count > 1").limit(1).count())
-
-
 def near_duplicates(docs: DataFrame, settings: NearDupSettings = NearDupSettings()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
@@ -247,8 +294,8 @@ def near_duplicates(docs: DataFrame, settings: NearDupSettings = NearDupSettings
       compared; all of them are returned
     * empty table: no rows; other columns are not read
 
-    Work per step: one pass over the texts; bands shuffled as 16 bytes each; texts read again only
-    for classes in pairs that sketches let through. No step lists all pairs of a bucket.
+    Work per step: three passes over the texts, which are never shuffled; bands shuffled as a few bytes
+    each; sets made only for classes in pairs that the bitmaps let through. No step lists all pairs of a bucket.
     """
     signed = write_scratch(signatures(docs, settings), "signatures")
     named = signed.filter(F.col("doc_id").isNotNull())
@@ -268,30 +315,34 @@ def near_duplicates(docs: DataFrame, settings: NearDupSettings = NearDupSettings
     )
     classes = usable.join(copies, "fp", "left").filter(
         F.col("first").isNull() | (F.col("first") == F.col("doc_id"))
-    ).select(F.col("doc_id").alias("id"), "n", "bands", "sketch")
+    ).select(F.col("doc_id").alias("id"), "n", "bands", "sketch", "parity")
     classes = write_scratch(classes, "classes")
 
-    members = classes.select(F.explode("bands").alias("bucket"), "id")
+    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "id")
     buckets = write_scratch(
-        members.groupBy("bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets"
-    )
-    links = _star_links(docs, classes, buckets, members, settings)
-    labels = connected_components(links)
-
-    # Buckets of three or more whose members, the first aside, still have different labels.
-    large = buckets.filter("size > 2")
-    open_members = (
-        members.join(large, "bucket").filter(F.col("id") != F.col("first"))
-        .join(labels.withColumnRenamed("node", "id"), "id", "left")
-        .select("bucket", "size", "id", F.coalesce("component", "id").alias("label"))
+        members.groupBy("bucket", "band").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("size"))
+        .filter("size > 1"),
+        "buckets",
     )
-    open_members = write_scratch(open_members, "members")
+    large = buckets.filter("size > 2").select("bucket", "band", "size")
+    crowded = write_scratch(members.join(large, ["bucket", "band"]).select("bucket", "band", "size", "id"), "crowded")
+    bitmaps = classes.select("id", "n", "sketch", "parity")
+    likely = _likely_links(crowded.filter(F.col("band") < settings.forest_bands).join(bitmaps, "id"), settings)
+    pairs = buckets.filter("size = 2").select("a", "b").union(likely).distinct()
+    links = _confirmed(docs, classes, pairs, settings)
+    release(docs.sparkSession)
+    labels = connected_components(links).withColumnRenamed("node", "id")
+
+    # Buckets of three or more whose members still have different labels.
+    labelled = crowded.join(labels, "id", "left").select("bucket", "size", "id", F.coalesce("component", "id").alias("label"))
+    labelled = write_scratch(labelled, "labelled")
     several = write_scratch(
-        open_members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket"), "several"
+        labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket"), "several"
     )
-    rest = open_members.join(several, "bucket")
-    more = _other_links(docs, classes, rest, settings)
+    more = _other_links(docs, labelled.join(several, "bucket").join(bitmaps, "id"), settings)
 
+    more = write_scratch(more, "more")
+    release(docs.sparkSession)
     whole = connected_components(links.union(more).union(same))
     whole = whole.withColumnRenamed("node", "doc_id")
     out = signed.select("doc_id", "n").join(whole, "doc_id", "left")

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate, html_text, language, mixing, near_dup, nearest, quality, sharding, suffix_dedup, warc
-from glossa.llm.common import id_remainder, table
-from glossa.session import configure
+from glossa.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +23,7 @@ NEAR_DUP = near_dup.NearDupSettings(shingle=3, percent=85)
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(configure(spark), sf_dir)
+        return fn(prepare(spark), sf_dir)
 
     QUERIES[fn.__name__] = run
     return fn
