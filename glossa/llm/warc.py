@@ -129,8 +129,9 @@ def write_archives(chunks: DataFrame, folder: str, settings: WarcSettings = Warc
                     if out is not None and size >= settings.file_bytes:
                         end_file()
                     if out is None:
-                        name = f"{base}/part-{uuid.uuid4().hex}.warc.gz"
-                        out, records, size = storage.open_output_stream(name, compression=None), 0, 0
+                        file = f"part-{uuid.uuid4().hex}.warc.gz"
+                        name = f"{folder.rstrip('/')}/{file}"
+                        out, records, size = storage.open_output_stream(f"{base.rstrip('/')}/{file}", compression=None), 0, 0
                     packer = zlib.compressobj(settings.level, zlib.DEFLATED, 31)
                     out.write(packer.compress(_record_head(
                         row["page_id"], row["url"], row["record_type"], row["refers_to"], row["payload_digest"], row["payload_bytes"], settings,
@@ -256,9 +257,9 @@ def read_archives(files: DataFrame, settings: WarcSettings = WarcSettings(), wit
         schema = pa.schema(_CHUNK_FIELDS)
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                storage, _ = _storage(path)
+                storage, place = _storage(path)
                 rows, held = [], 0
-                for row in _records(storage, path, settings, with_data):
+                for row in _records(storage, place, settings, with_data):
                     rows.append(row)
                     held += len(row[7] or b"") + 200
                     if held > 4 * settings.chunk:
