@@ -33,7 +33,7 @@ class OrderedTable:
         return self._numbered(self.table, name, start)
 
     def slice(self, first: int, last: int, name: str = "pos") -> DataFrame:
-        """Rows at positions ``first <= pos < last``; files outside are skipped by their stats."""
+        """Rows at positions ``first <= pos < last``; folders of other parts are not opened."""
         ends = [*sorted(self.offsets.values())[1:], self.count]
         hit = [
             part
@@ -41,6 +41,7 @@ class OrderedTable:
             if begin < last and end > first
         ]
         low, high = (hit[0], hit[-1]) if hit else (0, -1)
+        # A condition on the folder column: Spark prunes folders when it plans the scan.
         part = self.table.filter(F.col(PART).between(low, high))
         return self._numbered(part, name, 0).filter((F.col(name) >= first) & (F.col(name) < last))
 
@@ -62,7 +63,7 @@ def order_table(df: DataFrame, order: list[Column], label: str = "ordered") -> O
         .withColumn(PART, F.spark_partition_id())
         .withColumn(PLACE, F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)))
     )
-    table = write_scratch(placed, label)
+    table = write_scratch(placed, label, (PART,))
     counts = sorted((r[PART], r["n"]) for r in table.groupBy(PART).agg(F.count("*").alias("n")).collect())
     offsets: dict[int, int] = {}
     total = 0

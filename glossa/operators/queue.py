@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions.text import content_key, strip, with_clean_urls
 from glossa.operators.positions import with_position
+from glossa.session import write_observed
 
 KEY = "vlm_content_key"
 
@@ -99,18 +100,28 @@ def group_limit(spark) -> int:
     return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 
+# Rows of one group that may meet in one task while they are ranked.
+RANKED_ROWS = 1_000_000
+
+
 def top_per_group(df: DataFrame, group: str, n: int, order: list[Column]) -> DataFrame:
     """First ``n`` rows of each group; rows without a group are dropped.
 
-    Small ``n``: the rank is cut before the shuffle. Larger ``n``: a group could still
-    send most of its rows to one task, so ranks come from global positions instead.
+    Each partition sends up to ``n`` rows of a group to the group's task. Where that may be
+    more than ``RANKED_ROWS``, or the rank cannot be cut before the shuffle, ranks come from
+    global positions instead; both ways give the same rows.
     """
     rows = df.filter(F.col(group).isNotNull())
-    if n <= group_limit(df.sparkSession):
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n <= group_limit(df.sparkSession) and n * partitions <= RANKED_ROWS:
         ranked = Window.partitionBy(group).orderBy(*order)
         return rows.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n).drop("_rank")
     placed = with_position(rows, [F.col(group).asc(), *order], "_at")
-    starts = placed.groupBy(group).agg(F.min("_at").alias("_start"))
+    # One row per group. While these are few the rows themselves are not shuffled; where they are
+    # many no group can hold up a task.
+    starts, seen = write_observed(placed.groupBy(group).agg(F.min("_at").alias("_start")), "starts", groups=F.count("*"))
+    if seen["groups"] <= SMALL_BATCH:
+        starts = F.broadcast(starts)
     return placed.join(starts, group).filter(F.col("_at") - F.col("_start") < n).drop("_at", "_start")
 
 

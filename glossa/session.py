@@ -82,7 +82,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             fs.delete(where, True)
 
 
-def write_scratch(df: DataFrame, label: str) -> DataFrame:
+def shared_path(spark: SparkSession, path: str) -> str:
+    """``path``, refused where it can only name a folder of one machine's own disk."""
+    if "://" not in path and not path.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{path} has no scheme: on a cluster each executor would look on its own disk; give a URI")
+    return path
+
+
+def write_scratch(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once and return a scan of what was written.
 
     Cuts the lineage with a columnar table rather than a checkpoint, so later
@@ -90,7 +97,7 @@ def write_scratch(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
