@@ -52,12 +52,17 @@ class JobConfig:
     keep_null_urls: bool = False
     retry_errors: bool = False
 
-    # Rows scored and committed together; a stopped run loses at most one such chunk.
-    commit_rows: int = 1_000_000
+    # Rows whose results are appended together. Calls are kept as they are made (``log_path``), so
+    # this does not decide what a crash costs.
+    commit_rows: int = 100_000
     # Rows per block of the text sinks (see operators.positions.chunk_ids).
     append_chunk_size: int = DEFAULT_APPEND_CHUNK
-    # Tasks that call the model at the same time (0 = the session's default parallelism).
+    # Rows a task calls the model for; replies are kept when a task ends.
+    rows_per_task: int = 200
+    # Tasks per round, whatever the rows (0 = by ``rows_per_task``).
     score_partitions: int = 0
+    # Whether cells of CSV input may hold line breaks; then each file is one task.
+    multiline_csv: bool = True
 
     annotation: type | None = None
     annotation_template: str | None = None
@@ -72,9 +77,15 @@ class JobConfig:
     results_path: str = ""
     mirror_path: str = ""
     annotations_path: str = ""
-    # Where to keep every attempt of every call; empty keeps none.
+    # Where every attempt of every call is kept; beside the results if empty.
     attempts_path: str = ""
     media_dir: str = ""
+    # A table of the store's files (save_name, fname, size, path); preferred to listing the folder.
+    media_manifest: str = ""
+
+    @property
+    def log_path(self) -> str:
+        return self.attempts_path or f"{self.results_path.rstrip('/')}-attempts"
 
     def with_(self, **changes: Any) -> JobConfig:
         return replace(self, **changes)
@@ -106,7 +117,10 @@ def load_job(toml_path: str | Path) -> JobConfig:
 
     def resolved(key: str, default: str = "") -> str:
         value = part("paths").get(key, default)
-        return str((home / value).resolve()) if value else ""
+        # A URI stays as it is; other paths are relative to the project file.
+        if not value or "://" in value or value.startswith("file:"):
+            return value
+        return str((home / value).resolve())
 
     schemas = _load_module(home / part("schemas").get("module", "schemas.py"), f"schemas_{home.name}")
     annotation = part("schemas").get("annotation_class")
@@ -122,7 +136,7 @@ def load_job(toml_path: str | Path) -> JobConfig:
 
     direct = {
         name: part("processing")[name]
-        for name in ("rows_per_platform", "stop_on_primary_daily_quota", "shuffle_batch")
+        for name in ("rows_per_platform", "stop_on_primary_daily_quota", "shuffle_batch", "multiline_csv", "rows_per_task")
         if name in part("processing")
     }
     lists = {
@@ -149,7 +163,11 @@ def load_job(toml_path: str | Path) -> JobConfig:
         input_path=resolved("input_csv", "data/input.csv"),
         results_path=resolved("local_results_csv", "data/results.csv"),
         mirror_path=resolved("mirror_csv"),
-        media_dir=resolved("media_downloads", "media_downloads"),
+        annotations_path=resolved("annotations"),
+        attempts_path=resolved("attempts"),
+        media_manifest=resolved("media_manifest"),
+        # A store that is named must exist; the usual folder beside the project file may be absent.
+        media_dir=resolved("media_downloads", "media_downloads" if (home / "media_downloads").is_dir() else ""),
         **direct,
         **lists,
         **found,

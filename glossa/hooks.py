@@ -55,7 +55,8 @@ def row_hook(
 
     def columns(reply, row, analysis, key, media, called) -> dict[str, Column]:
         def as_json(c: Column) -> Column:
-            return F.when(c.isNotNull(), json_text(c))
+            # Rows that were not called send nothing to Python.
+            return F.when(called & c.isNotNull(), json_text(c))
 
         made = run(as_json(reply), as_json(row), as_json(analysis), key, media, called)
         return {n: made.getField(n) for n in names}

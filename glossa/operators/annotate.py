@@ -96,7 +96,7 @@ def annotate(
             row=F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in drop]),
             analysis=F.col("analysis"),
             key=F.col(key),
-            media=F.col("media_fname"),
+            media=F.col("media_path" if "media_path" in df.columns else "media_fname"),
             called=F.coalesce(F.col("_called"), F.lit(False)),
         )
     made = apply_model_and_error(made, reply, error, model)

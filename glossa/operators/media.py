@@ -9,18 +9,20 @@ from glossa.functions.text import media_save_name, with_clean_urls
 
 NO_URL_ERROR = "No media_url or post_url available to download."
 
-# Keyless rows spread over this many join keys that match nothing.
-_SPREAD = 4096
-
-
 def resolve_media(manifest: DataFrame) -> DataFrame:
-    """One file per save name: a non-empty ``<name>.mp4``, else the first non-empty ``<name>*``."""
+    """One file per save name: a non-empty ``<name>.mp4``, else the first non-empty ``<name>*``.
+
+    A ``path`` column of the manifest, where a file really is, goes along.
+    """
     name, fname = F.col("save_name"), F.col("fname")
     is_mp4 = fname == F.concat(name, F.lit(".mp4"))
+    path = F.col("path") if "path" in manifest.columns else F.lit(None).cast("string")
+    file = F.struct(fname.alias("media_fname"), path.alias("media_path"))
     return (
         manifest.filter((F.col("size") > 0) & fname.startswith(name))
         .groupBy("save_name")
-        .agg(F.coalesce(F.min(F.when(is_mp4, fname)), F.min(fname)).alias("media_fname"))
+        .agg(F.coalesce(F.min(F.when(is_mp4, file)), F.min(file)).alias("_file"))
+        .select("save_name", "_file.*")
     )
 
 
@@ -50,7 +52,9 @@ def dispatch_url(df: DataFrame) -> DataFrame:
 
 def join_by_name(df: DataFrame, right: DataFrame, spread_by: str) -> DataFrame:
     """Left join on ``save_name``; rows without one stay spread out instead of meeting in one task."""
-    nothing = F.concat(F.lit("?"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
+    # Join keys that match nothing, several for each task of the join.
+    keys = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nothing = F.concat(F.lit("?"), F.pmod(F.xxhash64(spread_by), F.lit(keys)).cast("string"))
     keyed = df.withColumn("_name", F.coalesce(F.col("save_name"), nothing))
     return keyed.join(right.withColumnRenamed("save_name", "_name"), "_name", "left").drop("_name")
 

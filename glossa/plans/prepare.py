@@ -23,6 +23,7 @@ from glossa.operators.queue import (
     top_per_group,
     with_content_key,
 )
+from glossa.session import write_scratch
 from glossa.sources.media import list_media
 
 
@@ -64,15 +65,22 @@ def with_media(rows: DataFrame, job: JobConfig, manifest: DataFrame | None,
                failures: DataFrame | None = None) -> DataFrame:
     """Add route, media file, media type and download error.
 
-    Without a manifest, the job's media folder is asked for the names in ``rows``.
+    Without a manifest, the job's manifest table is read, or its media folder asked for the
+    names in ``rows``. ``media_path`` is where the file is: the manifest's path, else its place
+    in the media folder.
     ``failures`` (``save_name``, ``video_error``, ``image_error``) is what a downloader
     recorded for files that are not in the store.
     """
     routed = dispatch_url(rows)
+    if manifest is None and job.media_manifest:
+        manifest = rows.sparkSession.read.parquet(job.media_manifest)
     if manifest is None and job.media_dir:
+        # Both the listing and the join read these rows: planned and read once.
+        routed = write_scratch(routed, "routed")
         manifest = list_media(routed.filter("save_name is not null").select("save_name").distinct(), job.media_dir)
     if manifest is None:
-        found = routed.withColumn("media_fname", F.lit(None).cast("string"))
+        nothing = F.lit(None).cast("string")
+        found = routed.withColumns({"media_fname": nothing, "media_path": nothing})
     else:
         found = join_by_name(routed, resolve_media(manifest), job.ordinal)
     if failures is None:
@@ -84,11 +92,15 @@ def with_media(rows: DataFrame, job: JobConfig, manifest: DataFrame | None,
         found = join_by_name(found, why, job.ordinal).withColumn(
             "download_error", F.when(F.col("media_fname").isNull(), F.col("download_error"))
         )
-    return with_route(found).withColumn("mime", mime_type(F.col("media_fname")))
+    in_store = F.concat_ws("/", F.lit(job.media_dir.rstrip("/") or None), "save_name", "media_fname")
+    path = F.when(F.col("media_fname").isNotNull(), F.coalesce("media_path", in_store))
+    return with_route(found).withColumns({"media_path": path, "mime": mime_type(F.col("media_fname"))})
 
 
 # Working columns of the queue that results do not carry.
-ROUTE_COLUMNS = ("call_url", "url_role", "save_name", "media_fname", "download_error", "url_used", "mime")
+ROUTE_COLUMNS = (
+    "call_url", "url_role", "save_name", "media_fname", "media_path", "download_error", "url_used", "mime",
+)
 
 # Names a run needs for itself; input columns must not use them.
 RESERVED_COLUMNS = (*ROUTE_COLUMNS, "analysis", "resp", "err", "model_used", "k", "model", "prompt")

@@ -7,9 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.session import path_exists
-
-LISTING_SCHEMA = "save_name string, fname string, size long"
+from glossa.session import path_exists, shared_path
 
 MANIFEST_SCHEMA = "save_name string, fname string, size long, path string"
 
@@ -35,24 +33,30 @@ def media_manifest(spark: SparkSession, media_dir: str) -> DataFrame:
 def list_media(names: DataFrame, media_dir: str) -> DataFrame:
     """Manifest rows for the given ``save_name`` values only, one folder listing per name.
 
-    The listings run in the tasks, against the shared store that ``media_dir`` names (a
-    path or a URI); nothing is listed on the driver.
+    The listings run in the tasks, against the shared store that ``media_dir`` names (a URI, or a
+    path in a local session); nothing is listed on the driver. A store that does not exist is an
+    error, a name without a folder is not. Tasks use Arrow's file systems with their own
+    credentials; where those do not reach the store, and for many millions of names, keep a manifest table.
     """
+    spark = names.sparkSession
+    if not path_exists(spark, shared_path(spark, media_dir)):
+        raise FileNotFoundError(f"no media store at {media_dir}")
+    where = media_dir.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
         from pyarrow import fs
 
-        if "://" in media_dir:
-            store, root = fs.FileSystem.from_uri(media_dir)
+        if "://" in where:
+            store, root = fs.FileSystem.from_uri(where)
         else:
-            store, root = fs.LocalFileSystem(), media_dir
+            store, root = fs.LocalFileSystem(), where.removeprefix("file:")
         for batch in batches:
             found = []
             for name in batch["save_name"]:
                 folder = fs.FileSelector(f"{root}/{name}", allow_not_found=True)
                 files = [i for i in store.get_file_info(folder) if i.type == fs.FileType.File]
-                found += [(name, i.base_name, i.size) for i in files]
-            yield pd.DataFrame(found, columns=["save_name", "fname", "size"])
+                found += [(name, i.base_name, i.size, f"{media_dir.rstrip('/')}/{name}/{i.base_name}") for i in files]
+            yield pd.DataFrame(found, columns=["save_name", "fname", "size", "path"])
 
-    return names.select("save_name").mapInPandas(run, LISTING_SCHEMA)
+    return names.select("save_name").mapInPandas(run, MANIFEST_SCHEMA)

@@ -36,10 +36,12 @@ def read_csv(
     ``types`` casts named columns (bad cells become null). ``ordinal`` numbers rows by
     file, block and place, so "first" means first in the input. Quoted line breaks need
     ``multiline``, which makes each file one task; keep files moderate, or turn it off.
+    A file whose header differs from the first file's is an error: its cells would be misread.
     """
     names = csv_header(spark, path)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.options(**CSV_OPTIONS, multiLine=multiline).schema(text).csv(path)
+    # Without enforceSchema each file's header is compared with the names.
+    raw = spark.read.options(**CSV_OPTIONS, multiLine=multiline, enforceSchema=False).schema(text).csv(path)
     columns = []
     for name in names:
         value = missing_to_null(F.col(f"`{name}`"))
