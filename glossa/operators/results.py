@@ -54,13 +54,15 @@ def empty_results(spark: SparkSession, source: T.StructType, spec: tuple[FieldSp
     return spark.createDataFrame([], T.StructType([*source.fields, *extra]))
 
 
-def with_analysis(df: DataFrame, spec: tuple[FieldSpec, ...], resp: str = "resp") -> DataFrame:
-    """Add ``analysis``: the typed reply, null where there is none."""
-    return (
-        df.withColumn("_parsed", parse_reply_json(F.col(resp)))
-        .withColumn("analysis", F.when(F.col(resp).isNotNull(), reply_struct(F.col("_parsed"), spec)))
-        .drop("_parsed")
-    )
+def with_analysis(df: DataFrame, spec: tuple[FieldSpec, ...], resp: str = "resp", parsed: str | None = None) -> DataFrame:
+    """Add ``analysis``: the typed reply, null where there is none.
+
+    ``parsed`` names a column that already holds the parsed reply; ``resp`` is parsed otherwise.
+    """
+    if parsed is not None:
+        return df.withColumn("analysis", F.when(F.col(resp).isNotNull(), reply_struct(F.col(parsed), spec)))
+    made = with_analysis(df.withColumn("_parsed", parse_reply_json(F.col(resp))), spec, resp, "_parsed")
+    return made.drop("_parsed")
 
 
 def failure_message(error: Column, download_error: Column) -> Column:

@@ -2,7 +2,8 @@
 
 Each chunk is a commit: its rows are in the results table, with their keys, before the
 next chunk starts, so a stopped run resumes behind the last commit. The driver holds
-counts and one stop position per chunk, never rows.
+counts and one stop position per chunk, never rows. Calls are kept in the log as tasks end, and a
+later run uses what the log knows of its keys instead of calling again.
 """
 
 from __future__ import annotations
@@ -11,75 +12,104 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from glossa.config import JobConfig
 from glossa.functions.prompts import media_prompt, url_prompt
 from glossa.operators.annotate import annotate, annotation_column_names, second_pass_rows, second_prompt
-from glossa.operators.gate import annotation_gate
+from glossa.operators.gate import annotation_gate, has_payload
 from glossa.operators.queue import KEY, SMALL_BATCH, keys_among, with_content_key
 from glossa.operators.quota import quota_flag
 from glossa.operators.results import column_order, project_to, result_columns, result_rows, with_analysis
 from glossa.plans.prepare import ROUTE_COLUMNS, Queue, prepare
 from glossa.plans.scoring import ClientFactory, outcomes, score
-from glossa.schema_spec import schema_spec
-from glossa.session import configure, scratch_scope, write_observed
-from glossa.sinks.tables import annotation_rows, append_annotations, append_results
+from glossa.schema_spec import response_schema, schema_spec
+from glossa.session import configure, scratch_scope, shared_path, write_observed
+from glossa.sinks.tables import annotation_rows, annotation_schema, append_annotations, append_results
+from glossa.sources.attempts import read_attempts, reusable
 from glossa.sources.posts import read_posts
-from glossa.sources.results import processed_keys
+from glossa.sources.results import processed_keys, read_results
 
 POS = "_pos"
 
 
 @dataclass(frozen=True)
 class RunReport:
-    """What a run did: rows queued and written, and whether a daily quota ended it."""
+    """What a run did: rows queued and written, calls made, and the position in the queue at which a
+    daily quota ended it (null if none did)."""
 
     queued: int
     written: int
-    stopped: bool
+    calls: int = 0
+    stopped_at: int | None = None
 
+    @property
+    def stopped(self) -> bool:
+        return self.stopped_at is not None
 
-def call_requests(rows: DataFrame, number: int, prompt: Column) -> DataFrame:
-    """Request columns: the prompt for media, or for the URL alone."""
+
+def call_requests(rows: DataFrame, number: int, prompt: Column, schema: str) -> DataFrame:
+    """Request columns: the prompt for media, or for the URL alone, and the schema of the reply."""
     has_media, url = F.col("media_fname").isNotNull(), F.col("call_url")
-    return rows.select(
-        "k",
-        F.lit(number).alias("pass"),
-        "model",
-        "attempt",
-        F.when(has_media, media_prompt(prompt, url)).otherwise(url_prompt(prompt, url)).alias("prompt"),
-        "call_url",
-        F.when(has_media, F.concat_ws("/", "save_name", "media_fname")).alias("media_path"),
-        "mime",
-        "wait_sec",
+    asked = F.when(has_media, media_prompt(prompt, url)).otherwise(url_prompt(prompt, url))
+    return rows.withColumn("prompt", asked).select(
+        "k", KEY, F.lit(number).alias("pass"), "model", "attempt", F.sha2("prompt", 256).alias("prompt_hash"),
+        "prompt", F.lit(schema).alias("response_schema"), "call_url",
+        F.when(has_media, F.col("media_path")).alias("media_path"), "mime", "wait_sec", "ready_at",
     )
 
 
-def _outcomes(rows: DataFrame, job: JobConfig, number: int, prompt: Column, client: ClientFactory) -> DataFrame:
-    """Media is called on the primary model, a URL alone on the fallback model."""
-    model = F.when(F.col("media_fname").isNotNull(), job.primary_model).otherwise(job.fallback_model)
-    log = score(
-        rows.withColumn("model", model).withColumnRenamed(POS, "k"),
-        lambda spread: call_requests(spread, number, prompt),
-        client,
-        job.retry,
-        job.primary_model,
-        job.fallback_model,
-        job.score_partitions or rows.sparkSession.sparkContext.defaultParallelism,
-        stop_early=job.stop_on_primary_daily_quota and number == 1,
-    )
-    if job.attempts_path:
-        keys = rows.select(F.col(POS).alias("k"), KEY)
-        append_results(log.join(keys, "k").select(KEY, *log.columns), job.attempts_path)
-    return outcomes(log)
+@dataclass
+class _Calls:
+    """How a run calls its model, and what it knows of earlier calls."""
+
+    job: JobConfig
+    client: ClientFactory
+    known: DataFrame | None
+    made: int = 0
+
+    def outcomes(self, rows: DataFrame, count: int, number: int, prompt: Column) -> DataFrame:
+        """Media is called on the primary model, a URL alone on the fallback model.
 
+        ``count`` rows at most decide the number of tasks, whatever the session's cores.
+        """
+        job = self.job
+        layout = job.analysis if number == 1 else job.annotation
+        model = F.when(F.col("media_fname").isNotNull(), job.primary_model).otherwise(job.fallback_model)
+        scored = score(
+            rows.withColumn("model", model).withColumnRenamed(POS, "k"),
+            lambda spread: call_requests(spread, number, prompt, response_schema(layout)),
+            self.client,
+            job.retry,
+            job.primary_model,
+            job.fallback_model,
+            job.score_partitions or max(1, -(-count // job.rows_per_task)),
+            job.log_path,
+            self.known,
+            stop_early=job.stop_on_primary_daily_quota and number == 1,
+        )
+        self.made += scored.calls
+        return outcomes(scored.log)
 
-def first_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> tuple[DataFrame, int | None]:
+
+def known_calls(queue: Queue, job: JobConfig) -> DataFrame | None:
+    """What the log knows of the queued keys; None if nothing. The log is read once per run."""
+    spark = queue.ordered.table.sparkSession
+    log = read_attempts(spark, job.log_path)
+    if log is None:
+        return None
+    found = reusable(log, queue.ordered.table, errors=not job.retry_errors)
+    known, seen = write_observed(found, "known", rows=F.count("*"))
+    return known if seen["rows"] else None
+
+
+def first_pass(rows: DataFrame, count: int, calls: _Calls) -> tuple[DataFrame, int | None]:
     """Rows with ``analysis``, ``err`` and ``model_used``, and the position to stop at, if any."""
+    job = calls.job
     wanted = rows.filter(F.col("url_used") != "None").select(
-        POS, KEY, "call_url", "save_name", "media_fname", "mime"
+        POS, KEY, "call_url", "save_name", "media_fname", "media_path", "mime"
     )
-    settled = _outcomes(wanted, job, 1, F.lit(job.prompt), client)
+    settled = calls.outcomes(wanted, count, 1, F.lit(job.prompt))
     paired = rows.join(settled.withColumnRenamed("k", POS), POS, "left")
     flag = quota_flag(F.col("err"), F.col("model_used"), job.primary_model)
     stop = F.when(flag & F.lit(job.stop_on_primary_daily_quota), F.col(POS))
@@ -88,14 +118,15 @@ def first_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> tuple[
     return table, seen["stop"]
 
 
-def second_pass(rows: DataFrame, job: JobConfig, client: ClientFactory) -> DataFrame:
+def second_pass(rows: DataFrame, count: int, calls: _Calls) -> DataFrame:
     """Result rows with annotation columns."""
+    job = calls.job
     gate = annotation_gate(
         F.col("analysis"), schema_spec(job.analysis), True, job.annotation_criteria, job.annotation_rules
     )
     work = (POS, "analysis", *ROUTE_COLUMNS)
     prompt = second_prompt(rows, job.annotation_template, KEY, job.annotation_prompt, drop=work)
-    settled = _outcomes(second_pass_rows(rows, gate), job, 2, prompt, client)
+    settled = calls.outcomes(second_pass_rows(rows, gate), count, 2, prompt)
     replies = with_analysis(settled, schema_spec(job.annotation)).withColumnRenamed("analysis", "reply")
     return annotate(rows, replies, POS, job.annotation_columns, drop=work)
 
@@ -106,40 +137,91 @@ def run_queue(queue: Queue, job: JobConfig, client: ClientFactory) -> RunReport:
     names = annotation_column_names(job.annotation_columns) if job.annotation else []
     columns = column_order(queue.source_columns, result_columns(spec, names))
     work = tuple(c for c in (POS, "analysis", *ROUTE_COLUMNS) if c not in queue.source_columns)
-    written = 0
+    written, sink = 0, _Sinks(job, names)
+    calls = _Calls(job, client, known_calls(queue, job))
     for start in range(0, queue.count, job.commit_rows):
         with scratch_scope(queue.ordered.table.sparkSession):
-            chunk = queue.ordered.slice(start, start + job.commit_rows, POS)
-            scored, stop = first_pass(chunk, job, client)
+            count = min(job.commit_rows, queue.count - start)
+            chunk = queue.ordered.slice(start, start + count, POS)
+            scored, stop = first_pass(chunk, count, calls)
             if stop is not None:
+                # Replies behind the stop stay in the log; the next run uses them.
                 scored = scored.filter(F.col(POS) <= stop)
             results = result_rows(scored, queue.source_columns, spec, keep=work)
             if job.annotation:
-                results = second_pass(results, job, client)
-            written += _commit(project_to(results, columns), job, names)
+                results = second_pass(results, count, calls)
+            written += sink.append(project_to(results, columns))
         if stop is not None:
-            return RunReport(queue.count, written, True)
-    return RunReport(queue.count, written, False)
+            return RunReport(queue.count, written, calls.made, stop)
+    return RunReport(queue.count, written, calls.made)
 
 
-def _commit(rows: DataFrame, job: JobConfig, names: list[str]) -> int:
-    """Append to the results, whose keys a resumed run skips, then to the copies.
+class _Sinks:
+    """The results table and its copies: mirror and annotation table.
 
-    With more than one table to fill, the rows are written once and the appends read that.
+    Results come first: a run goes by their keys, and they hold all a copy needs. What a crash left out of
+    the copies is added when the next run starts (``repair_copies``).
     """
-    annotations = names and job.annotations_path
-    if not (annotations or job.mirror_path):
-        seen = Observation()
-        append_results(rows.observe(seen, F.count("*").alias("rows")), job.results_path)
-        return seen.get["rows"]
-    written, metrics = write_observed(rows, "chunk", rows=F.count("*"))
-    append_results(written, job.results_path)
-    if annotations:
-        picked = annotation_rows(written, names, job.annotation_rows, job.annotation_headers)
-        append_annotations(picked, job.annotations_path)
+
+    def __init__(self, job: JobConfig, names: list[str]):
+        self.job, self.names = job, names
+        # Read once; appends of this run add to it.
+        self.schema: StructType | None = None
+        self.asked = False
+
+    def append(self, rows: DataFrame) -> int:
+        """Append to every table. With more than one the rows are written once and the appends read that."""
+        job = self.job
+        annotations = self.names and job.annotations_path
+        if not (annotations or job.mirror_path):
+            seen = Observation()
+            append_results(rows.observe(seen, F.count("*").alias("rows")), job.results_path)
+            return seen.get["rows"]
+        written, metrics = write_observed(rows, "chunk", rows=F.count("*"))
+        append_results(written, job.results_path)
+        if annotations:
+            self.annotations(written)
+        if job.mirror_path:
+            append_results(written, job.mirror_path)
+        return metrics["rows"]
+
+    def annotations(self, rows: DataFrame) -> None:
+        job = self.job
+        if not self.asked:
+            self.schema, self.asked = annotation_schema(rows.sparkSession, job.annotations_path), True
+        picked = annotation_rows(rows, self.names, job.annotation_rows, job.annotation_headers)
+        self.schema = append_annotations(picked, job.annotations_path, self.schema)
+
+
+def repair_copies(spark: SparkSession, job: JobConfig) -> None:
+    """Give mirror and annotation table the rows of results that a run did not get to append.
+
+    A row is missing where its key, with the same kind of outcome, is not in the copy. An annotation table
+    without the content key (own ``annotation_rows``) cannot be compared and stays as it is.
+    """
+    names = annotation_column_names(job.annotation_columns) if job.annotation else []
+    if not (job.mirror_path or (names and job.annotations_path)):
+        return
+    results = read_results(spark, job.results_path)
+    if results is None:
+        return
     if job.mirror_path:
-        append_results(written, job.mirror_path)
-    return metrics["rows"]
+        held = read_results(spark, job.mirror_path)
+        missing = results
+        if held is not None:
+            good = F.col("vlm_error").isNull()
+            there = held.select(KEY, good.alias("_good")).distinct()
+            missing = results.withColumn("_good", good).join(there, [KEY, "_good"], "left_anti").drop("_good")
+        if not missing.isEmpty():
+            append_results(missing.select(*results.columns), job.mirror_path)
+    if names and job.annotations_path:
+        held = read_results(spark, job.annotations_path)
+        if held is not None and KEY not in held.columns:
+            return
+        missing = results if held is None else results.join(held.select(KEY).distinct(), KEY, "left_anti")
+        missing = missing.filter(has_payload([n for n in names if n in results.columns]))
+        if not missing.isEmpty():
+            _Sinks(job, names).annotations(missing)
 
 
 def run_job(
@@ -149,12 +231,19 @@ def run_job(
     manifest: DataFrame | None = None,
     failures: DataFrame | None = None,
     post_count: int | None = None,
+    repair: bool = True,
 ) -> RunReport:
     """One run over ``posts``: skip what the results table has, score the rest.
 
     ``post_count``, where known, lets a small batch skip the shuffle of a large results table.
+    ``repair`` first completes the copies of the results that an interrupted run left behind.
     """
     spark = configure(posts.sparkSession)
+    for path in (job.results_path, job.mirror_path, job.annotations_path, job.log_path):
+        if path:
+            shared_path(spark, path)
+    if repair:
+        repair_copies(spark, job)
     done = processed_keys(spark, job.results_path, job.retry_errors)
     if post_count is not None and post_count <= SMALL_BATCH:
         done = keys_among(done, with_content_key(posts, job.key_columns))
@@ -165,4 +254,5 @@ def run_job(
 
 def run_project(spark: SparkSession, job: JobConfig, client: ClientFactory) -> RunReport:
     """``run_job`` over the job's own input path and media folder."""
-    return run_job(read_posts(configure(spark), job.input_path, job.ordinal), job, client)
+    options = {"multiline": job.multiline_csv} if job.input_path.rstrip("/").endswith(".csv") else {}
+    return run_job(read_posts(configure(spark), job.input_path, job.ordinal, **options), job, client)

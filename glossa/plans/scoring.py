@@ -1,13 +1,15 @@
 """The model call, spread over partitions, one attempt per row and round.
 
 The engine owns retries: after each round the log says which requests to try again, so
-the client only ever makes a single call. Every round is written before it is read;
-no plan that contains the calls is ever run twice by a second action.
+the client only ever makes a single call. A round is appended to the durable log before it is
+read; no plan that contains the calls is ever run twice by a second action. What the log
+already knows of a request is used instead of a call.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -25,25 +27,29 @@ from glossa.functions.errors import (
     SPELLED_LIMIT,
 )
 from glossa.operators.attempts import with_final, with_reply_error
+from glossa.operators.queue import KEY
 from glossa.session import write_observed
-from glossa.sources.attempts import LOG_SCHEMA
+from glossa.sources.attempts import CALL_COLUMNS, LOG_SCHEMA, append_attempts
 
-# What a client sees of each request.
+# What a client sees of each request. ``response_schema`` is the JSON schema of the wanted reply;
+# ``ready_at`` the time, in seconds of the epoch, before which the call should not be made.
 REQUEST_COLUMNS = [
-    "k", "pass", "model", "attempt", "prompt", "call_url", "media_path", "mime", "wait_sec", "stops",
+    "k", KEY, *CALL_COLUMNS, "prompt", "response_schema", "call_url", "media_path", "mime", "wait_sec", "ready_at", "stops",
 ]
+LOG_COLUMNS = ["k", KEY, *CALL_COLUMNS, "called", "ended_at", "resp", "err"]
 
 # A factory, called once per partition; the client maps request rows to ``resp`` and ``err``.
 Client = Callable[[Any], Any]
 ClientFactory = Callable[[], Client]
 
 
-def per_row_client(call: Callable[[dict], Any]) -> ClientFactory:
+def per_row_client(call: Callable[[dict], Any], threads: int = 1, keep_waits: bool = True) -> ClientFactory:
     """Client from ``call(request) -> reply``; what it raises becomes the attempt's error.
 
-    A reply may be text, a dict or a dataclass instance. Where a daily quota ends the run
-    (``stops``), rows behind the first such error of a task share it without a call: they
-    lie behind the stop and are never stored.
+    A reply may be text, a dict or a dataclass instance. ``threads`` calls of a task are made at
+    the same time. With ``keep_waits`` a retry is not made before its ``ready_at``. Where a daily quota
+    ends the run (``stops``), rows behind the first such error of a task are not called:
+    they lie behind the stop, and the log marks them.
     """
     exhausted, retryable, daily = EXHAUSTED_MARKS, RETRYABLE_MARKS, DAILY_MARKS
     day, limit, seconds, hours = SPELLED_DAY, SPELLED_LIMIT, DELAY_SECONDS, DELAY_HOURS
@@ -52,6 +58,8 @@ def per_row_client(call: Callable[[dict], Any]) -> ClientFactory:
         import dataclasses
         import json
         import re
+        import time
+        from concurrent.futures import ThreadPoolExecutor
 
         import pandas as pd
 
@@ -74,17 +82,25 @@ def per_row_client(call: Callable[[dict], Any]) -> ClientFactory:
 
         def one(request):
             if request["stops"] and spent:
-                return None, f"Not called after: {spent[0]}"
+                return None, f"Not called after: {spent[0]}", False, time.time()
+            if keep_waits:
+                time.sleep(max(0.0, request["ready_at"] - time.time()))
             try:
-                return text(call(request)), None
+                answer = text(call(request)), None
             except Exception as exc:
-                error = str(exc)
-                if request["stops"] and ends_the_run(error):
-                    spent.append(error)
-                return None, error
+                answer = None, str(exc)
+                if request["stops"] and ends_the_run(answer[1]):
+                    spent.append(answer[1])
+            return *answer, True, time.time()
 
         def run(requests):
-            return pd.DataFrame([one(r) for r in requests.to_dict("records")], columns=["resp", "err"])
+            asked = requests.to_dict("records")
+            if threads == 1:
+                made = [one(r) for r in asked]
+            else:
+                with ThreadPoolExecutor(threads) as pool:
+                    made = list(pool.map(one, asked))
+            return pd.DataFrame(made, columns=["resp", "err", "called", "ended_at"])
 
         return run
 
@@ -92,13 +108,21 @@ def per_row_client(call: Callable[[dict], Any]) -> ClientFactory:
 
 
 def call_once(requests: DataFrame, make_client: ClientFactory) -> DataFrame:
-    """Log rows for ``requests``: one call each, one client per partition."""
+    """Log rows for ``requests``: one call each, one client per partition.
+
+    A client's frame has ``resp`` and ``err``, and may have ``called`` and ``ended_at``.
+    """
+    own = LOG_COLUMNS[:6]
 
     def run(batches: Iterator) -> Iterator:
+        import time
+
         client = make_client()
         for batch in batches:
             answer = client(batch)
-            log = batch[["k", "pass", "model", "attempt"]].copy()
+            log = batch[own].copy()
+            log["called"] = list(answer["called"]) if "called" in answer else True
+            log["ended_at"] = list(answer["ended_at"]) if "ended_at" in answer else time.time()
             log["resp"] = list(answer["resp"])
             log["err"] = list(answer["err"])
             yield log
@@ -123,6 +147,15 @@ def with_next(log: DataFrame, policy: RetryPolicy, primary: str, fallback: str)
     )
 
 
+@dataclass(frozen=True)
+class Scored:
+    """The calls of some rows. ``log`` has one row per attempt; those without a ``next_model`` settle
+    their ``k``. ``calls`` counts the attempts that were made now, not taken from an earlier run."""
+
+    log: DataFrame
+    calls: int
+
+
 def score(
     rows: DataFrame,
     build: Callable[[DataFrame], DataFrame],
@@ -131,37 +164,54 @@ def score(
     primary: str,
     fallback: str,
     partitions: int,
+    log_path: str,
+    known: DataFrame | None = None,
     stop_early: bool = False,
-) -> DataFrame:
+) -> Scored:
     """Call the model for every row until nothing is left to retry.
 
-    ``rows`` has a unique ``k`` and the ``model`` to start with; ``build`` adds the request
-    columns. It runs after the rows are spread, so prompts are never shuffled. Each round
+    ``rows`` has a unique ``k``, the content key and the ``model`` to start with; ``build`` adds the
+    request columns. It runs after the rows are spread, so prompts are never shuffled. Each round
     holds only the rows the one before left open, at most twice the allowed attempts. With
     ``stop_early`` a client may skip rows behind a daily quota error of the primary model.
 
-    Returns the attempt log. Its rows without a ``next_model`` are the outcomes, one per
-    ``k``: see ``outcomes``.
+    ``known`` (see ``sources.attempts.reusable``) answers requests without a call.
     """
     logs: list[DataFrame] = []
-    todo = rows.withColumns({"attempt": F.lit(0), "wait_sec": F.lit(0.0)})
+    calls = 0
+    todo = rows.withColumns({"attempt": F.lit(0), "wait_sec": F.lit(0.0), "ready_at": F.lit(0.0)})
     for _ in range(2 * policy.max_attempts):
-        spread = todo.repartition(partitions, "k").sortWithinPartitions("k")
+        open_rows = 0
+        asked = todo
+        if known is not None:
+            held = build(todo).select("k", KEY, *CALL_COLUMNS).join(known, [KEY, *CALL_COLUMNS])
+            held = with_reply_error(held.withColumn("called", F.lit(False)).select(*LOG_COLUMNS))
+            replayed, seen = write_observed(
+                with_next(held, policy, primary, fallback), "replayed", open_rows=F.count("next_model")
+            )
+            logs.append(replayed)
+            open_rows += seen["open_rows"]
+            asked = todo.join(replayed.select("k"), "k", "left_anti")
+        spread = asked.repartition(partitions, "k").sortWithinPartitions("k")
         stops = F.lit(stop_early) & (F.col("model") == primary)
-        requests = build(spread).withColumn("stops", stops)
-        answered = with_reply_error(call_once(requests, make_client))
-        log, seen = write_observed(
-            with_next(answered, policy, primary, fallback), "calls",
-            open_rows=F.count("next_model"),
+        fresh = build(spread).withColumn("stops", stops)
+        answered = with_reply_error(call_once(fresh, make_client))
+        log, seen = append_attempts(
+            with_next(answered, policy, primary, fallback), log_path,
+            open_rows=F.count("next_model"), calls=F.count_if("called"),
         )
         logs.append(log)
-        if not seen["open_rows"]:
+        open_rows += seen["open_rows"]
+        calls += seen["calls"]
+        if not open_rows:
             break
-        following = log.filter("next_model is not null").select(
-            "k", F.col("next_model").alias("model"), F.col("next_attempt").alias("attempt"), "wait_sec"
+        latest = log if known is None else log.unionByName(replayed)
+        following = latest.filter("next_model is not null").select(
+            "k", F.col("next_model").alias("model"), F.col("next_attempt").alias("attempt"), "wait_sec",
+            (F.col("ended_at") + F.col("wait_sec")).alias("ready_at"),
         )
         todo = rows.drop("model").join(following, "k")
-    return reduce(DataFrame.unionByName, logs)
+    return Scored(reduce(DataFrame.unionByName, logs), calls)
 
 
 def outcomes(log: DataFrame) -> DataFrame:
@@ -170,35 +220,3 @@ def outcomes(log: DataFrame) -> DataFrame:
         "k", F.when(F.col("err").isNull(), F.col("resp")).alias("resp"), "err",
         F.col("model").alias("model_used"),
     )
-
-
-def stub_client(daily_after: int | None = None) -> ClientFactory:
-    """A deterministic stand-in for a model, for tests: it looks at nothing but the request.
-
-    The first hex digit of ``sha256(prompt)`` picks the behaviour: ``0`` per-minute limit
-    once, ``1`` server error twice, ``2`` exhausted primary, ``3`` refused, ``4`` not JSON,
-    else a reply. ``daily_after`` makes the primary report a daily quota from that ``k`` on.
-    """
-
-    def call(request: dict) -> str:
-        import hashlib
-        import json
-
-        digest = hashlib.sha256(request["prompt"].encode()).hexdigest()
-        first, attempt = digest[0], request["attempt"]
-        if daily_after is not None and request["model"] == "primary" and request["k"] >= daily_after:
-            raise RuntimeError("429 quota exceeded: GenerateRequestsPerDay retry in 14h30m13.78s")
-        if first == "0" and attempt == 0:
-            raise RuntimeError("429 RESOURCE_EXHAUSTED. Please retry in 1.5s")
-        if first == "1" and attempt < 2:
-            raise RuntimeError("500 INTERNAL")
-        if first == "2" and request["model"] == "primary":
-            raise RuntimeError("429 too many requests")
-        if first == "3":
-            raise RuntimeError("403 permission denied")
-        if first == "4":
-            return "sorry, no"
-        level = ["high", "MEDIUM", "low", "none"][int(digest[1], 16) % 4]
-        return json.dumps({"ai_generated": level, "justification": digest[:6], "score": int(digest[2], 16)})
-
-    return per_row_client(call)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 import types as pytypes
 from dataclasses import dataclass
 from enum import Enum
@@ -101,6 +102,43 @@ def schema_spec(cls: type) -> tuple[FieldSpec, ...]:
     return tuple(out)
 
 
+_JSON_TYPES = {
+    T.StringType(): "string", T.BooleanType(): "boolean", T.LongType(): "integer", T.DoubleType(): "number",
+}
+
+
+def _json_schema(data_type: T.DataType) -> dict[str, Any]:
+    if isinstance(data_type, T.StructType):
+        return {"type": "object", "properties": {f.name: _json_schema(f.dataType) for f in data_type}}
+    if isinstance(data_type, T.ArrayType):
+        return {"type": "array", "items": _json_schema(data_type.elementType)}
+    if isinstance(data_type, T.MapType):
+        return {"type": "object", "additionalProperties": _json_schema(data_type.valueType)}
+    return {"type": _JSON_TYPES[data_type]}
+
+
+def _object_schema(cls: type) -> dict[str, Any]:
+    hints, properties, required = get_type_hints(cls), {}, []
+    for f, spec in zip(dataclasses.fields(cls), schema_spec(cls)):
+        hint = _unwrap(hints.get(f.name, str))
+        made = _object_schema(hint) if spec.kind == "struct" else _json_schema(spec.data_type)
+        if spec.values:
+            made["enum"] = list(spec.values)
+        if "description" in f.metadata:
+            made["description"] = f.metadata["description"]
+        if hint is not hints.get(f.name, str):
+            made["nullable"] = True
+        if f.default is dataclasses.MISSING and f.default_factory is dataclasses.MISSING:
+            required.append(f.name)
+        properties[f.name] = made
+    return {"type": "object", "properties": properties, "required": required}
+
+
+def response_schema(cls: type) -> str:
+    """JSON schema of a reply, with the fields' ``metadata["description"]``, for a client to pass on."""
+    return json.dumps(_object_schema(cls), ensure_ascii=False)
+
+
 def struct_type(spec: tuple[FieldSpec, ...]) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.data_type) for f in spec])
 

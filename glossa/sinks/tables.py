@@ -6,7 +6,7 @@ import hashlib
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,10 +74,19 @@ def annotation_rows(
     return project_to(rows, wanted, {f.name: f.dataType for f in df.schema})
 
 
-def append_annotations(df: DataFrame, path: str) -> None:
-    """Append annotation rows under the columns the table has, then new ones."""
-    existing = None if is_csv(path) else read_results(df.sparkSession, path)
-    if existing is not None:
-        types: dict[str, T.DataType] = {f.name: f.dataType for f in existing.schema}
-        df = project_to(df, reconcile_header(existing.columns, df.columns), types)
+def annotation_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Columns of the annotation table so far; None if it is new, or CSV. Reads every file's footer."""
+    existing = None if is_csv(path) else read_results(spark, path)
+    return None if existing is None else existing.schema
+
+
+def append_annotations(df: DataFrame, path: str, schema: T.StructType | None) -> T.StructType | None:
+    """Append annotation rows under the columns the table has (``schema``), then new ones.
+
+    Returns the columns the table has now, for the next append.
+    """
+    if schema is not None:
+        types: dict[str, T.DataType] = {f.name: f.dataType for f in schema}
+        df = project_to(df, reconcile_header(schema.fieldNames(), df.columns), types)
     append_results(df, path)
+    return None if is_csv(path) else df.schema

@@ -1,20 +1,64 @@
-"""The attempt log, and how saved raw responses become one."""
+"""The log of calls, and how saved raw responses become one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from glossa.functions.errors import is_daily
 from glossa.functions.reply import reply_text
+from glossa.operators.queue import KEY
+from glossa.session import path_exists
 
-LOG_SCHEMA = "k long, pass int, model string, attempt int, resp string, err string"
+# ``prompt_hash`` tells calls of changed prompts apart; ``called`` is false for rows skipped behind a daily
+# quota error; ``ended_at`` is when the call ended, in seconds of the epoch.
+CALL_COLUMNS = ["pass", "model", "attempt", "prompt_hash"]
+LOG_SCHEMA = (
+    f"k long, {KEY} string, pass int, model string, attempt int, prompt_hash string, called boolean,"
+    " ended_at double, resp string, err string"
+)
 
 # The part of a raw response that holds text; other part kinds are skipped.
 RESPONSE_SCHEMA = "candidates array<struct<content: struct<parts: array<struct<text: string>>>>>"
 
+# Files of finished tasks stay although their job, or the driver, does not finish.
+_KEEP_FINISHED_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
+def read_attempts(spark: SparkSession, path: str) -> DataFrame | None:
+    """All calls kept under ``path``; None if there are none."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+
+
+def append_attempts(log: DataFrame, path: str, **metrics) -> tuple[DataFrame, dict]:
+    """Append one round of calls; returns a scan of what was written, and aggregates over it.
+
+    Each task's replies are in the log when the task ends, so a crash costs the calls of the
+    tasks that were running.
+    """
+    own = f"{path.rstrip('/')}/round-{uuid.uuid4().hex}"
+    seen = Observation()
+    observed = log.observe(seen, *[value.alias(name) for name, value in metrics.items()])
+    observed.write.options(**_KEEP_FINISHED_TASKS).parquet(own)
+    return log.sparkSession.read.schema(log.schema).parquet(own), seen.get
+
+
+def reusable(log: DataFrame, keys: DataFrame, errors: bool = True) -> DataFrame:
+    """What the log knows of ``keys``: one row per key and call, to be used instead of a call.
 
-def read_attempts(spark: SparkSession, *paths: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(*paths)
+    Replies always count. Errors count too, since the run that met them did not store the row, but not
+    daily quota errors, which may be over, and none with ``errors`` false.
+    """
+    good = F.col("err").isNull()
+    if errors:
+        good = good | ~is_daily(F.col("err"))
+    known = log.filter(F.col("called") & good).join(keys.select(KEY).distinct(), KEY, "left_semi")
+    answer = F.struct("ended_at", "resp", "err")
+    return known.groupBy(KEY, *CALL_COLUMNS).agg(F.max(answer).alias("_answer")).select(KEY, *CALL_COLUMNS, "_answer.*")
 
 
 def response_text(df: DataFrame, raw: str = "response", name: str = "resp") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from glossa.config import JobConfig
+from glossa.operators.queue import KEY, dedup_first, with_content_key
 from glossa.plans.run import run_job
 from glossa.plans.scoring import ClientFactory
 from glossa.session import configure, scratch_scope, write_observed
@@ -22,15 +23,19 @@ def annotate_stream(
     """Run the job on each micro-batch of a streaming ``posts``, then stop.
 
     A batch delivered again does no harm: its keys are in the results table by then, so
-    nothing of it is pending. Needs an ``ordinal`` column in the stream.
+    nothing of it is pending. Of rows of a batch that share a content key the first in input order is
+    scored. Needs an ``ordinal`` column in the stream.
     """
     configure(posts.sparkSession)
+    first = [True]
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope(batch.sparkSession):
             # Read from the source once, however many jobs the run takes.
             arrived, seen = write_observed(batch, "batch", rows=F.count("*"))
-            run_job(arrived, job, client, manifest, post_count=seen["rows"])
+            once = dedup_first(with_content_key(arrived, job.key_columns), KEY, job.ordinal).drop(KEY)
+            run_job(once, job, client, manifest, post_count=seen["rows"], repair=first[0])
+            first[0] = False
 
     return (
         posts.writeStream.foreachBatch(run_batch)
