@@ -217,20 +217,20 @@ def truth(path: str, j: str = "j") -> str:
       when 'OBJECT' then len(json_keys({t})) > 0 else cast({t} as double) <> 0 end"""
 
 
-LEVELS = "('HIGH', 'MEDIUM', 'LOW', 'NONE')"
-LEVEL = f"""case when upper({raw('ai_generated')}) in {LEVELS} then upper({raw('ai_generated')})
-  when {raw('ai_generated')} is not null then 'HIGH' end"""
-IS_AD = f"case when {raw('is_ad')} is null then false else {truth('$.is_ad')} end"
-TAGS = "coalesce(array_to_string(cast(json_extract(j, '$.tags') as varchar[]), ','), '')"
+LEVELS = "('FESTIVE', 'LIVELY', 'CALM', 'GRIM')"
+LEVEL = f"""case when upper({raw('mood')}) in {LEVELS} then upper({raw('mood')})
+  when {raw('mood')} is not null then 'FESTIVE' when j is not null then 'CALM' end"""
+INDOORS = f"case when {raw('indoors')} is null then false else {truth('$.indoors')} end"
+OBJECTS = "coalesce(array_to_string(cast(json_extract(j, '$.objects') as varchar[]), ','), '')"
 
 
 def typed(source: str) -> str:
     """Adds ``j`` (an object or null) and the typed fields."""
-    return f"""select *, {LEVEL} as ai_generated, {raw('justification')} as justification,
+    return f"""select *, {LEVEL} as mood, {raw('caption')} as caption,
       try_cast({raw('score')} as double) as score,
-      case when j is not null then {IS_AD} end as is_ad, case when j is not null then {TAGS} end as tags,
-      json_extract_string(j, '$.place.country') as country, json_extract_string(j, '$.place.city') as city,
-      coalesce(json_type(json_extract(j, '$.place')) = 'OBJECT', false) as has_place,
+      case when j is not null then {INDOORS} end as indoors, case when j is not null then {OBJECTS} end as objects,
+      json_extract_string(j, '$.spot.country') as country, json_extract_string(j, '$.spot.city') as city,
+      coalesce(json_type(json_extract(j, '$.spot')) = 'OBJECT', false) as has_spot,
       case when j is not null then coalesce({raw('lang')}, 'und') end as lang
     from (select *, case when {STATUS} = 'ok' then json(resp) end as j from {source})"""
 
@@ -240,15 +240,14 @@ def quoted(c: str) -> str:
 
 
 def full_json() -> str:
-    place = (
-        f"""case when has_place then '{{"country":' || {quoted('country')} || ',"city":' || {quoted('city')} || '}}' """
+    spot = (
+        f"""case when has_spot then '{{"country":' || {quoted('country')} || ',"city":' || {quoted('city')} || '}}' """
         "else 'null' end"
     )
-    tags = """case when tags = '' then '[]' else '["' || replace(tags, ',', '","') || '"]' end"""
+    objects = """case when objects = '' then '[]' else '["' || replace(objects, ',', '","') || '"]' end"""
     parts = [
-        ("ai_generated", quoted("ai_generated")), ("justification", quoted("justification")),
-        ("score", "coalesce(cast(score as varchar), 'null')"), ("is_ad", "cast(is_ad as varchar)"),
-        ("tags", tags), ("place", place), ("lang", quoted("lang")),
+        ("caption", quoted("caption")), ("score", "coalesce(cast(score as varchar), 'null')"), ("mood", quoted("mood")),
+        ("objects", objects), ("spot", spot), ("indoors", "cast(indoors as varchar)"), ("lang", quoted("lang")),
     ]
     body = " || ',' || ".join(f"""'"{n}":' || {e}""" for n, e in parts)
     return f"('{{' || {body} || '}}')"
@@ -283,12 +282,12 @@ SCORED = (
     ),
 )
 
-NOTE_JSON = f"""('{{"justification":' || {quoted('justification')} || ',"lang":' || {quoted('lang')} || ',"is_ad":'
-  || coalesce(cast({truth('$.is_ad')} as varchar), 'null') || '}}')"""
+NOTE_JSON = f"""('{{"caption":' || {quoted('caption')} || ',"lang":' || {quoted('lang')} || ',"indoors":'
+  || coalesce(cast({truth('$.indoors')} as varchar), 'null') || '}}')"""
 
 ANNOTATED = (
     *SCORED,
-    ("wanted", "select ordinal, url_used from results where j is not null and ai_generated in ('HIGH', 'MEDIUM')"),
+    ("wanted", "select ordinal, url_used from results where j is not null and mood in ('FESTIVE', 'LIVELY')"),
     ("log2", with_errors(f"({routed_calls('wanted', 'url_used', 1)})")),
     ("outcomes2", decided("log2")),
     ("notes", f"""select k, err, model_used, case when j is not null then {NOTE_JSON} end as note
@@ -411,9 +410,9 @@ oracle("fallback_decision", decided("log"), "calls", ("log", with_errors("calls"
 oracle(
     "quota_stop",
     f"""select * from joined where pos <= coalesce((select min(pos) from joined
-      where model = 'primary' and user_id % 100 = 7 and {daily('err')}), 9223372036854775807)""", "calls",
-    ("joined", """select event_id as pos, user_id, model, err from events join calls
-      on event_id = k * 6 + case when model = 'primary' then 0 else 3 end + attempt"""),
+      where model = 'primary' and {daily('err')}), 9223372036854775807)""", "calls",
+    ("joined", """select event_id as pos, user_id, model, err from events left join calls
+      on event_id = k * 6 + case when model = 'primary' then 0 else 3 end + attempt + 40"""),
 )
 oracle("text_parts", "select conv_id, turn, nullif(replace(replace(text, chr(10), ''), ' ', ''), '') as resp "
                      "from responses", "responses")
@@ -421,22 +420,24 @@ oracle("saved_responses", "select conv_id, turn, coalesce(text, '') || role as r
 oracle("reply_status", f"select k, {STATUS} as status, {STATUS_ERROR} as error from replies", "replies")
 oracle(
     "parse_reply",
-    f"""select k, j is not null as ok, ai_generated, justification, score, is_ad, tags, country, city, lang
+    f"""select k, j is not null as ok, mood, caption, score, indoors, objects, country, city, lang
     from ({typed('replies')})""", "replies",
 )
 oracle(
     "enum_coerce",
     """select event_id, case event_type when 'click' then 'CLICK' when 'view' then 'view' else 'CLICK' end as coerced,
-    event_type not in ('click', 'view') as fell_back, 'HIGH' as level from events""",
+    event_type not in ('click', 'view') as fell_back,
+    case when event_type in ('error', 'purchase') then upper(event_type) when event_type = 'view' then 'view' else 'SIGNUP' end as level
+    from events""",
 )
-oracle("bool_coerce", f"select k, {truth('$.is_ad', 'v')} as is_ad from (select k, case when json_valid(resp) "
+oracle("bool_coerce", f"select k, {truth('$.indoors', 'v')} as indoors from (select k, case when json_valid(resp) "
                       "then json(resp) end as v from replies)", "replies")
 oracle("full_json", f"select k, {full_json()} as json from ({typed('replies')}) where j is not null", "replies")
 oracle(
     "annotation_gate",
-    """select doc_id, coalesce(upper(ai_generated) = 'LOW', false) as by_enum, coalesce(is_ad, false) as by_bool,
-      coalesce(upper(ai_generated) = 'HIGH' and not is_ad, false) as by_both, coalesce(quality = 1, false) as by_number,
-      coalesce(justification = 'because', false) as by_text, coalesce(justification <> '', false) as by_truth,
+    """select doc_id, coalesce(upper(mood) = 'CALM', false) as by_enum, coalesce(indoors, false) as by_bool,
+      coalesce(upper(mood) = 'FESTIVE' and not indoors, false) as by_both, coalesce(quality = 1, false) as by_number,
+      coalesce(caption = 'because', false) as by_text, coalesce(caption <> '', false) as by_truth,
       false as by_unknown, true as by_default, coalesce(quality = 0, false) as by_criteria, false as off
     from analyses""", "analyses",
 )
@@ -455,14 +456,14 @@ oracle("first_pass", "select ordinal, vlm_content_key, url_used, model_used, err
 oracle(
     "result_ok",
     """select ordinal, post_url, media_url, platform, vlm_content_key, url_used as vlm_url_used, vlm_model_used,
-      vlm_download_error_before_url, ai_generated as vlm_ai_generated, justification as vlm_justification,
-      score as vlm_score, is_ad as vlm_is_ad, lang as vlm_lang, vlm_full_response_json, vlm_error
+      vlm_download_error_before_url, mood as vlm_mood, caption as vlm_caption,
+      score as vlm_score, indoors as vlm_indoors, lang as vlm_lang, vlm_full_response_json, vlm_error
     from results where vlm_error is null""", *SCORED,
 )
 oracle(
     "result_error",
     """select ordinal, vlm_content_key, url_used as vlm_url_used, vlm_model_used, vlm_error,
-      vlm_download_error_before_url, cast(null as varchar) as vlm_ai_generated,
+      vlm_download_error_before_url, cast(null as varchar) as vlm_mood,
       cast(null as varchar) as vlm_full_response_json from results where vlm_error is not null""", *SCORED,
 )
 oracle("annotate", "select ordinal, vlm_annotation_json, vlm_annotation_error, vlm_annotation_model_used "
@@ -499,31 +500,89 @@ oracle(
 )
 oracle(
     "sink_roundtrip",
-    """select ordinal, vlm_content_key, vlm_error, score as vlm_score, is_ad as vlm_is_ad, lang as vlm_lang,
+    """select ordinal, vlm_content_key, vlm_error, score as vlm_score, indoors as vlm_indoors, lang as vlm_lang,
       case when ordinal % 2 = 1 then 'new' end as vlm_note, city from results""", *SCORED,
 )
 oracle(
     "mirror_sink",
     """select ordinal::varchar as ordinal, platform, vlm_content_key, vlm_error, vlm_full_response_json,
-      is_ad::varchar as vlm_is_ad, sink from results, (select unnest(['primary', 'mirror']) as sink)""", *SCORED,
+      indoors::varchar as vlm_indoors, sink from results, (select unnest(['primary', 'mirror']) as sink)""", *SCORED,
+)
+# ------------------------------------------------------------------ whole runs
+
+NO_FAILURES = ("failures", "select null::varchar as save_name, null::varchar as why where false")
+UNTIL_ROUTED = ("posts", KEYED, DISPATCHED, STORE, NO_FAILURES, ROUTED)
+DAILY = "'429 quota exceeded: GenerateRequestsPerDay retry in 14h30m13.78s'"
+
+
+def stubbed(batch: str) -> tuple[str, str]:
+    """What the stub makes of the rows of ``batch``: ``h`` picks its reply, ``why`` is the error."""
+    return (
+        "answers",
+        f"""select *, case when url_used = 'None' then 'No media_url or post_url available to download.'
+            else {STUBBED} end as why
+          from (select *, sha256(case when media_fname is not null then {MEDIA_PROMPT} else {URL_PROMPT} end) as h
+            from {batch})""",
+    )
+
+
+RUN_ROWS = """ordinal, vlm_content_key, platform, url_used as vlm_url_used,
+  case when url_used = 'None' then null when media_fname is null or (substr(h, 1, 1) = '2' and not {spent}) then 'fallback'
+    else 'primary' end as vlm_model_used,
+  case when {why} is null then case ('0x' || substr(h, 2, 1))::int % 4 when 0 then 'FESTIVE' when 1 then 'LIVELY'
+    when 2 then 'CALM' else 'GRIM' end end as vlm_mood,
+  case when {why} is null then substr(h, 1, 6) end as vlm_caption, {why} as vlm_error"""
+PLAIN_ROWS = RUN_ROWS.format(why="why", spent="false")
+SPENT_ROWS = RUN_ROWS.format(why=f"(case when pos = stop then {DAILY} else why end)", spent="coalesce(pos = stop, false)")
+
+ONCE = (
+    *UNTIL_ROUTED,
+    ("once", "select * exclude (rn) from (select *, row_number() over (partition by vlm_content_key order by ordinal) as rn "
+             "from routed) where rn = 1"),
+    ("single", "select * exclude (rn) from (select *, row_number() over (partition by post_url order by ordinal) as rn "
+               "from once) where rn = 1"),
+    stubbed("single"),
+)
+QUOTA = (
+    *ONCE,
+    ("placed", "select *, row_number() over (order by platform nulls last, ordinal) - 1 as pos from answers"),
+    ("stopping", "select *, min(pos) filter (media_fname is not null and pos >= 20) over () as stop from placed"),
+)
+PASSES = (*UNTIL_ROUTED, SCORED[len(ROUTES)], stubbed("batch"))
+FESTIVE = "why is null and ('0x' || substr(h, 2, 1))::int % 4 = 0"
+
+oracle("resume_run", f"select {PLAIN_ROWS}, 0::bigint as left_over from answers", *PASSES)
+oracle("resume_after_crash", f"select {PLAIN_ROWS}, 0::bigint as repeated_calls from answers", *ONCE)
+oracle("run_quota_stop", f"select {SPENT_ROWS}, stop as stopped_at from stopping where pos <= coalesce(stop, pos)", *QUOTA)
+oracle("quota_resume", f"select {SPENT_ROWS}, 0::bigint as answered_twice from stopping", *QUOTA)
+oracle(
+    "run_two_pass",
+    f"""select ordinal, vlm_content_key, case when why is null then case ('0x' || substr(h, 2, 1))::int % 4
+        when 0 then 'FESTIVE' when 1 then 'LIVELY' when 2 then 'CALM' else 'GRIM' end end as vlm_mood, why as vlm_error,
+      case when {FESTIVE} then '{{"caption":' || {quoted('call_url')} || ',"lang":"'
+        || coalesce('s3a://media/store/' || save_name || '/' || media_fname, 'und') || '","indoors":true}}' end
+        as vlm_annotation_json, null::varchar as vlm_annotation_error,
+      case when {FESTIVE} then case when media_fname is null then 'fallback' else 'primary' end end
+        as vlm_annotation_model_used,
+      count(*) filter ({FESTIVE}) over () as n_annotations, count(*) over () as n_mirror
+    from answers""", *PASSES,
 )
 oracle(
-    "resume_run",
-    f"""select ordinal, vlm_content_key, platform, url_used as vlm_url_used,
-      case when url_used = 'None' then null when media_fname is null or substr(h, 1, 1) = '2' then 'fallback'
-        else 'primary' end as vlm_model_used,
-      case when why is null then case ('0x' || substr(h, 2, 1))::int % 4 when 0 then 'HIGH' when 1 then 'MEDIUM'
-        when 2 then 'LOW' else 'NONE' end end as vlm_ai_generated,
-      case when why is null then substr(h, 1, 6) end as vlm_justification, why as vlm_error, 0::bigint as left_over
-    from (select *, case when url_used = 'None' then 'No media_url or post_url available to download.'
-        else {STUBBED} end as why
-      from (select *, sha256(case when media_fname is not null then {MEDIA_PROMPT} else {URL_PROMPT} end) as h
-        from batch))""",
-    "posts", KEYED, DISPATCHED, STORE, ("failures", "select null::varchar as save_name, null::varchar as why where false"),
-    ROUTED, SCORED[len(ROUTES)],
+    "commit_repair",
+    f"""select sink, vlm_content_key, count(*) as n_rows from answers, (select unnest(['results', 'mirror', 'annotations'])
+      as sink) where sink <> 'annotations' or ({FESTIVE}) group by 1, 2""", *PASSES,
+)
+oracle(
+    "media_lookup",
+    f"""select d.ordinal, f.media_fname, d.save_name || '/' || f.media_fname as media_place,
+      case when f.media_fname is not null then d.url_role when d.call_url is not null then 'url' else 'None' end as url_used,
+      {mime('f.media_fname')} as mime
+    from dispatched d left join ({picked('written')}) f using (save_name)""",
+    "posts", KEYED, DISPATCHED,
+    ("written", """select distinct save_name, save_name || case when ordinal % 2 = 0 then '.mp4' else '_1.jpg' end as fname,
+      1 as size from dispatched where save_name is not null and ordinal % 3 < 2"""),
 )
 oracle(
     "stream_resume",
-    """select distinct vlm_content_key, 1::bigint as n_replies from (select *, row_number() over
-      (partition by post_url, ordinal % 2 order by ordinal) as rn from keyed) where rn = 1""", *POSTS,
+    "select vlm_content_key, count(distinct vlm_content_key) as n_rows from first_rows group by 1", "posts", KEYED, FIRST,
 )

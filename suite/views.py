@@ -18,21 +18,21 @@ _S = "cast({} as string)".format
 def _reply_case(n: str, k: str) -> str:
     """Reply texts of every shape, chosen by ``n``."""
     shapes = [
-        f"""'{{{{"ai_generated":"high","justification":"j'||{_S(k)}||'","score":1.5,"is_ad":"false","tags":["a","b"],"place":{{{{"country":"x","city":null}}}},"lang":null,"extra":1}}}}'""",
-        f"""'{{{{"ai_generated":"Medium","justification":null,"score":'||{_S(k)}||',"is_ad":0}}}}'""",
-        """'{{"ai_generated":"bogus","is_ad":[],"tags":[],"place":"nowhere","score":"many"}}'""",
-        """'{{"ai_generated":null,"is_ad":true,"lang":"en"}}'""",
+        f"""'{{{{"mood":"festive","caption":"j'||{_S(k)}||'","score":1.5,"indoors":"false","objects":["a","b"],"spot":{{{{"country":"x","city":null}}}},"lang":null,"extra":1}}}}'""",
+        f"""'{{{{"mood":"Lively","caption":null,"score":'||{_S(k)}||',"indoors":0}}}}'""",
+        """'{{"mood":"bogus","indoors":[],"objects":[],"spot":"nowhere","score":"many"}}'""",
+        """'{{"mood":null,"indoors":true,"lang":"en"}}'""",
         "''",
         "'[1]'",
         "'oops'",
         "cast(null as string)",
-        """' {{"ai_generated":"NONE","is_ad":{{}},"score":"7"}}'""",
-        """'{{"ai_generated":"low"}} and more'""",
+        """' {{"mood":"GRIM","indoors":{{}},"score":"7"}}'""",
+        """'{{"mood":"calm"}} and more'""",
         "'\"text\"'",
-        """'{{"is_ad":"","ai_generated":"LOW"}}'""",
-        f"""'{{{{"is_ad":0.0,"place":{{{{"city":"c'||{_S(k)}||'"}}}},"ai_generated":"none"}}}}'""",
+        """'{{"indoors":"","mood":"CALM"}}'""",
+        f"""'{{{{"indoors":0.0,"spot":{{{{"city":"c'||{_S(k)}||'"}}}},"mood":"grim"}}}}'""",
         "'{{}}'",
-        """'{{"justification":12,"is_ad":"0","tags":["x"],"ai_generated":"High"}}'""",
+        """'{{"caption":12,"indoors":"0","objects":["x"],"mood":"Festive"}}'""",
         "'null'",
     ]
     whens = " ".join(f"when {i} then {s}" for i, s in enumerate(shapes))
@@ -109,10 +109,10 @@ from {pages}"""
 
 # Prior analyses of documents, for gates.
 VIEWS["analyses"] = """select doc_id,
-  case quality * 2 + toxic when 0 then 'low' when 1 then 'NONE' when 2 then 'High' else null end as ai_generated,
-  case when doc_id % 5 = 0 then null else toxic = 1 end as is_ad,
+  case quality * 2 + toxic when 0 then 'calm' when 1 then 'GRIM' when 2 then 'Festive' else null end as mood,
+  case when doc_id % 5 = 0 then null else toxic = 1 end as indoors,
   cast(quality as bigint) as quality,
-  case doc_id % 3 when 0 then '' when 1 then 'because' else null end as justification
+  case doc_id % 3 when 0 then '' when 1 then 'because' else null end as caption
 from {labels}"""
 
 # Responses: lines are candidates, words are parts.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from glossa.config import RetryPolicy
 from glossa.operators import attempts, positions, queue
 from glossa.plans.prepare import queue_rows, with_media
+from glossa.session import write_scratch
 from glossa.sources.results import processed_keys
 from suite.queries import QUERIES
 from suite.schemas import JOB
@@ -36,11 +37,52 @@ def test_keys_are_read_alone(spark, tables):
         processed_keys(spark, tables[1], retry_errors=True))
 
 
-def test_a_slice_skips_files(spark, tables):
-    table = positions.order_table(tables[0], [F.col("ordinal")])
-    text = plan(table.slice(3, 9))
-    assert "GreaterThanOrEqual(_part," in text and "LessThanOrEqual(_part," in text
-    assert "BroadcastHashJoin" in text
+def test_a_slice_opens_its_own_files(spark, tables):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = positions.order_table(tables[0], [F.col("ordinal")])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    starts = [*sorted(table.offsets.values()), table.count]
+    assert len(starts) > 2
+    one = table.slice(starts[1], starts[2])
+    text = plan(one)
+    assert "PartitionFilters: [isnotnull(_part" in text and "BroadcastHashJoin" in text
+    files = {r[0] for r in one.select(F.input_file_name()).distinct().collect()}
+    assert len(files) == 1
+    # One file to scan, so one task.
+    assert one.rdd.getNumPartitions() == 1 and one.count() == starts[2] - starts[1]
+
+
+def test_queue_with_a_media_folder_is_planned_once(spark, tables, tmp_path, monkeypatch):
+    posts, results = tables
+    (tmp_path / "media").mkdir()
+    seen = []
+    from glossa.plans import prepare
+
+    def keep(df, label, *rest):
+        seen.append((label, plan(df)))
+        return write_scratch(df, label, *rest)
+
+    monkeypatch.setattr(prepare, "write_scratch", keep)
+    rows = with_media(queue_rows(posts, processed_keys(spark, results), JOB), JOB.with_(media_dir=str(tmp_path / "media")), None)
+    assert [label for label, _ in seen] == ["routed"]
+    whole = seen[0][1] + plan(rows)
+    assert whole.count("LeftAnti") == 1
+    assert seen[0][1].count("FileScan") == 2  # posts and results
+    assert "/posts]" not in plan(rows)
+
+
+def test_large_cap_does_not_shuffle_the_rows_by_group(spark, tables):
+    rows = queue.with_content_key(tables[0], JOB.key_columns)
+    text = plan(queue.top_per_group(rows, "platform", 2000, [F.col("ordinal")]))
+    assert "hashpartitioning(platform" not in text and "BroadcastHashJoin" in text
+
+
+def test_replies_are_parsed_once(spark, sf_dir):
+    for name in ("full_json", "parse_reply"):
+        text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert text.lower().count("parse_json") + text.lower().count("parsejson") == 1, text
 
 
 def test_queue_is_two_shuffles_and_no_python(spark, tables):

@@ -14,11 +14,12 @@ from glossa import RetryPolicy, annotate_stream, load_job, per_row_client, run_j
 from glossa.hooks import row_hook
 from glossa.operators import attempts
 from glossa.operators.queue import KEY
-from glossa.plans.scoring import stub_client
+from glossa.sources.attempts import read_attempts, reusable
 from glossa.sources.results import processed_keys, read_results
 from suite.queries import store
 from suite.schemas import JOB as SUITE_JOB
 from suite.schemas import TEMPLATE, Note
+from suite.stub import stub_client
 from suite.views import view
 
 JOB = SUITE_JOB.with_(score_partitions=2)
@@ -46,7 +47,7 @@ def rows(spark, path, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-SHOWN = ("ordinal", KEY, "vlm_url_used", "vlm_model_used", "vlm_ai_generated", "vlm_error")
+SHOWN = ("ordinal", KEY, "vlm_url_used", "vlm_model_used", "vlm_mood", "vlm_error")
 
 
 def answering(reply):
@@ -95,7 +96,7 @@ def test_quota_stop_is_an_exact_prefix(spark, posts, tmp_path):
     )
     got = read_results(spark, job.results_path)
     order = [(r.platform is None, r.platform or "", r.ordinal) for r in got.collect()]
-    assert report.stopped and sorted(order) == queue[: report.written]
+    assert report.stopped and sorted(order) == queue[: report.written] and report.stopped_at == report.written - 1
     # The first called row at or after the stop is the last one written, with its error.
     assert got.filter("vlm_error like '%GenerateRequestsPerDay%'").count() == 1
     assert stop < report.written < report.queued
@@ -171,16 +172,25 @@ def test_attempts_and_fallback(spark, tmp_path):
             raise RuntimeError("429 too many")
         if kind == "daily":
             raise RuntimeError("429 quota per day")
-        return {"ai_generated": kind}
+        return {"mood": kind}
 
     kinds = ["flaky", "minute", "spent", "daily", "fine"]
-    df = spark.createDataFrame(list(enumerate(kinds)), "k long, call_url string").withColumn("model", F.lit("primary"))
+    df = spark.createDataFrame(list(enumerate(kinds)), "k long, call_url string").withColumns(
+        {"model": F.lit("primary"), KEY: F.col("call_url")})
 
     def build(spread):
-        return spread.withColumns({"pass": F.lit(1), "prompt": F.lit("p"), "media_path": F.lit("f"),
-                                   "mime": F.lit("m")})
-
-    log = score(df, build, per_row_client(call), RetryPolicy(), "primary", "fallback", 3)
+        return spread.withColumns({"pass": F.lit(1), "prompt": F.lit("p"), "prompt_hash": F.lit("h"), "media_path": F.lit("f"),
+                                   "mime": F.lit("m"), "response_schema": F.lit("{}")})
+
+    client = per_row_client(call, keep_waits=False)
+    scored = score(df, build, client, RetryPolicy(), "primary", "fallback", 3, str(tmp_path / "log"))
+    log = scored.log
+    assert scored.calls == 13
+    # The same rows again, from the log alone.
+    known = reusable(read_attempts(spark, str(tmp_path / "log")), df)
+    again = score(df, build, client, RetryPolicy(), "primary", "fallback", 3, str(tmp_path / "log"), known)
+    assert again.calls == 1  # the daily quota error, which may be over
+    assert {(x.k, x.model_used, x.err) for x in outcomes(again.log).collect()} == {(x.k, x.model_used, x.err) for x in outcomes(log).collect()}
     calls = {r.k: r.n for r in log.groupBy("k").agg(F.count("*").alias("n")).collect()}
     # The per-minute key uses up the primary model, then the fallback.
     assert calls == {0: 3, 1: 6, 2: 2, 3: 1, 4: 1}
@@ -214,35 +224,35 @@ def test_repeated_log_rows_change_nothing(spark, sf_dir):
 def annotating(tmp_path, **changes):
     return JOB.with_(
         results_path=str(tmp_path / "r"), annotations_path=str(tmp_path / "a"), mirror_path=str(tmp_path / "m.csv"),
-        annotation=Note, annotation_template=TEMPLATE, annotation_rules={"ai_generated": "high"}, **changes,
+        annotation=Note, annotation_template=TEMPLATE, annotation_rules={"mood": "festive"}, **changes,
     )
 
 
 def replying(request):
     if request["pass"] == 1:
-        return {"ai_generated": "HIGH" if "1" in request["call_url"] else "low"}
+        return {"mood": "FESTIVE" if "1" in request["call_url"] else "calm"}
     if "2" in request["call_url"]:
         raise RuntimeError("403 second")
-    assert '"prior_analysis":{"ai_generated":"HIGH"' in request["prompt"] and '"platform":' in request["prompt"]
-    return {"justification": "because", "is_ad": True}
+    assert '"prior_analysis":{"caption":null,"score":null,"mood":"FESTIVE"' in request["prompt"] and '"platform":' in request["prompt"]
+    return {"caption": "because", "indoors": True}
 
 
 def test_second_pass(spark, posts, manifest, tmp_path):
     job = annotating(tmp_path).with_(attempts_path=str(tmp_path / "log"))
     report = run_job(posts, job, per_row_client(replying), manifest)
     got = read_results(spark, job.results_path)
-    log = read_results(spark, job.attempts_path)
+    log = read_attempts(spark, job.log_path)
     assert {r["pass"] for r in log.collect()} == {1, 2}
     assert log.join(got, KEY, "left_anti").count() == 0
-    high = got.filter("vlm_ai_generated = 'HIGH'").collect()
+    high = got.filter("vlm_mood = 'FESTIVE'").collect()
     assert high and all(r.vlm_annotation_model_used for r in high)
     for r in high:
         url = (r.post_url or "").strip() if (r.post_url or "NaN") != "NaN" else r.media_url
         if "2" in url:
             assert (r.vlm_annotation_json, r.vlm_annotation_error) == (None, "403 second")
         else:
-            assert r.vlm_annotation_json == '{"justification":"because","lang":"und","is_ad":true}'
-    rest = got.filter("coalesce(vlm_ai_generated, '') <> 'HIGH'")
+            assert r.vlm_annotation_json == '{"caption":"because","lang":"und","indoors":true}'
+    rest = got.filter("coalesce(vlm_mood, '') <> 'FESTIVE'")
     assert rest.filter("vlm_annotation_json is not null or vlm_annotation_model_used is not null").count() == 0
     assert read_results(spark, job.annotations_path).count() == len(high)
     assert read_results(spark, job.annotations_path).columns[0] == KEY
@@ -258,17 +268,17 @@ def test_row_hook_and_its_failures(spark, posts, tmp_path):
     def note(reply, row, analysis, key, media):
         if row["platform"] == "x":
             raise ValueError("no x")
-        return {"vlm_note_json": analysis["ai_generated"], "vlm_len": len(key), "vlm_note_model_used": "ignored"}
+        return {"vlm_note_json": analysis["mood"], "vlm_len": len(key), "vlm_note_model_used": "ignored"}
 
     job = annotating(tmp_path, annotation_columns=row_hook(note, schema)).with_(annotations_path="", mirror_path="")
-    run_job(posts, job, per_row_client(lambda r: {"ai_generated": "HIGH"} if r["pass"] == 1 else "{}"))
-    got = read_results(spark, job.results_path).filter("vlm_ai_generated is not null")
+    run_job(posts, job, per_row_client(lambda r: {"mood": "FESTIVE"} if r["pass"] == 1 else "{}"))
+    got = read_results(spark, job.results_path).filter("vlm_mood is not null")
     assert got.filter("vlm_note_model_used <> 'fallback' or vlm_note_model_used is null").count() == 0
     bad = got.filter("platform = 'x'")
     assert {(r.vlm_note_json, r.vlm_note_error, r.vlm_len) for r in bad.collect()} == {
         (None, "Annotation materialise error: no x", None)}
     good = got.filter("coalesce(platform, '') <> 'x'")
-    assert {(r.vlm_note_json, r.vlm_note_error, r.vlm_len) for r in good.collect()} == {("HIGH", None, 64)}
+    assert {(r.vlm_note_json, r.vlm_note_error, r.vlm_len) for r in good.collect()} == {("FESTIVE", None, 64)}
 
 
 def test_criteria_prompt_and_own_rows(spark, posts, tmp_path):
@@ -346,17 +356,109 @@ def test_media_folder_lookup_and_listing(spark, tmp_path):
         (store / name).write_text(content)
     want = {(names[0], f"{names[0]}_2.jpg"), (names[1], f"{names[1]}.mp4")}
     asked = list_media(spark.createDataFrame([(n,) for n in names], "save_name string"), str(store))
-    assert {tuple(r) for r in resolve_media(asked).collect()} == want
+    found = {tuple(r) for r in resolve_media(asked).collect()}
+    assert found == {(name, file, f"{store}/{name}/{file}") for name, file in want}
     every = resolve_media(media_manifest(spark, str(store)))
-    assert {tuple(r) for r in every.collect()} == want | {("else", "else.mp4")}
+    assert {tuple(r)[:2] for r in every.collect()} == want | {("else", "else.mp4")}
+    with pytest.raises(FileNotFoundError):
+        list_media(spark.createDataFrame([("n",)], "save_name string"), str(tmp_path / "absent"))
     assert media_manifest(spark, str(tmp_path / "none")).count() == 0
 
     posts = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "ordinal long, post_url string, platform string")
     job = JOB.with_(results_path=str(tmp_path / "r"), media_dir=str(store))
-    seen = per_row_client(lambda request: {"justification": request["media_path"]})
+    seen = per_row_client(lambda request: {"caption": request["media_path"]})
+    run_job(posts, job, seen)
+    assert rows(spark, job.results_path, "ordinal", "vlm_url_used", "vlm_caption") == [
+        (0, "post", f"{store}/{names[0]}/{names[0]}_2.jpg"), (1, "post", f"{store}/{names[1]}/{names[1]}.mp4"), (2, "url", None)]
+    # A manifest table with its own paths is preferred.
+    kept = spark.createDataFrame([(names[2], f"{names[2]}.mp4", 5, "s3a://far/away.mp4")], "save_name string, fname string, size long, path string")
+    kept.write.parquet(str(tmp_path / "manifest"))
+    job = JOB.with_(results_path=str(tmp_path / "r2"), media_dir=str(store), media_manifest=str(tmp_path / "manifest"))
     run_job(posts, job, seen)
-    assert rows(spark, job.results_path, "ordinal", "vlm_url_used", "vlm_justification") == [
-        (0, "post", f"{names[0]}/{names[0]}_2.jpg"), (1, "post", f"{names[1]}/{names[1]}.mp4"), (2, "url", None)]
+    assert rows(spark, job.results_path, "ordinal", "vlm_caption") == [(0, None), (1, None), (2, "s3a://far/away.mp4")]
+
+
+@pytest.mark.parametrize(("given", "want"), [
+    ("s3a://bucket/results", "s3a://bucket/results"), ("hdfs://nn/results.csv", "hdfs://nn/results.csv"),
+    ("file:///mnt/shared", "file:///mnt/shared"), ("/abs/results", "/abs/results"), ("rel/results", "HOME/rel/results"), ("", ""),
+])
+def test_paths_of_a_project_file(tmp_path, given, want):
+    (tmp_path / "p.txt").write_text("Look.", encoding="utf-8")
+    (tmp_path / "schemas.py").write_text("from dataclasses import dataclass\n@dataclass\nclass Mine:\n    why: str\n")
+    names = ("local_results_csv", "annotations", "attempts", "mirror_csv", "media_downloads", "media_manifest", "input_csv")
+    paths = "".join(f"{n} = '{given}'\n" for n in names)
+    (tmp_path / "project.toml").write_text(
+        f"[schemas]\nanalysis_class = 'Mine'\n[prompts]\nfirst_pass = 'p.txt'\n[processing]\nmultiline_csv = false\n[paths]\n{paths}")
+    job = load_job(tmp_path / "project.toml")
+    want = want.replace("HOME", str(tmp_path.resolve()))
+    assert [job.results_path, job.annotations_path, job.attempts_path, job.mirror_path, job.media_dir, job.media_manifest, job.input_path] == [want] * 7
+    assert job.log_path == (want or "-attempts") and not job.multiline_csv
+
+
+def test_local_paths_are_refused_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from glossa.session import shared_path
+
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077"))
+    assert shared_path(cluster, "s3a://b/x") and shared_path(cluster, "file:///mnt/x") and shared_path(spark, "/tmp/x")
+    with pytest.raises(ValueError):
+        shared_path(cluster, "/tmp/x")
+
+
+def test_a_header_in_another_order_is_refused(spark, tmp_path):
+    from glossa.sources.posts import read_csv
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text("post_url,platform\nhttps://a,x\n")
+    (tmp_path / "in/b.csv").write_text("platform,post_url\ny,https://b\n")
+    for multiline in (True, False):
+        with pytest.raises(Exception, match="header does not conform"):
+            read_csv(spark, str(tmp_path / "in"), multiline=multiline).collect()
+
+
+def test_a_retry_waits_and_cores_do_not_decide_the_tasks(spark, tmp_path):
+    import time
+
+    posts = spark.range(6).select(F.col("id").alias("ordinal"), F.format_string("https://p/%d", "id").alias("post_url"), F.lit("x").alias("platform"))
+    started = time.time()
+
+    def call(request):
+        if time.time() < started + 1.0 or request["attempt"] == 0:
+            raise RuntimeError("429 retry in 2s")
+        with open(tmp_path / f"task-{__import__('os').getpid()}-{__import__('pyspark').TaskContext.get().partitionId()}", "a"):
+            pass
+        return "{}"
+
+    job = JOB.with_(
+        results_path=str(tmp_path / "r"), score_partitions=0, rows_per_task=2, retry=RetryPolicy(max_attempts=2, rate_limit_margin_sec=1.0))
+    report = run_job(posts, job, per_row_client(call, threads=2))
+    assert report.calls == 12 and time.time() - started >= 3
+    log = read_attempts(spark, job.log_path)
+    ends = {(x.k, x.attempt): x.ended_at for x in log.collect()}
+    assert all(ends[(k, 1)] - ends[(k, 0)] >= 3 for k in range(6))
+    assert rows(spark, job.results_path, "vlm_error") == [(None,)] * 6
+    from glossa.plans.run import run_queue  # noqa: F401
+
+    assert len({p.name.split("-")[-1] for p in tmp_path.glob("task-*")}) > 1
+
+
+def test_requests_carry_the_schema_of_the_reply(spark, tmp_path):
+    import json
+
+    from glossa.schema_spec import response_schema
+    from suite.schemas import Scene
+
+    posts = spark.createDataFrame([(1, "u", "x")], "ordinal long, post_url string, platform string")
+    job = JOB.with_(results_path=str(tmp_path / "r"))
+    run_job(posts, job, per_row_client(lambda request: {"caption": request["response_schema"]}))
+    got = json.loads(rows(spark, job.results_path, "vlm_caption")[0][0])
+    assert got == json.loads(response_schema(Scene))
+    assert got["properties"]["caption"] == {"type": "string", "description": "One sentence on what is to be seen.", "nullable": True}
+    assert got["properties"]["mood"] == {"type": "string", "enum": ["FESTIVE", "LIVELY", "CALM", "GRIM"]}
+    assert got["properties"]["objects"] == {"type": "array", "items": {"type": "string"}}
+    assert got["properties"]["spot"]["properties"]["city"] == {"type": "string", "nullable": True}
+    assert got["required"] == ["caption", "score"]
 
 
 def test_empty_results_have_every_column(spark, tmp_path):
