@@ -54,8 +54,10 @@ NUMBERS = frozenset(
     " nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
 )
 
-_EDGE = re.compile(r"^[^\w%€$£°]+|[^\w%€$£°]+$")
-_NUMBER = re.compile(r"[€$£]?[+-]?\d[\d.,:/]*")
+# Stripped from both ends of a word; signs of units and money stay.
+_EDGE = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~«»‹›“”„‘’‚…–—·•¡¿"
+_NUMBER_START = frozenset("0123456789€$£")
+_NUMBER = re.compile(r"[€$£]?\d[\d.,:/]*")
 _NUM, _NAME, _UNIT = 1, 2, 3
 _PLACEHOLDERS = np.array([0, 0x6E756D, 0x6E616D65, 0x756E6974], dtype=np.uint64)
 
@@ -68,6 +70,10 @@ def _word_id(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) | 1
 
 
+# Words a task remembers before it starts anew.
+MOST_WORDS = 300_000
+
+
 class Vocabulary(dict):
     """Numbers words as they come; per number, the literal's hash, its kind and the literal itself."""
 
@@ -80,19 +86,20 @@ class Vocabulary(dict):
         self.ids: list[int] = []
         self.kinds: list[int] = []
         self.words: list[str] = []
-        self.arrays = (np.empty(0, np.uint64), np.empty(0, np.int8))
+        self.filled = 0
+        self.arrays = (np.empty(4096, np.uint64), np.empty(4096, np.int8))
 
     def __missing__(self, word: str) -> int:
-        bare = _EDGE.sub("", word)
+        bare = word.strip(_EDGE)
         low = bare.lower()
-        if _NUMBER.fullmatch(low) or low in NUMBERS:
+        first = bare[:1]
+        kind = 0
+        if first in _NUMBER_START and _NUMBER.fullmatch(low) or low in NUMBERS:
             kind = _NUM
         elif low in UNITS:
             kind = _UNIT
-        elif bare[:1].isupper() and (len(bare) == 1 or bare[1:] != bare[1:].upper()) and low not in STOP_WORDS:
+        elif first != low[:1] and (len(bare) == 1 or bare[1:] != bare[1:].upper()) and low not in STOP_WORDS:
             kind = _NAME
-        else:
-            kind = 0
         number = self[word] = len(self.ids)
         self.ids.append(_word_id(low) if low else 0)
         self.kinds.append(kind)
@@ -100,8 +107,13 @@ class Vocabulary(dict):
         return number
 
     def lookup(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.arrays[0]) < len(self.ids):
-            self.arrays = (np.array(self.ids, np.uint64), np.array(self.kinds, np.int8))
+        n = len(self.ids)
+        if self.filled < n:
+            if len(self.arrays[0]) < n:
+                self.arrays = tuple(np.concatenate([a, np.empty(n, a.dtype)]) for a in self.arrays)
+            for array, values in zip(self.arrays, (self.ids, self.kinds)):
+                array[self.filled : n] = values[self.filled : n]
+            self.filled = n
         return self.arrays[0][numbers], self.arrays[1][numbers]
 
 
@@ -113,12 +125,15 @@ class Canonical:
     template: np.ndarray
 
 
+_DIGIT = re.compile(r"\d")
 _JOINED = re.compile(r"(?<!\S)([€$£]?[+-]?\d[\d.,]*)([a-zA-Z°%]{1,3})(?=[\s.,;:!?)]|\Z)")
 
 
 def canonical(text: str | None, vocabulary: Vocabulary) -> Canonical:
     """The words of a whole text; words of punctuation alone are left out, ``5km`` is two words."""
-    text = _JOINED.sub(r"\1 \2", text or "")
+    text = text or ""
+    if _DIGIT.search(text):
+        text = _JOINED.sub(r"\1 \2", text)
     numbers = np.array(list(map(vocabulary.__getitem__, text.split())), dtype=np.int64)
     literal, kind = vocabulary.lookup(numbers)
     if not literal.all():
@@ -203,7 +218,7 @@ def _consistent(table: WindowTable, item: int, doc: Canonical, vocabulary: Vocab
 
 def passages(text: str | None, table: WindowTable, vocabulary: Vocabulary, settings: DecontaminationSettings) -> list[tuple]:
     """(item, kind, windows found, share of the item's windows) of every benchmark item in the text."""
-    if len(vocabulary.ids) > 1_000_000:
+    if len(vocabulary.ids) > MOST_WORDS:
         vocabulary.clear_all()
     doc = canonical(text, vocabulary)
     hits: dict[tuple[int, int], dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
