@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import blocks, utf8
+from glossa.llm.bitmap import bitmap_of, passes
+from glossa.llm.common import blocks, release, repeats_an_id, utf8
 from glossa.llm.hashing import mix, range_hashes
 from glossa.session import write_scratch
 
@@ -48,12 +49,17 @@ class SuffixSettings:
 _KMER = 16
 
 
-def _window_minima(buf: np.ndarray, length: int) -> np.ndarray:
-    """Smallest hash of the 16-byte strings in each window of ``length`` bytes."""
+def _kmer_hashes(buf: np.ndarray) -> np.ndarray:
+    """Hash of the 16 bytes at each place."""
     two = buf[:-1].astype(np.uint64) | (buf[1:].astype(np.uint64) << np.uint64(8))
     four = two[:-2] | (two[2:] << np.uint64(16))
     eight = four[:-4] | (four[4:] << np.uint64(32))
-    least = mix(eight[:-8] * np.uint64(0x9E3779B97F4A7C15) + mix(eight[8:]))
+    return mix(eight[:-8] * np.uint64(0x9E3779B97F4A7C15) + mix(eight[8:]))
+
+
+def _window_minima(buf: np.ndarray, length: int) -> np.ndarray:
+    """Smallest hash of the 16-byte strings in each window of ``length`` bytes."""
+    least = _kmer_hashes(buf)
     width, wanted = 1, length - _KMER + 1
     while width * 2 <= wanted:
         least = np.minimum(least[:-width], least[width:])
@@ -99,38 +105,6 @@ def _pieces(texts: list[bytes], settings: SuffixSettings) -> Iterator[tuple[list
             yield list(range(a, b)), [0] * (b - a), texts[a:b]
 
 
-def _bits(hashes: np.ndarray, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The filter's words and bits of some hashes, for each of its three functions."""
-    for i in range(3):
-        place = mix(hashes + np.uint64(i + 1) * np.uint64(0xD6E8FEB86659FD93))
-        yield (place >> np.uint64(6)) % np.uint64(words), np.uint64(1) << (place & np.uint64(63))
-
-
-def _passes(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(hashes), dtype=bool)
-    for word, bit in _bits(hashes, len(bitmap)):
-        ok &= (bitmap[word.astype(np.int64)] & bit) != 0
-    return ok
-
-
-def _bitmap(hashes: DataFrame, settings: SuffixSettings) -> np.ndarray:
-    """Filter of column ``h``: tasks send words, the driver gets ``filter_words`` of them at most."""
-    words = settings.filter_words
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(words, dtype=np.uint64)
-        for batch in batches:
-            for word, bit in _bits(batch.column(0).to_numpy().view(np.uint64), words):
-                np.bitwise_or.at(own, word.astype(np.int64), bit)
-        used = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(own[used].view(np.int64))], names=["word", "bits"])
-
-    found = hashes.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(words, dtype=np.uint64)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return out
-
-
 def _census(rows: DataFrame, settings: SuffixSettings) -> DataFrame:
     """(h, s, first, segs, n): segments of the hashes that occur in several documents.
 
@@ -189,14 +163,14 @@ def _occurrences(rows: DataFrame, repeated: np.ndarray, compared: np.ndarray, se
             texts = [utf8(t) for t in batch.column("text").to_pylist()]
             for members, base, parts in _pieces(texts, settings):
                 text, h, s, start, n = segments(parts, settings)
-                hit = _passes(h, may_repeat)
+                hit = passes(h, may_repeat)
                 if not hit.any():
                     continue
                 text, h, s, start, n = text[hit], h[hit], s[hit], start[hit], n[hit]
                 _, lead = np.unique(s, return_index=True)
                 wanted = np.zeros(len(s), dtype=bool)
                 wanted[lead] = True
-                wanted &= _passes(h, may_differ)
+                wanted &= passes(h, may_differ)
                 seg = [
                     parts[t][a : a + c + length - 1] if w else None
                     for t, a, c, w in zip(text.tolist(), start.tolist(), n.tolist(), wanted.tolist())
@@ -292,11 +266,52 @@ def first_documents(strings: list[bytes], first: np.ndarray, settings: SuffixSet
     return place[back], document[back]
 
 
+def _may_share(h: np.ndarray, strings: list[bytes], settings: SuffixSettings) -> np.ndarray:
+    """Which strings may share a window with another of the same smallest hash.
+
+    A window holds the k-mer of that hash and, on one side of it, at least half of its other bytes. So a
+    string whose k-mer, widened by that half to the left or right, occurs in no other shares nothing.
+    """
+    half = (settings.length - _KMER) // 2
+    sizes = np.array([len(x) + 1 for x in strings])
+    starts = np.cumsum(sizes) - sizes
+    ends = starts + sizes - 1
+    buf = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8)
+    owner = np.repeat(np.arange(len(strings)), sizes)
+    hashes = _kmer_hashes(buf)
+    own = owner[: len(hashes)]
+    at = np.flatnonzero((hashes == h.view(np.uint64)[own]) & (np.arange(len(hashes)) + _KMER <= ends[own]))
+    found, place, times = np.unique(own[at], return_index=True, return_counts=True)
+    p = at[place]
+    # With several such k-mers a window may hold another one than the first.
+    keep = np.ones(len(strings), dtype=bool)
+    keep[found[times == 1]] = False
+    for low, high in ((p - half, p + _KMER), (p, p + _KMER + half)):
+        fits = (low >= starts[found]) & (high <= ends[found])
+        key = mix(range_hashes(buf, low[fits], high[fits]) + h.view(np.uint64)[found[fits]])
+        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+        keep[found[fits][count[which] > 1]] = True
+    return keep
+
+
 def _compare(segs: DataFrame, settings: SuffixSettings) -> DataFrame:
     """(h, s, offset, windows, first) from (h, s, first, seg) sorted by hash within partitions."""
     length = settings.length
 
-    def solve(h, s, first, strings) -> pa.RecordBatch:
+    def whole(h, s, first, strings) -> pa.RecordBatch:
+        windows = np.array([len(x) - length + 1 for x in strings], dtype=np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h), pa.array(s), pa.array(np.zeros(len(h), np.int32)), pa.array(windows), pa.array(first)],
+            names=["h", "s", "offset", "windows", "first"],
+        )
+
+    def solve(h, s, first, strings) -> Iterator[pa.RecordBatch]:
+        share = _may_share(h, strings, settings)
+        if not share.all():
+            yield whole(h[~share], s[~share], first[~share], [x for x, k in zip(strings, share) if not k])
+        if not share.any():
+            return
+        h, s, first, strings = h[share], s[share], first[share], [x for x, k in zip(strings, share) if k]
         sizes = np.array([len(x) + 1 for x in strings])
         starts = np.cumsum(sizes) - sizes
         place, document = first_documents(strings, first, settings)
@@ -305,7 +320,7 @@ def _compare(segs: DataFrame, settings: SuffixSettings) -> DataFrame:
         at = np.flatnonzero(new)
         windows = np.diff(np.concatenate([at, [len(place)]]))
         o = owner[at]
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [pa.array(h[o]), pa.array(s[o]), pa.array((place[at] - starts[o]).astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(document[at])],
             names=["h", "s", "offset", "windows", "first"],
         )
@@ -316,12 +331,12 @@ def _compare(segs: DataFrame, settings: SuffixSettings) -> DataFrame:
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("h", "s", "first", "seg"))):
                 if held and size >= settings.batch and row[0] != held[-1][0]:
-                    yield solve(*(np.array([r[i] for r in held], dtype=np.int64) for i in range(3)), [r[3] for r in held])
+                    yield from solve(*(np.array([r[i] for r in held], dtype=np.int64) for i in range(3)), [r[3] for r in held])
                     held, size = [], 0
                 held.append(row)
                 size += len(row[3]) + 1
         if held:
-            yield solve(*(np.array([r[i] for r in held], dtype=np.int64) for i in range(3)), [r[3] for r in held])
+            yield from solve(*(np.array([r[i] for r in held], dtype=np.int64) for i in range(3)), [r[3] for r in held])
 
     common = segs.filter(F.col("segs") <= settings.hot)
     runs = common.select("h", "s", "first", "seg").repartition("h").sortWithinPartitions("h").mapInArrow(
@@ -343,20 +358,27 @@ def repeated_spans(docs: DataFrame, settings: SuffixSettings = SuffixSettings())
     """
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "version", "text")
+    spark = docs.sparkSession
     census = write_scratch(_census(rows, settings), "segments")
-    repeated = _bitmap(census.select("h"), settings)
-    compared = _bitmap(census.filter("segs > 1").select("h"), settings)
+    release(spark)
+    repeated = bitmap_of(census.select("h"), settings.filter_words)
+    compared = bitmap_of(census.filter("segs > 1").select("h"), settings.filter_words)
     found = _occurrences(rows, repeated, compared, settings)
     segs = found.filter(F.col("seg").isNotNull()).select("h", "s", "seg").groupBy("h", "s").agg(F.min("seg").alias("seg"))
     segs = census.filter("segs > 1").join(segs, ["h", "s"]).select("h", "s", "first", "segs", "seg")
     runs = _compare(segs, settings).union(
         census.filter("segs = 1").select("h", "s", F.lit(0).alias("offset"), F.col("n").alias("windows"), "first")
     )
+    runs = write_scratch(runs, "runs")
+    release(spark)
     covered = found.select("h", "s", "doc", "version", "start").join(runs, ["h", "s"]).filter(F.col("first") < F.col("doc"))
     begin = F.col("start") + F.col("offset")
-    return covered.groupBy("doc", "version").agg(
+    spans = covered.groupBy("doc", "version").agg(
         F.collect_list(F.struct(begin.alias("a"), (begin + F.col("windows") + settings.length - 1).alias("b"))).alias("spans")
     )
+    spans = write_scratch(spans, "spans")
+    release(spark)
+    return spans
 
 
 def _cut(data: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
@@ -385,11 +407,26 @@ def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(),
     """
     if settings.length < 2 * _KMER:
         raise ValueError(f"length must be at least {2 * _KMER}")
-    rows = docs.select("doc_id", "text").withColumn("version", F.xxhash64("text"))
+    named = docs.filter(F.col("doc_id").isNotNull())
+    # Rows of one doc_id are told apart by their text; usually there are none.
+    version = F.xxhash64("text") if repeats_an_id(named.select("doc_id")) else F.lit(0).cast("long")
+    rows = docs.select("doc_id", "text").withColumn("version", version)
     spans = repeated_spans(rows, settings)
-    joined = rows.join(
-        spans, (rows["doc_id"] == spans["doc"]) & (rows["version"] == spans["version"]), "left"
-    ).select("doc_id", "text", "spans")
+    # Texts of documents without spans need not be shuffled.
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(spans.select("doc"), settings.filter_words))
+
+    def having(cut: bool):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("doc_id").cast(pa.int64())
+                hit = passes(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64), sent.value)
+                yield batch.filter(pa.array((hit & ids.is_valid().to_numpy(zero_copy_only=False)) == cut))
+
+        return keep
+
+    near = rows.mapInArrow(having(True), rows.schema)
+    near = near.join(spans, (near["doc_id"] == spans["doc"]) & (near["version"] == spans["version"]), "left")
+    columns = ["doc_id", "text", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,5 +442,7 @@ def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(),
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *arrays], names=names)
 
-    result = joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    whole = rows.mapInArrow(having(False), rows.schema).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    result = near.select(*columns).union(whole.select(*columns)).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return result if with_kept else result.drop("kept")
