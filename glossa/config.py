@@ -18,7 +18,6 @@ DEFAULT_FALLBACK_MODEL = "gemini-3-flash-preview"
 DEFAULT_MAX_ATTEMPTS = 3
 DEFAULT_BASE_DELAY_SEC = 2
 DEFAULT_RATE_LIMIT_MARGIN_SEC = 5
-DEFAULT_APPEND_CHUNK = 100
 DEFAULT_KEY_COLUMNS = ("post_url", "media_url", "platform")
 
 
@@ -55,8 +54,8 @@ class JobConfig:
     # Rows whose results are appended together. Calls are kept as they are made (``log_path``), so
     # this does not decide what a crash costs.
     commit_rows: int = 100_000
-    # Rows per block of the text sinks (see operators.positions.chunk_ids).
-    append_chunk_size: int = DEFAULT_APPEND_CHUNK
+    # Most rows of a file of the CSV tables (0 = as many as a task has).
+    append_chunk_size: int = 0
     # Rows a task calls the model for; replies are kept when a task ends.
     rows_per_task: int = 200
     # Tasks per round, whatever the rows (0 = by ``rows_per_task``).
@@ -156,7 +155,7 @@ def load_job(toml_path: str | Path) -> JobConfig:
         fallback_model=part("models").get("fallback", DEFAULT_FALLBACK_MODEL),
         retry=RetryPolicy(**retry),
         key_columns=tuple(part("dedup").get("key_columns", DEFAULT_KEY_COLUMNS)),
-        append_chunk_size=part("sheets").get("append_chunk_size", DEFAULT_APPEND_CHUNK),
+        append_chunk_size=part("sheets").get("append_chunk_size", 0),
         annotation=getattr(schemas, annotation) if annotation else None,
         annotation_template=(home / template).read_text(encoding="utf-8") if template else None,
         annotation_rules=part("annotation").get("field_rules"),

@@ -175,14 +175,14 @@ class _Sinks:
         annotations = self.names and job.annotations_path
         if not (annotations or job.mirror_path):
             seen = Observation()
-            append_results(rows.observe(seen, F.count("*").alias("rows")), job.results_path)
+            append_results(rows.observe(seen, F.count("*").alias("rows")), job.results_path, job.append_chunk_size)
             return seen.get["rows"]
         written, metrics = write_observed(rows, "chunk", rows=F.count("*"))
-        append_results(written, job.results_path)
+        append_results(written, job.results_path, job.append_chunk_size)
         if annotations:
             self.annotations(written)
         if job.mirror_path:
-            append_results(written, job.mirror_path)
+            append_results(written, job.mirror_path, job.append_chunk_size)
         return metrics["rows"]
 
     def annotations(self, rows: DataFrame) -> None:

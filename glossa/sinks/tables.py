@@ -47,15 +47,16 @@ def as_text(df: DataFrame) -> DataFrame:
     )
 
 
-def append_results(df: DataFrame, path: str) -> None:
-    """Append to a results table; the path's suffix decides the format.
+def append_results(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Append to a results table; the path's suffix decides the format. CSV files have ``rows_per_file`` rows at most.
 
     Parquet is matched by column name when read. A CSV row has no names, so rows of each
     column list get a folder of their own and reading joins them by name.
     """
     if is_csv(path):
         version = hashlib.sha256(json.dumps(df.columns).encode()).hexdigest()[:12]
-        as_text(df).write.mode("append").options(**_CSV_WRITE).csv(f"{path}/columns-{version}")
+        options = _CSV_WRITE | {"maxRecordsPerFile": rows_per_file}
+        as_text(df).write.mode("append").options(**options).csv(f"{path}/columns-{version}")
     else:
         df.write.mode("append").parquet(path)
 

@@ -198,7 +198,7 @@ def shuffled(spark, sf):
 def chunk_ids(spark, sf):
     posts = view(spark, sf, "bulk_posts")
     placed = positions.with_position(posts, queue.sort_order(posts, ["platform"], [True]))
-    return positions.chunk_ids(placed, "pos", JOB.append_chunk_size).select("ordinal", "pos", "chunk_id")
+    return positions.chunk_ids(placed, "pos", 100).select("ordinal", "pos", "chunk_id")
 
 
 @query

@@ -362,7 +362,8 @@ def test_media_folder_lookup_and_listing(spark, tmp_path):
     assert {tuple(r)[:2] for r in every.collect()} == want | {("else", "else.mp4")}
     with pytest.raises(FileNotFoundError):
         list_media(spark.createDataFrame([("n",)], "save_name string"), str(tmp_path / "absent"))
-    assert media_manifest(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        media_manifest(spark, str(tmp_path / "none"))
 
     posts = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "ordinal long, post_url string, platform string")
     job = JOB.with_(results_path=str(tmp_path / "r"), media_dir=str(store))
@@ -473,6 +474,13 @@ def test_empty_results_have_every_column(spark, tmp_path):
     assert dict(empty.dtypes)["vlm_n"] == "bigint"
 
 
+def test_csv_files_have_the_wanted_rows(spark, posts, tmp_path):
+    job = JOB.with_(results_path=str(tmp_path / "r.csv"), append_chunk_size=5, score_partitions=1)
+    report = run_job(posts, job, answering("{}"))
+    sizes = [p.read_text().count("\n") - 1 for p in (tmp_path / "r.csv").rglob("*.csv") if p.is_file()]
+    assert sum(sizes) == report.written and max(sizes) <= 5
+
+
 def test_scratch_is_gone_after_a_run(spark, posts, tmp_path):
     from pathlib import Path
 
