@@ -97,7 +97,7 @@ def op8_language(spark, sf):
 def op9_sharding(spark, sf):
     """All documents in 40 shards, and where they would be with 41."""
     docs = table(spark, sf, "documents")
-    return sharding.assign_shards(docs.select("doc_id", "text"), N_SHARDS).drop("text")
+    return sharding.assign_shards(docs, N_SHARDS, keep=["doc_id"])
 
 
 @query

@@ -52,8 +52,10 @@ def jump_shards(key: Column, *counts: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, jump)["shard"]
 
 
-def assign_shards(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns and rows of ``docs`` with their shard under the law ``key``.
+def assign_shards(
+    docs: DataFrame, n_shards: int, key: str = "doc_id", text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """All rows of ``docs`` with their shard under the law ``key``; ``keep`` names the columns to return, all by default.
 
     Adds size (UTF-8 bytes of the text plus 16), text_crc32 (unsigned), law, shard, slot (gapless from
     0 in each shard) and grown_shard (the shard if there were one shard more). Input columns of
@@ -68,10 +70,10 @@ def assign_shards(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str
     """
     added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "_part", "_place"]
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.drop(*[c for c in added if c not in (key, text)])
+    columns = [c for c in keep or docs.columns if c not in added]
     both = jump_shards(F.col(key).cast("long"), n_shards, n_shards + 1)
     placed = (
-        rows.withColumn("_both", both)
+        docs.withColumn("_both", both)
         .withColumns({
             "size": F.octet_length(body).cast("long") + ROW_OVERHEAD,
             "text_crc32": F.crc32(body),
@@ -79,8 +81,8 @@ def assign_shards(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str
             "shard": F.col("_both")[0].cast("int"),
             "grown_shard": F.col("_both")[1].cast("int"),
         })
-        .drop("_both")
-        .sortWithinPartitions("shard", key)
+        .select(*columns, *[c for c in added if c in ("size", "text_crc32", "law", "shard", "grown_shard")])
+        .sortWithinPartitions("shard", *[c for c in (key,) if c in columns])
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", _PLACE_BITS).cast("int"))
     )
@@ -94,5 +96,5 @@ def assign_shards(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str
     return (
         placed.join(cells, ["_part", "shard"])
         .withColumn("slot", F.col("_before") + F.col("_place") - F.col("_first"))
-        .select(*rows.columns, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+        .select(*columns, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
     )
