@@ -79,7 +79,8 @@ def warc(pages, least=0):
     size = {p: len((h or "").encode()) for p, h in pages}
     last = {}
     for p, d in digest.items():
-        last[d] = max(last.get(d, p), p)
+        known = [x for x in (last.get(d), p) if x is not None]
+        last[d] = max(known) if known else None
     return {
         p: (size[p], d, "response", None) if size[p] < least or last[d] == p else (size[p], d, "revisit", last[d])
         for p, d in digest.items()
