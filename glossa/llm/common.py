@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import time
 from collections.abc import Callable, Iterator
@@ -18,14 +20,31 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 # Rows of a batch between the JVM and Python. Whole texts travel, so the usual ten thousand would be too many.
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on: bounded batches, and those that change results."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return configure(spark)
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which its worker hands free memory back; idle workers stay alive beside busy ones."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def release(spark: SparkSession) -> None:
     """Give back the disk of shuffles whose tables are written.
 
@@ -103,7 +122,7 @@ def with_text_columns(
                 arrays += [pa.array(values, kind) for values, (_, kind) in zip(made, fields.values())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*returned, *fields])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def keep_texts(df: DataFrame, column: str, wanted: Callable[[list], list[bool]]) -> DataFrame:
@@ -115,4 +134,4 @@ def keep_texts(df: DataFrame, column: str, wanted: Callable[[list], list[bool]])
                 part = batch.slice(at, 1000)
                 yield part.filter(pa.array(wanted(part.column(column).to_pylist()), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)

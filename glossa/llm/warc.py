@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossa.llm.common import lean
 from glossa.session import scratch_path, write_scratch
 
 NAMESPACE = "urn:page:"
@@ -105,6 +106,7 @@ def write_archives(chunks: DataFrame, folder: str, settings: WarcSettings = Warc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         storage, base = _storage(folder)
+        storage.create_dir(base, recursive=True)
         made, out, name, records, size, packer, last = [], None, None, 0, 0, None, None
 
         def end_file():
@@ -152,7 +154,7 @@ def write_archives(chunks: DataFrame, folder: str, settings: WarcSettings = Warc
             schema=pa.schema([("path", pa.string()), ("records", pa.int64()), ("payload_bytes", pa.int64())]),
         )
 
-    files = chunks.mapInArrow(run, "path string, records long, payload_bytes long")
+    files = chunks.mapInArrow(lean(run), "path string, records long, payload_bytes long")
     return write_scratch(files, "archives")
 
 
@@ -268,8 +270,8 @@ def read_archives(files: DataFrame, settings: WarcSettings = WarcSettings(), wit
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _CHUNK_FIELDS)], schema=schema)
 
-    return files.select("path").repartition("path").mapInArrow(
-        run,
+    # A number of its own keeps adaptive planning from putting many small rows, and so many files, in one task.
+    return files.select("path").repartition(max(1, files.count())).mapInArrow(lean(run),
         "page_id long, url string, record_type string, refers_to long, stated_digest string, chunk_no int, last boolean,"
         " data binary, bytes_so_far long, digest_so_far string",
     )
@@ -297,8 +299,7 @@ def payload_digests(chunks: DataFrame) -> DataFrame:
                 schema=pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]),
             )
 
-    return chunks.select("page_id", "chunk_no", "chunks", "data").mapInArrow(
-        run, "page_id long, payload_bytes long, payload_digest string"
+    return chunks.select("page_id", "chunk_no", "chunks", "data").mapInArrow(lean(run), "page_id long, payload_bytes long, payload_digest string"
     )
 
 
