@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glossa.llm.common import lean
 from glossa.llm.hashing import mix
 
 FUNCTIONS = 3
@@ -43,7 +44,7 @@ def bitmap_of(values: DataFrame, words: int) -> np.ndarray:
         used = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(own[used].view(np.int64))], names=["word", "bits"])
 
-    found = values.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = values.mapInArrow(lean(run), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(words, dtype=np.uint64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out

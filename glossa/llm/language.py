@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import blocks, utf8, with_text_columns
+from glossa.llm.common import blocks, lean, utf8, with_text_columns
 
 UNKNOWN = "und"
 
@@ -87,7 +87,7 @@ def learn_languages(labelled: DataFrame, settings: LanguageSettings = LanguageSe
             yield pd.DataFrame({"lang": lang, "bucket": used.astype(np.int32), "n": total[used]})
 
     rows = labelled.filter(F.col("lang").isNotNull()).select("text", "lang")
-    sums = rows.mapInPandas(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = rows.mapInPandas(lean(run), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     languages = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").limit(settings.most_languages + 1).collect()]
     if len(languages) > settings.most_languages:
         raise ValueError(f"more than {settings.most_languages} languages in the labelled rows; raise most_languages")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.llm.bitmap import bitmap_of, passes
-from glossa.llm.common import release, repeats_an_id, utf8, with_text_columns
+from glossa.llm.common import lean, release, repeats_an_id, utf8, with_text_columns
 from glossa.llm.components import connected_components
 from glossa.llm.hashing import mix, shingle_set
 from glossa.session import write_scratch
@@ -134,7 +134,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: NearDupSettings)
                 yield pa.RecordBatch.from_arrays([hit.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "items"])
 
     rows = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
-    return write_scratch(rows.mapInArrow(run, "id long, items array<long>"), "sets")
+    return write_scratch(rows.mapInArrow(lean(run), "id long, items array<long>"), "sets")
 
 
 def _differing_bits(a: str, b: str, words: int) -> Column:

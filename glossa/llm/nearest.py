@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossa.llm.common import lean
 from glossa.session import write_scratch
 
 
@@ -160,6 +161,5 @@ def nearest(
             yield pd.DataFrame(out, columns=["query_id", "rank", "vec_id", "score"])
         yield pd.DataFrame(done(), columns=["query_id", "rank", "vec_id", "score"])
 
-    return parts.repartition("query_id").sortWithinPartitions("query_id").mapInPandas(
-        merge, "query_id long, rank int, vec_id long, score double"
+    return parts.repartition("query_id").sortWithinPartitions("query_id").mapInPandas(lean(merge), "query_id long, rank int, vec_id long, score double"
     )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import keep_texts, sample_per_group, with_text_columns
+from glossa.llm.common import keep_texts, lean, sample_per_group, with_text_columns
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,7 @@ def document_frequency(docs: DataFrame, terms: int) -> tuple[np.ndarray, int]:
         seen[terms] = rows
         yield pd.DataFrame({"term": np.flatnonzero(seen), "n": seen[seen > 0]})
 
-    totals = docs.select("text").mapInPandas(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    totals = docs.select("text").mapInPandas(lean(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     seen = np.zeros(terms + 1, dtype=np.int64)
     for row in totals.collect():  # terms + 1 rows at most
         seen[row["term"]] = row["n"]
@@ -162,7 +162,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, settings: QualitySettings
             })
 
     # 2 * rows_per_label rows at most; their terms, not their texts, come to the driver.
-    found = chosen.mapInPandas(run, "doc_id long, quality int, ids array<int>, counts array<int>").toPandas()
+    found = chosen.mapInPandas(lean(run), "doc_id long, quality int, ids array<int>, counts array<int>").toPandas()
     found = found.sort_values(["quality", "doc_id"])
     dense = np.zeros((len(found), terms), dtype=np.float32)
     for i, (ids, counts) in enumerate(zip(found["ids"], found["counts"])):
