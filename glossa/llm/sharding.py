@@ -64,9 +64,10 @@ def assign_shards(
     * null text: no bytes, so size 16 and crc32 0; null key: counts as -1
     * repeated rows and keys: the same shard, each row a slot of its own; empty table: no rows
 
-    The text is never shuffled. Rows are written once with their place in their partition; a
-    slot is the place among the partition's rows of that shard plus what earlier partitions hold.
-    Only a table of one row per partition and shard is joined, so a hot key costs nothing.
+    Rows are written once with their place in their partition; a slot is the place among the
+    partition's rows of that shard plus what earlier partitions hold. Only a table of one row per
+    partition and shard is joined, so a hot key costs nothing, and rows stay where they are while Spark finds that
+    table small enough to broadcast.
     """
     added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "_part", "_place"]
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
