@@ -163,7 +163,10 @@ def fit_steps(members: DataFrame, targets: dict[str, float], settings: MixSettin
         if all(abs(r - g) <= settings.tolerance * max(g, 1.0) for g, r, n in reachable):
             break
         steps.append([(g - r) / n if n > 0 else 0.0 for g, r, n in zip(goal, reached, here)])
-        reached = totals(steps)
+        before, reached = reached, totals(steps)
+        # Where the floor keeps a domain above its goal no step changes that.
+        if all(abs(a - b) <= 0.01 * settings.tolerance * max(g, 1.0) for a, b, g in zip(before, reached, goal)):
+            break
     return steps, reached, scale
 
 
