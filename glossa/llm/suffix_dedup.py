@@ -4,8 +4,8 @@
    a segment. Equal windows have equal hashes, so only segments of one hash need be compared.
 2. Hashes that occur in one document alone are set aside.
 3. The distinct segments of the other hashes go to tasks by hash. A task cuts them into shards, builds each
-   shard's transform, and merges the transforms by refining their interleave one symbol at a time (Holt and
-   McMillan, 2014). Suffixes are not sorted again. After ``length`` rounds the blocks of the interleave are the
+   shard's transform, and merges the transforms by refining their interleave (Holt and
+   McMillan, 2014), here two symbols at a time. Suffixes are not sorted again. After ``length`` rounds the blocks of the interleave are the
    intervals of suffixes with a common prefix of that length: the repeated windows, and the first document of each.
 4. Each document's windows are looked up, and what they cover is taken out.
 """
@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.llm.bitmap import bitmap_of, passes
-from glossa.llm.common import blocks, release, repeats_an_id, utf8
+from glossa.llm.common import blocks, lean, release, repeats_an_id, utf8
 from glossa.llm.hashing import mix, range_hashes
 from glossa.session import write_scratch
 
 
 @dataclass(frozen=True)
 class SuffixSettings:
-    """``length``: bytes of a repeated string (at least 50). ``most_windows``: windows of a segment.
+    """``length``: bytes of a repeated string (even, 32 to 56). ``most_windows``: windows of a segment.
 
     ``filter_words``: 64-bit words of the bitmap that tells tasks which hashes may repeat (bounded; when it
     fills up more rows are shuffled and the result is the same). ``batch`` and ``shard``: bytes of
@@ -134,18 +134,17 @@ def _census(rows: DataFrame, settings: SuffixSettings) -> DataFrame:
                     names=["h", "s", "doc", "n2"],
                 )
 
-    seen = rows.mapInArrow(run, "h long, s long, doc long, n2 int").repartition("h")
-    distinct = seen.groupBy("h", "s").agg(
-        F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("n2").alias("n2")
-    )
-    over = "over (partition by h)"
-    marked = distinct.select(
+    # Both aggregations read one shuffle: its partitions are numbered here, and both use all of its columns, or
+    # Spark would narrow one of them and shuffle twice. Most hashes end without a sort.
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = rows.mapInArrow(lean(run), "h long, s long, doc long, n2 int").repartition(partitions, "h")
+    several = seen.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.max(F.expr("n2 & 1")).alias("f"), F.max("s").alias("s"))
+    several = several.filter("(a <> b or f = 1) and s is not null").select("h")
+    distinct = seen.groupBy("h", "s").agg(F.min("doc").alias("first"), F.max("n2").alias("n2"))
+    return distinct.join(several.hint("shuffle_hash"), "h", "left_semi").select(
         "h", "s", "first", F.expr("shiftright(n2, 1)").alias("n"),
-        F.expr(f"count(1) {over}").cast("int").alias("segs"),
-        (F.expr(f"min(first) {over}") != F.expr(f"max(last) {over}")).alias("_a"),
-        F.expr(f"bool_or(n2 & 1 = 1) {over}").alias("_b"),
+        F.expr("count(1) over (partition by h)").cast("int").alias("segs"),
     )
-    return marked.filter("_a or _b").drop("_a", "_b")
 
 
 def _occurrences(rows: DataFrame, repeated: np.ndarray, compared: np.ndarray, settings: SuffixSettings) -> DataFrame:
@@ -184,54 +183,66 @@ def _occurrences(rows: DataFrame, repeated: np.ndarray, compared: np.ndarray, se
                     names=["h", "s", "doc", "version", "start", "seg"],
                 )
 
-    return write_scratch(rows.mapInArrow(run, "h long, s long, doc long, version long, start long, seg binary"), "occurrences")
+    return write_scratch(rows.mapInArrow(lean(run), "h long, s long, doc long, version long, start long, seg binary"), "occurrences")
 
 
 @dataclass
 class Shard:
-    """Rotations of some strings in order, to a depth of 64 symbols; 0 ends a string."""
+    """Rotations of some strings in order, to a depth of 56 symbols; 0 ends a string."""
 
     bwt: np.ndarray
     order: np.ndarray  # rotation -> place in the concatenated symbols
 
 
 def build_shard(symbols: np.ndarray, string_start: np.ndarray, string_size: np.ndarray) -> Shard:
-    """Transform of strings given as concatenated symbols, each string with its end symbol."""
+    """Transform of strings given as concatenated symbols (bytes), each string with its end symbol."""
     n = len(symbols)
     begin, size = np.repeat(string_start, string_size), np.repeat(string_size, string_size)
     offset = np.arange(n) - begin
-    rank = symbols.astype(np.int64)
-    step = 1
-    while step < 64:
-        ahead = begin + (offset + step) % size
-        _, rank = np.unique(rank * (n + 258) + rank[ahead], return_inverse=True)
-        step *= 2
+    following = begin + (offset + 1) % size
+    # The first seven symbols in one number, then twice as many in each step.
+    rank, ahead = symbols.astype(np.int64), following
+    for _ in range(6):
+        rank, ahead = (rank << 8) | symbols[ahead], following[ahead]
+    _, rank = np.unique(rank, return_inverse=True)
+    for step in (7, 14, 28):
+        _, rank = np.unique(rank * n + rank[begin + (offset + step) % size], return_inverse=True)
     order = np.argsort(rank, kind="stable")
     before = begin[order] + (offset[order] - 1) % size[order]
     return Shard(symbols[before], order)
 
 
 def merge_shards(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the shards by the first ``depth`` symbols: (shard, block) per merged place.
+    """Interleave of the shards by the first ``depth`` symbols: (row, block) per merged place.
 
-    Each round moves every place to the bucket of its preceding symbol, in order. Places of one block have
-    a common prefix of as many symbols as there were rounds. Stops early when a round splits no block.
+    Rows count the shards' rotations one shard after another. Each round moves every place to the bucket of
+    its two preceding symbols, in order, and the row there to the rotation that begins with them; within a shard
+    rows keep their order. Places of one block have a common prefix of twice as many symbols as there
+    were rounds. Stops early when a round splits no block.
     """
+    if depth % 2:
+        raise ValueError("the depth must be even")
     bwt = np.concatenate([s.bwt for s in shards])
-    shard = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.bwt) for s in shards])
+    back = np.empty(len(bwt), dtype=np.int32)  # row -> row of the rotation that begins one symbol earlier
+    at = 0
+    for s in shards:
+        back[at + np.argsort(s.bwt, kind="stable")] = np.arange(at, at + len(s.bwt), dtype=np.int32)
+        at += len(s.bwt)
+    pair = (bwt[back].astype(np.uint16) << np.uint16(8)) | bwt
+    back = back[back]
+    row = np.arange(len(bwt), dtype=np.int32)
     block = np.zeros(len(bwt), dtype=np.int32)
-    symbol = np.empty_like(bwt)
     count = 1
-    for _ in range(depth):
-        symbol[np.argsort(shard, kind="stable")] = bwt
+    for _ in range(depth // 2):
+        symbol = pair[row]
         move = np.argsort(symbol, kind="stable")
-        sorted_symbol, shard, block = symbol[move], shard[move], block[move]
-        split = (sorted_symbol[1:] != sorted_symbol[:-1]) | (block[1:] != block[:-1])
+        symbol, block, row = symbol[move], block[move], back[row[move]]
+        split = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
         block = np.concatenate([[0], np.cumsum(split, dtype=np.int32)])
         if block[-1] + 1 == count:
             break
         count = int(block[-1]) + 1
-    return shard, block
+    return row, block
 
 
 def first_documents(strings: list[bytes], first: np.ndarray, settings: SuffixSettings) -> tuple[np.ndarray, np.ndarray]:
@@ -240,10 +251,10 @@ def first_documents(strings: list[bytes], first: np.ndarray, settings: SuffixSet
     length = settings.length
     sizes = np.array([len(s) + 1 for s in strings])
     starts = np.cumsum(sizes) - sizes
-    symbols = np.zeros(sizes.sum(), dtype=np.uint16)
     joined = np.frombuffer(b"\0".join(strings) + b"\0", dtype=np.uint8)
-    symbols[:] = joined
-    symbols += 1
+    # Bytes as small numbers from 1, in order. UTF-8 never uses all 256 bytes, so one is left for the end.
+    used = np.bincount(joined, minlength=256) > 0
+    symbols = np.cumsum(used).astype(np.uint8)[joined]
     symbols[starts + sizes - 1] = 0
     shards, places = [], []
     ranges = list(blocks(sizes.tolist(), max(settings.shard, int(sizes.sum()) // 200 + 1)))
@@ -252,9 +263,8 @@ def first_documents(strings: list[bytes], first: np.ndarray, settings: SuffixSet
         shard = build_shard(symbols[low:high], starts[a:b] - low, sizes[a:b])
         shards.append(shard)
         places.append(shard.order + low)
-    shard, block = merge_shards(shards, length)
-    place = np.empty(len(shard), dtype=np.int64)
-    place[np.argsort(shard, kind="stable")] = np.concatenate(places)
+    row, block = merge_shards(shards, length)
+    place = np.concatenate(places)[row]
     owner = np.repeat(np.arange(len(strings)), sizes)
     # Windows that reach an end symbol are no windows.
     whole = place + length < (starts + sizes)[owner[place]]
@@ -269,10 +279,12 @@ def first_documents(strings: list[bytes], first: np.ndarray, settings: SuffixSet
 def _may_share(h: np.ndarray, strings: list[bytes], settings: SuffixSettings) -> np.ndarray:
     """Which strings may share a window with another of the same smallest hash.
 
-    A window holds the k-mer of that hash and, on one side of it, at least half of its other bytes. So a
-    string whose k-mer, widened by that half to the left or right, occurs in no other shares nothing.
+    A window holds the k-mer of that hash, some bytes before it and the rest behind it. In each quarter of
+    the possible places of the k-mer a window holds certain bytes around it for sure; a string for which
+    these occur in no other, in any quarter, shares nothing.
     """
-    half = (settings.length - _KMER) // 2
+    around = settings.length - _KMER
+    quarter = -(-(around + 1) // 4)
     sizes = np.array([len(x) + 1 for x in strings])
     starts = np.cumsum(sizes) - sizes
     ends = starts + sizes - 1
@@ -286,7 +298,8 @@ def _may_share(h: np.ndarray, strings: list[bytes], settings: SuffixSettings) ->
     # With several such k-mers a window may hold another one than the first.
     keep = np.ones(len(strings), dtype=bool)
     keep[found[times == 1]] = False
-    for low, high in ((p - half, p + _KMER), (p, p + _KMER + half)):
+    for i in range(4):
+        low, high = p - i * quarter, p + _KMER + max(0, around - (i + 1) * quarter + 1)
         fits = (low >= starts[found]) & (high <= ends[found])
         key = mix(range_hashes(buf, low[fits], high[fits]) + h.view(np.uint64)[found[fits]])
         _, which, count = np.unique(key, return_inverse=True, return_counts=True)
@@ -326,21 +339,30 @@ def _compare(segs: DataFrame, settings: SuffixSettings) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[pa.RecordBatch] = []
         size = 0
+
+        def cut(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            numbers = [rows.column(c).to_numpy() for c in ("h", "s", "first")]
+            return solve(*numbers, rows.column("seg").to_pylist())
+
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("h", "s", "first", "seg"))):
-                if held and size >= settings.batch and row[0] != held[-1][0]:
-                    yield from solve(*(np.array([r[i] for r in held], dtype=np.int64) for i in range(3)), [r[3] for r in held])
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3]) + 1
+            held.append(batch)
+            size += batch.column("seg").nbytes
+            if size >= settings.batch:
+                rows = pa.Table.from_batches(held)
+                h = rows.column("h").to_numpy()
+                # All but the last hash, whose rows may go on.
+                whole_hashes = int(np.searchsorted(h, h[-1]))
+                if whole_hashes:
+                    yield from cut(rows.slice(0, whole_hashes))
+                    held = rows.slice(whole_hashes).combine_chunks().to_batches()
+                    size = sum(b.column("seg").nbytes for b in held)
         if held:
-            yield from solve(*(np.array([r[i] for r in held], dtype=np.int64) for i in range(3)), [r[3] for r in held])
+            yield from cut(pa.Table.from_batches(held))
 
     common = segs.filter(F.col("segs") <= settings.hot)
-    runs = common.select("h", "s", "first", "seg").repartition("h").sortWithinPartitions("h").mapInArrow(
-        run, "h long, s long, offset int, windows int, first long"
+    runs = common.select("h", "s", "first", "seg").repartition("h").sortWithinPartitions("h").mapInArrow(lean(run), "h long, s long, offset int, windows int, first long"
     )
     # A hash with very many different segments: its windows are grouped by their bytes instead.
     windows = segs.filter(F.col("segs") > settings.hot).withColumn(
@@ -405,8 +427,8 @@ def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(),
     * repeated rows: rows of one doc_id do not remove from one another, and each is cut by its own text
     * empty table: no rows; other columns are not read
     """
-    if settings.length < 2 * _KMER:
-        raise ValueError(f"length must be at least {2 * _KMER}")
+    if settings.length < 2 * _KMER or settings.length > 56 or settings.length % 2:
+        raise ValueError(f"length must be even, at least {2 * _KMER} and at most 56")
     named = docs.filter(F.col("doc_id").isNotNull())
     # Rows of one doc_id are told apart by their text; usually there are none.
     version = F.xxhash64("text") if repeats_an_id(named.select("doc_id")) else F.lit(0).cast("long")
@@ -415,25 +437,26 @@ def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(),
     # Texts of documents without spans need not be shuffled.
     sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(spans.select("doc"), settings.filter_words))
 
-    def having(cut: bool):
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids = batch.column("doc_id").cast(pa.int64())
-                hit = passes(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64), sent.value)
-                yield batch.filter(pa.array((hit & ids.is_valid().to_numpy(zero_copy_only=False)) == cut))
+    def having(batch: pa.RecordBatch, cut: bool) -> pa.RecordBatch:
+        ids = batch.column("doc_id").cast(pa.int64())
+        hit = passes(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64), sent.value)
+        return batch.filter(pa.array((hit & ids.is_valid().to_numpy(zero_copy_only=False)) == cut))
 
-        return keep
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield having(batch, True)
 
-    near = rows.mapInArrow(having(True), rows.schema)
+    near = rows.mapInArrow(lean(keep), rows.schema)
     near = near.join(spans, (near["doc_id"] == spans["doc"]) & (near["version"] == spans["version"]), "left")
-    columns = ["doc_id", "text", "spans"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digest(batches: Iterator[pa.RecordBatch], joined: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch if joined else having(batch, False)
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
+                spans_of = part.column("spans").to_pylist() if joined else [None] * part.num_rows
                 out = []
-                for text, cuts in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+                for text, cuts in zip(part.column("text").to_pylist(), spans_of):
                     data = utf8(text)
                     kept, runs = _cut(data, cuts)
                     out.append((len(data), len(data) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
@@ -443,6 +466,7 @@ def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(),
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *arrays], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    whole = rows.mapInArrow(having(False), rows.schema).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    result = near.select(*columns).union(whole.select(*columns)).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    result = near.select("doc_id", "text", "spans").mapInArrow(lean(lambda batches: digest(batches, True)), schema)
+    result = result.union(rows.select("doc_id", "text").mapInArrow(lean(lambda batches: digest(batches, False)), schema))
     return result if with_kept else result.drop("kept")
