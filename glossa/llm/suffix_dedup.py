@@ -293,17 +293,22 @@ def _may_share(h: np.ndarray, strings: list[bytes], settings: SuffixSettings) ->
     hashes = _kmer_hashes(buf)
     own = owner[: len(hashes)]
     at = np.flatnonzero((hashes == h.view(np.uint64)[own]) & (np.arange(len(hashes)) + _KMER <= ends[own]))
-    found, place, times = np.unique(own[at], return_index=True, return_counts=True)
-    p = at[place]
-    # With several such k-mers a window may hold another one than the first.
-    keep = np.ones(len(strings), dtype=bool)
-    keep[found[times == 1]] = False
+    # Every place counts: a window may hold any of several such k-mers of a string.
+    found, h = own[at], h.view(np.uint64)[own[at]]
+    keep = np.zeros(len(strings), dtype=bool)
     for i in range(4):
-        low, high = p - i * quarter, p + _KMER + max(0, around - (i + 1) * quarter + 1)
+        low, high = at - i * quarter, at + _KMER + max(0, around - (i + 1) * quarter + 1)
         fits = (low >= starts[found]) & (high <= ends[found])
-        key = mix(range_hashes(buf, low[fits], high[fits]) + h.view(np.uint64)[found[fits]])
-        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
-        keep[found[fits][count[which] > 1]] = True
+        if not fits.any():
+            continue
+        key, holder = mix(range_hashes(buf, low[fits], high[fits]) + h[fits]), found[fits]
+        # Stable, so the strings of a key stay in order and the outermost tell whether there are several.
+        order = np.argsort(key, kind="stable")
+        key, holder = key[order], holder[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(first, len(key)))
+        several = holder[first] != holder[first + size - 1]
+        keep[holder[np.repeat(several, size)]] = True
     return keep
 
 

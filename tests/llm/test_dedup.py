@@ -141,6 +141,19 @@ def test_suffix_overlaps(documents, settings):
     assert removed(documents(rows), settings) == brute.suffix_dedup(rows, 50)
 
 
+@pytest.mark.parametrize("settings", [SuffixSettings(), SuffixSettings(batch=400, shard=150, piece=300)])
+def test_suffix_repeated_unit_before_a_shared_passage(documents, settings):
+    """The shared window stands at the second or later of several smallest k-mers of one document."""
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = []
+    for i in range(60):
+        unit, shared = letters(rng.randrange(16, 36)), letters(60)
+        rows += [(4 * i, f"{letters(60)}{unit}{unit}{shared}"), (4 * i + 1, f"{letters(60)}{unit}{shared}")]
+        rows += [(4 * i + 2, f"{letters(30)}{unit * 3}{letters(20)}"), (4 * i + 3, f"{letters(30)}{unit * 2}{letters(40)}")]
+    assert removed(documents(rows), settings) == brute.suffix_dedup(rows, 50)
+
+
 def test_suffix_odd_rows(documents):
     long = "".join(chr(97 + (i * i) % 26) for i in range(200_000))
     rows = [(1, None), (2, ""), (3, "short"), (4, long), (5, long), (5, long), (None, long), (6, "x" + long[:70] + "y")]
