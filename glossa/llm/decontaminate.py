@@ -3,7 +3,8 @@
 Words are made canonical twice: as literals (lower case, without outer punctuation) and as templates, in
 which numbers, names and units become typed placeholders. Windows of a document's words are looked up in a
 hash table of the benchmark's. Along each alignment of item and document the placeholders must stand
-for the same things throughout.
+for the same things throughout. An item is found by its share of windows, by a long run of words, or by
+nearly all its words in their places.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from glossa.llm.html_text import STOP_WORDS
 class DecontaminationSettings:
     """``window`` words (shorter items: the whole item). ``coverage``: least share of an item's windows found.
 
+    ``run``: consecutive words (or the whole item) on one alignment that are enough whatever the share.
+    ``agree``: share of an item's words in their places on one alignment, but for one word put in or left out, that
+    is enough too; items of ``least_template`` words or more are looked up by ``seed`` words for it.
     ``literals``: least words of a template window that are no placeholders. ``inconsistent``: largest share
     of placeholders that contradict others. ``slice_windows``: bound of the benchmark windows
     in a broadcast; a larger benchmark takes several passes over the documents.
@@ -35,6 +39,9 @@ class DecontaminationSettings:
 
     window: int = 8
     coverage: float = 0.4
+    run: int = 13
+    agree: float = 0.85
+    seed: int = 4
     literals: int = 4
     inconsistent: float = 0.1
     least_template: int = 8
@@ -157,50 +164,57 @@ def window_hashes(ids: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class WindowTable:
-    """Sorted window hashes of the benchmark: kind 0 literal, 1 template."""
+    """Sorted window hashes of the benchmark: kind 0 literal, 1 template, 2 literal seed of a short item."""
 
     hashes: np.ndarray
     item: np.ndarray
     place: np.ndarray
     kind: np.ndarray
-    widths: list[int]
+    widths: list[tuple[int, int]]  # kind and words of the windows
     windows: dict[int, int]  # per item
     words: dict[int, list[str]]  # literal words per item
     kinds: dict[int, np.ndarray]
+    ids: dict[int, tuple[np.ndarray, np.ndarray]]  # literals and templates per item
     maybe: np.ndarray  # by the top 20 bits
 
 
 def window_table(items: list[tuple[int, str]], settings: DecontaminationSettings) -> WindowTable:
     vocabulary, rows, widths = Vocabulary(), [], set()
-    windows, words, kinds = {}, {}, {}
+    windows, words, kinds, ids = {}, {}, {}, {}
     for item, text in items:
         c = canonical(text, vocabulary)
         width = min(settings.window, len(c.literal))
         if not width:
             continue
-        widths.add(width)
+        widths.add((0, width))
+        ids[item] = c.literal, c.template
         words[item], kinds[item] = [vocabulary.words[n] for n in c.numbers], c.kind
         literal = window_hashes(c.literal, width)
         windows[item] = len(literal)
         rows += [(h, item, j, 0) for j, h in enumerate(literal.tolist())]
         if len(c.literal) >= settings.least_template:
+            widths.add((1, width))
             bare = np.convolve(c.kind == 0, np.ones(width, int), "valid")
             rows += [
                 (h, item, j, 1) for j, h in enumerate(window_hashes(c.template ^ np.uint64(0xA5A5), width).tolist())
                 if bare[j] >= settings.literals
             ]
+            # With one word of fewer than two windows changed no window may be left, but half the item is.
+            if len(c.literal) < 2 * settings.window:
+                widths.add((2, settings.seed))
+                seeds = window_hashes(c.literal ^ np.uint64(0x5EED), settings.seed)
+                rows += [(h, item, j, 2) for j, h in enumerate(seeds.tolist())]
     rows.sort()
     hashes = np.array([r[0] for r in rows], dtype=np.uint64)
     maybe = np.zeros(1 << 20, dtype=bool)
     maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
     return WindowTable(
-        hashes, *[np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3)], sorted(widths), windows, words, kinds, maybe
+        hashes, *[np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3)], sorted(widths), windows, words, kinds, ids, maybe
     )
 
 
-def _consistent(table: WindowTable, item: int, doc: Canonical, vocabulary: Vocabulary, shift: int, places: list[int], width: int, settings) -> bool:
-    """Whether along the alignment each slot value of the item stands for one value of the document, and back."""
-    covered = sorted({j + t for j in places for t in range(width)})
+def _consistent(table: WindowTable, item: int, doc: Canonical, vocabulary: Vocabulary, shift: int, covered: list[int], settings) -> bool:
+    """Whether along the alignment each name and unit of the item stands for one of the document, and names back."""
     pairs = [
         (int(table.kinds[item][j]), table.words[item][j], vocabulary.words[doc.numbers[j + shift]])
         for j in covered if table.kinds[item][j] and doc.kind[j + shift]
@@ -209,39 +223,102 @@ def _consistent(table: WindowTable, item: int, doc: Canonical, vocabulary: Vocab
     there: dict = {}
     back: dict = {}
     for kind, a, b in pairs:
-        first = there.setdefault((kind, a), b) == b
-        # Different numbers may become equal; different names may not.
+        # Equal numbers may become different and different ones equal; different names may not.
+        first = kind == _NUM or there.setdefault((kind, a), b) == b
         second = kind != _NAME or back.setdefault((kind, b), a) == a
         wrong += not (first and second)
     return wrong <= settings.inconsistent * len(pairs)
 
 
+def _runs(places: list[int], width: int) -> list[tuple[int, int]]:
+    """First and last word (exclusive) of the runs of words that windows at ``places`` (in order) cover."""
+    runs: list[tuple[int, int]] = []
+    for j in places:
+        if runs and j <= runs[-1][1]:
+            runs[-1] = runs[-1][0], j + width
+        else:
+            runs.append((j, j + width))
+    return runs
+
+
+def _agreement(item: np.ndarray, doc: np.ndarray, shift: int) -> tuple[float, list[tuple[int, np.ndarray]]]:
+    """Largest share of the item's words in their places in ``doc``, and these words by their shift.
+
+    The words may move by one behind any place (a word put in) or before it (a word left out).
+    """
+    n = len(item)
+
+    def equal(at: int) -> np.ndarray:
+        out = np.zeros(n, dtype=bool)
+        low, high = max(0, -at), min(n, len(doc) - at)
+        if low < high:
+            out[low:high] = item[low:high] == doc[low + at : high + at]
+        return out
+
+    same = {at: equal(at) for at in (shift - 1, shift, shift + 1)}
+    words = np.flatnonzero(same[shift])
+    best, found = len(words), [(shift, words)]
+    for a, b in ((shift - 1, shift), (shift, shift - 1), (shift, shift + 1), (shift + 1, shift)):
+        ahead = np.concatenate([[0], np.cumsum(same[a])])
+        behind = np.concatenate([[0], np.cumsum(same[b])])
+        total = ahead + behind[-1] - behind
+        split = int(total.argmax())
+        if total[split] > best:
+            best = int(total[split])
+            found = [(a, np.flatnonzero(same[a][:split])), (b, split + np.flatnonzero(same[b][split:]))]
+    return best / n, found
+
+
 def passages(text: str | None, table: WindowTable, vocabulary: Vocabulary, settings: DecontaminationSettings) -> list[tuple]:
-    """(item, kind, windows found, share of the item's windows) of every benchmark item in the text."""
+    """(item, kind, windows found, share of the item's windows) of every benchmark item in the text.
+
+    An item found by its words alone may have no whole window left: then both numbers are 0.
+    """
     if len(vocabulary.ids) > MOST_WORDS:
         vocabulary.clear_all()
     doc = canonical(text, vocabulary)
     hits: dict[tuple[int, int], dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+    seeds: dict[tuple[int, int], set[int]] = defaultdict(set)
     width_of: dict[int, int] = {}
-    for width in table.widths:
-        for kind, ids in ((0, doc.literal), (1, doc.template ^ np.uint64(0xA5A5))):
-            hashes = window_hashes(ids, width)
-            for at in np.flatnonzero(table.maybe[(hashes >> np.uint64(44)).astype(np.int64)]):
-                low = np.searchsorted(table.hashes, hashes[at], "left")
-                high = np.searchsorted(table.hashes, hashes[at], "right")
-                for r in range(low, high):
-                    if table.kind[r] == kind:
-                        item, j = int(table.item[r]), int(table.place[r])
+    ids_of = (doc.literal, doc.template ^ np.uint64(0xA5A5), doc.literal ^ np.uint64(0x5EED))
+    for kind, width in table.widths:
+        hashes = window_hashes(ids_of[kind], width)
+        for at in np.flatnonzero(table.maybe[(hashes >> np.uint64(44)).astype(np.int64)]):
+            low = np.searchsorted(table.hashes, hashes[at], "left")
+            high = np.searchsorted(table.hashes, hashes[at], "right")
+            for r in range(low, high):
+                if table.kind[r] == kind:
+                    item, j = int(table.item[r]), int(table.place[r])
+                    if kind == 2:
+                        seeds[(item, 0)].add(int(at) - j)
+                    else:
                         hits[(item, kind)][int(at) - j].append(j)
                         width_of[item] = width
     found = {}
-    for (item, kind), shifts in sorted(hits.items()):
+    for item, kind in sorted({*hits, *seeds}):
+        shifts = hits.get((item, kind), {})
+        size = len(table.words[item])
         places: set[int] = set()
+        enough = False
         for shift, at in shifts.items():
-            if kind == 0 or _consistent(table, item, doc, vocabulary, shift, at, width_of[item], settings):
+            runs = _runs(sorted(at), width_of[item])
+            long = [(a, b) for a, b in runs if b - a >= min(settings.run, size)]
+            if kind == 0 or _consistent(table, item, doc, vocabulary, shift, [j for a, b in runs for j in range(a, b)], settings):
                 places.update(at)
+                enough = enough or bool(long)
+                continue
+            for a, b in long:  # what contradicts may stand elsewhere on the alignment
+                if _consistent(table, item, doc, vocabulary, shift, list(range(a, b)), settings):
+                    places.update(j for j in at if a <= j < b)
+                    enough = True
         share = len(places) / table.windows[item]
-        if places and share >= settings.coverage and (item not in found or share > found[item][3]):
+        if not enough and share < settings.coverage and size >= settings.least_template:
+            for shift in {*shifts, *seeds.get((item, kind), ())}:
+                agree, parts = _agreement(table.ids[item][kind], doc.template if kind else doc.literal, shift)
+                enough = enough or agree >= settings.agree and (
+                    kind == 0 or all(_consistent(table, item, doc, vocabulary, s, w.tolist(), settings) for s, w in parts)
+                )
+        if (enough or places and share >= settings.coverage) and (item not in found or share > found[item][3]):
             found[item] = (item, "template" if kind else "literal", len(places), share)
     return list(found.values())
 

@@ -60,3 +60,41 @@ def test_every_whole_item_is_found_and_nothing_else(small):
     items = {r.item_id: plain(r.text) for r in small("benchmark").collect()}
     exact = {(r.doc_id, i) for r in small("documents").collect() for i, t in items.items() if t in plain(r.text)}
     assert {(r.doc_id, r.item_id) for r in contaminated(small("documents"), small("benchmark")).collect()} == exact != set()
+
+
+def kinds(spark, documents, items, texts):
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = contaminated(documents(list(enumerate(texts))), table).collect()
+    return {(r.doc_id, r.item_id): r.kind for r in got}
+
+
+def words(seed, n):
+    return [f"w{(seed * 1000 + i) * 7919 % 100003}x" for i in range(n)]
+
+
+def test_parts_and_single_edits(spark, documents):
+    items = [(n, " ".join(words(n, n))) for n in (8, 9, 12, 15, 16, 20, 38, 600)]
+    texts, want = [], set()
+
+    def add(item, part, there=True):
+        texts.append(f"{CLEAN} {' '.join(part)} {CLEAN}")
+        if there:
+            want.add((len(texts) - 1, item))
+
+    add(38, words(38, 38)[10:29])
+    add(600, words(600, 600)[150:350])
+    add(600, words(600, 600)[150:160], there=False)
+    for n in (8, 9, 12, 15, 16, 20):
+        w = words(n, n)
+        for at in range(n):
+            add(n, [*w[:at], "other", *w[at + 1 :]])
+        add(n, [*w[: n // 2], "other", *w[n // 2 :]])
+        add(n, [*w[: n // 2], *w[n // 2 + 1 :]])
+    add(15, words(15, 15)[:7], there=False)
+    assert set(kinds(spark, documents, items, texts)) == want
+
+
+def test_equal_numbers_may_become_different(spark, documents):
+    items = [(1, "If 2 trains leave the station at noon and meet each other again after 2 hours how far did the trains go in that time")]
+    texts = [items[0][1].replace("2 trains", "3 trains").replace("2 hours", "5 hours"), items[0][1].replace("2 ", "4 ")]
+    assert kinds(spark, documents, items, texts) == {(0, 1): "template", (1, 1): "template"}
