@@ -45,28 +45,33 @@ _shapes: dict[str, tuple[int, ...]] = {}
 
 
 def _term_ids(word: str, terms: int) -> tuple[int, ...]:
-    """Ids of a word's lower-case letters and of its shape; the first quarter of the ids is for shapes."""
+    """Ids of a word's runs of lower-case letters and of its shape; the first quarter of the ids is for shapes."""
     known = _shapes.get(word)
     if known is None:
         if len(_shapes) > 400_000:
             _shapes.clear()
-        word = word if len(word) <= 64 else word[:64] + "…"
         shape = _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", word)))
-        stem = _LETTERS.search(word.lower())
         quarter = terms // 4
         ids = [crc32(shape.encode("utf-8", "replace")) % (quarter - 8)]
-        if stem:
-            ids.append(quarter + crc32(stem[0].encode("utf-8", "replace")) % (terms - quarter))
+        for run in _LETTERS.findall(word.lower()):
+            ids.append(quarter + crc32(run.encode("utf-8", "replace")) % (terms - quarter))
         known = _shapes[word] = tuple(ids)
     return known
 
 
+# Characters of a word; a longer one (text without blanks) is several, one behind the other.
+_PIECE = 64
+
+
 def term_counts(text: str | None, terms: int) -> dict[int, int]:
     """Counts of a whole text's terms. Eight ids tell of repetition and of line and word lengths."""
     words = (text or "").split()
     counts: dict[int, int] = {}
-    repeats = sum(a == b for a, b in zip(words, words[1:]))
     distinct = Counter(words)
+    if max(map(len, distinct), default=0) > _PIECE:
+        words = [w[i : i + _PIECE] for w in words for i in range(0, len(w), _PIECE)]
+        distinct = Counter(words)
+    repeats = sum(a == b for a, b in zip(words, words[1:]))
     for word, n in distinct.items():
         for i in _term_ids(word, terms):
             counts[i] = counts.get(i, 0) + n

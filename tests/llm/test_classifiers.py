@@ -52,6 +52,14 @@ def test_terms_cover_the_whole_text():
     assert term_counts(None, 8192) == term_counts("", 8192)
 
 
+def test_terms_cover_long_words():
+    line = "".join(chr(0x4E00 + i * 7 % 5000) for i in range(300))
+    changed = [line[:i] + "a" + line[i + 1 :] for i in (0, 63, 64, 150, 299)]
+    assert all(term_counts(c, 8192) != term_counts(line, 8192) for c in changed)
+    names = "one,two,three"
+    assert all(term_counts(names.replace(w, "other"), 8192) != term_counts(names, 8192) for w in names.split(","))
+
+
 def test_held_out_language(small):
     docs = small("documents")
     model = learn_languages(docs.filter(id_remainder("doc_id", 4) != 2).select("text", "lang"))
