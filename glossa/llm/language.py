@@ -36,7 +36,6 @@ class LanguageSettings:
     most_languages: int = 256
     smoothing: float = 0.5
     rounds: int = 25
-    most_set: int = 4
     independent: float = 0.25
     penalty: float = 2.0
 
@@ -127,7 +126,7 @@ def language_mixture(data: bytes, model: LanguageModel, settings: LanguageSettin
     p = model.likelihood[used].astype(np.float64)
     # All languages together first; then sets of the largest of them, while one more language pays.
     share, _ = _proportions(p, weight, settings.rounds)
-    order = np.lexsort((np.arange(len(share)), -share))[: settings.most_set]
+    order = np.lexsort((np.arange(len(share)), -share))
     single = weight @ np.log(p[:, order])
     first = int(np.argmax(single))
     order = np.concatenate([order[first : first + 1], np.delete(order, first)])

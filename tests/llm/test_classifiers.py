@@ -85,6 +85,19 @@ def test_mixture_of_languages(two_languages):
     assert [m[0] for m in language_mixture((DE * 3).encode(), two_languages, settings)] == ["de"]
 
 
+def test_mixture_of_many_languages(documents):
+    random = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    # Seven invented languages, each of thirty words of its own.
+    words = [["".join(random.choice(letters, 6)) for _ in range(30)] for _ in range(7)]
+    text = lambda i, n: " ".join(random.choice(words[i], n))
+    model = learn_languages(documents([(i, text(i % 7, 200), f"l{i % 7}") for i in range(70)]).select("text", "lang"))
+    for n in (1, 5, 6, 7):
+        mixed = language_mixture(" ".join(text(i, 100) for i in range(n)).encode(), model, LanguageSettings())
+        assert {m[0] for m in mixed} == {f"l{i}" for i in range(n)}
+        assert all(m[1] == pytest.approx(1 / n, abs=0.05) for m in mixed)
+
+
 def test_language_odd_rows(documents, two_languages):
     rows = [(1, None), (2, ""), (3, "123 !? \n"), (4, EN), (4, EN), (None, DE), (5, DE * 2000), (6, "語"), (7, "a")]
     got = predict_language(documents(rows).withColumn("lang_pred", F.lit(1)), two_languages).collect()
