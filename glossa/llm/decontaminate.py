@@ -171,6 +171,7 @@ class WindowTable:
     place: np.ndarray
     kind: np.ndarray
     widths: list[tuple[int, int]]  # kind and words of the windows
+    names: list[int | None]  # item_id per item
     windows: dict[int, int]  # per item
     words: dict[int, list[str]]  # literal words per item
     kinds: dict[int, np.ndarray]
@@ -178,10 +179,11 @@ class WindowTable:
     maybe: np.ndarray  # by the top 20 bits
 
 
-def window_table(items: list[tuple[int, str]], settings: DecontaminationSettings) -> WindowTable:
+def window_table(items: list[tuple[int | None, str]], settings: DecontaminationSettings) -> WindowTable:
+    """Items are numbered as they come; ``names`` has their ids, which may be null or repeat."""
     vocabulary, rows, widths = Vocabulary(), [], set()
     windows, words, kinds, ids = {}, {}, {}, {}
-    for item, text in items:
+    for item, (_, text) in enumerate(items):
         c = canonical(text, vocabulary)
         width = min(settings.window, len(c.literal))
         if not width:
@@ -209,7 +211,8 @@ def window_table(items: list[tuple[int, str]], settings: DecontaminationSettings
     maybe = np.zeros(1 << 20, dtype=bool)
     maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
     return WindowTable(
-        hashes, *[np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3)], sorted(widths), windows, words, kinds, ids, maybe
+        hashes, *[np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3)], sorted(widths),
+        [name for name, _ in items], windows, words, kinds, ids, maybe,
     )
 
 
@@ -323,10 +326,13 @@ def passages(text: str | None, table: WindowTable, vocabulary: Vocabulary, setti
     return list(found.values())
 
 
-def _slices(benchmark: DataFrame, settings: DecontaminationSettings) -> Iterator[list[tuple[int, str]]]:
-    """Benchmark items in runs of bounded size."""
-    part, size = [], 0
-    for row in benchmark.select("item_id", "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull()).orderBy("item_id", "text").toLocalIterator():
+def _slices(benchmark: DataFrame, settings: DecontaminationSettings) -> Iterator[list[tuple[int | None, str]]]:
+    """Distinct benchmark items, with or without an id, in runs of bounded size."""
+    part, size, last = [], 0, None
+    for row in benchmark.select("item_id", "text").filter(F.col("text").isNotNull()).orderBy("item_id", "text").toLocalIterator():
+        if row == last:
+            continue
+        last = row
         n = 2 * len(row["text"].split())
         if part and size + n > settings.slice_windows:
             yield part
@@ -340,7 +346,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Decontaminatio
     """(doc_id, item_id, kind, n_windows, coverage): benchmark items found in each row of ``docs``.
 
     * null or empty text, null item text: nothing is found; items under ``least_template`` words: literally only
-    * repeated rows: found each time; rows that repeat an item_id: the last in text order stands
+    * repeated rows: found each time; texts that share an item_id or have none are items of their own, a row for each
     * empty tables: no rows; other columns are not read
     """
     out = None
@@ -352,7 +358,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Decontaminatio
         def find(texts: list, sent=sent, vocabulary=vocabulary) -> list:
             found = WindowTable(**sent.value)
             return [[[
-                {"item_id": i, "kind": kind, "n_windows": n, "coverage": share}
+                {"item_id": found.names[i], "kind": kind, "n_windows": n, "coverage": share}
                 for i, kind, n, share in passages(t, found, vocabulary, settings)
             ] for t in texts]]
 

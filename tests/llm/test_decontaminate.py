@@ -98,3 +98,23 @@ def test_equal_numbers_may_become_different(spark, documents):
     items = [(1, "If 2 trains leave the station at noon and meet each other again after 2 hours how far did the trains go in that time")]
     texts = [items[0][1].replace("2 trains", "3 trains").replace("2 hours", "5 hours"), items[0][1].replace("2 ", "4 ")]
     assert kinds(spark, documents, items, texts) == {(0, 1): "template", (1, 1): "template"}
+
+
+def test_items_that_share_an_id_or_have_none(spark, documents):
+    short, long = " ".join(words(1, 15)), " ".join(words(2, 100))
+    numbers = "A farmer named Alice has 12 apples and gives 5 apples to Bob"
+    items = spark.createDataFrame(
+        [(7, short), (7, long), (7, long), (8, numbers), (8, "Zero apples"), (None, " ".join(words(3, 20))), (None, " ".join(words(4, 20)))],
+        "item_id long, text string",
+    )
+    docs = documents([
+        (1, f"{CLEAN} {short} {CLEAN}"), (2, f"{CLEAN} {long}"), (3, numbers.replace("12", "30").replace("Alice", "Carol")), (4, " ".join(words(3, 20))),
+        (5, " ".join(words(4, 20))), (6, CLEAN), (9, f"{short} {long}"),
+    ])
+    for settings in (DecontaminationSettings(), DecontaminationSettings(slice_windows=60)):
+        got = sorted((r.doc_id, r.item_id or 0, r.kind, r.coverage) for r in contaminated(docs, items, settings).collect())
+        assert got == [
+            (1, 7, "literal", 1.0), (2, 7, "literal", 1.0), (3, 8, "template", 1.0), (4, 0, "literal", 1.0), (5, 0, "literal", 1.0),
+            (9, 7, "literal", 1.0), (9, 7, "literal", 1.0),
+        ]
+        assert {r.doc_id for r in drop_contaminated(docs, items, settings).collect()} == {6}
