@@ -1,8 +1,8 @@
 """Main text of web pages by two passes of block rules.
 
 The first pass classifies each block by stop-word density, length and link density, and by the elements
-it stands in (menus, footers, asides, forms and the like are decided against, whatever they say). The
-second gives blocks that are too short or too odd to decide the label of the nearest decided neighbours.
+it stands in (menus, footers, asides, forms and the like are decided against, whatever they say). On a page
+with few stop words, as in a language without a list here, length and link density decide alone. The second gives blocks that are too short or too odd to decide the label of the nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -47,13 +47,21 @@ _SPACED = frozenset("br td th img wbr".split()) - {"wbr"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 # Words of class, id and role that mark what is not the article.
-_NOT_ARTICLE = re.compile(
-    r"(?:^|[^a-z0-9])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay"
+_UNWANTED = (
+    r"(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay"
     r"|comments?|disqus|respond|replies|sidebar|side-bar|widget|menu|navbar|nav|navigation|breadcrumbs?|pagination|pager|toolbar"
     r"|footer|masthead|site-?header|page-?header|topbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login"
-    r"|contentinfo|complementary|search)(?=$|[^a-z0-9])"
+    r"|contentinfo|complementary|search)"
 )
+_NOT_ARTICLE = re.compile(rf"(?:^|[^a-z0-9]){_UNWANTED}(?=$|[^a-z0-9])")
 _COMMENT = re.compile(r"(?:^|[^a-z0-9])(?:comments?|replies|disqus)(?=$|[^a-z0-9])")
+# Inside an article a class, id or role counts as a whole: these words alone, or with words of containers around them.
+_CONTAINER = (
+    r"(?:site|page|post|posts|article|articles|entry|js|inline|top|bottom|left|right|inner|outer|main|box|boxes|container|wrapper|wrap|block"
+    r"|section|area|list|items?|links?|buttons?|icons?|bar|bars|unit|units|slot|form|panel|content|group|row|\d+)"
+)
+_WHOLLY_UNWANTED = re.compile(rf"(?:{_CONTAINER}-+)*{_UNWANTED}(?:-+(?:{_CONTAINER}|{_UNWANTED}))*")
+_WHOLLY_COMMENT = re.compile(rf"(?:{_CONTAINER}-+)*(?:comments?|replies|disqus)(?:-+{_CONTAINER})*")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 _TAG = re.compile(
@@ -82,6 +90,7 @@ class Block:
     around: bool  # inside an element that is never the article
     article: int  # number of the article or main element it stands in; 0: none
     label: bool | None = None
+    odd: bool = False  # long, with few stop words
 
 
 @dataclass
@@ -93,15 +102,23 @@ class _Open:
     article: int
 
 
-def _marks(name: str, attributes: str) -> tuple[bool, bool]:
-    """Whether the element's attributes say that it is hidden, and that it is not the article."""
+def _marks(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether the element's attributes say that it is hidden, and that it is not the article; ``inside`` one, where
+    the words of a class or id may be the article's own subject (ids of headings and sections are made of their titles)."""
     if not attributes.strip():
         return False, False
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     hidden = "hidden" in values or values.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(values.get("style", "")))
-    named = " ".join(html.unescape(values.get(k, "")) for k in ("class", "id", "role")).lower().replace("_", "-")
+    given = {k: html.unescape(values.get(k, "")).lower().replace("_", "-") for k in ("class", "id", "role")}
     if name in ("html", "body", "main"):
         return hidden, False
+    if inside and name not in _MAIN:
+        tokens = given["class"].split() + given["role"].split()
+        titled = name in _HEADINGS or name == "section" or "section" in tokens
+        return hidden, any(map(_WHOLLY_UNWANTED.fullmatch, tokens)) or bool(
+            name not in _HEADINGS and (_WHOLLY_COMMENT if titled else _WHOLLY_UNWANTED).fullmatch(given["id"].strip())
+        )
+    named = " ".join(given.values())
     return hidden, bool((_COMMENT if name in _MAIN else _NOT_ARTICLE).search(named))
 
 
@@ -188,7 +205,7 @@ def parse_blocks(page: str) -> list[Block]:
                 at = close_tag + 1 if close_tag >= 0 else n
             continue
         top = stack[-1]
-        hidden, unwanted = _marks(name, m[3])
+        hidden, unwanted = _marks(name, m[3], bool(top.article))
         article = top.article
         refused = name in _AROUND or unwanted or (name == "header" and not top.article)
         around = top.around or refused
@@ -204,29 +221,54 @@ def parse_blocks(page: str) -> list[Block]:
     return blocks
 
 
-def first_pass(block: Block, rules: BlockRules) -> bool | None:
-    """True: main text; False: not; None: left to the second pass."""
+# A character of these scripts says about as much as three letters, and words have no blanks between them.
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\U00020000-\U0003ffff]")
+
+
+def _length(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + 2 * len(_DENSE.findall(text))
+
+
+def _stops(block: Block) -> float:
+    words = block.text.lower().split()
+    return sum(w.strip(".,;:!?\"'()«»“”") in STOP_WORDS for w in words) / len(words)
+
+
+def few_stop_words(blocks: list[Block], rules: BlockRules) -> bool:
+    """Whether the blocks that may be main text have few stop words as a whole."""
+    size = stops = 0
+    for b in blocks:
+        if not b.around and not b.heading and b.linked <= rules.links * len(b.text) and _length(b.text) >= rules.short:
+            size += _length(b.text)
+            stops += _length(b.text) * _stops(b)
+    return stops < rules.few_stops * size
+
+
+def first_pass(block: Block, rules: BlockRules, few: bool = False) -> bool | None:
+    """True: main text; False: not; None: left to the second pass. ``few``: see ``few_stop_words``."""
     if block.around:
         return False
-    size = len(block.text)
-    if block.linked > rules.links * size:
+    if block.linked > rules.links * len(block.text):
         return False
-    words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()«»“”") in STOP_WORDS for w in words) / len(words)
+    size = _length(block.text)
     if size < rules.short or block.heading:
         return None
+    stops = _stops(block)
     if stops >= rules.many_stops:
         return True
     if stops >= rules.few_stops:
         return True if size >= rules.long else None
-    # Few stop words: outside an article that is a list or a table; inside, its neighbours decide.
-    return None if block.article else False
+    # Few stop words: a table, code or names, or another language. Where all is like that, it is the text.
+    if few and not block.article:
+        return True
+    block.odd = size >= rules.long
+    return None
 
 
 def second_pass(blocks: list[Block]) -> None:
     """Undecided blocks take the label of the nearest decided blocks before and after.
 
-    If these differ, blocks of an article are text and others are not. Headings go with what follows.
+    If these differ, blocks of an article and long ones are text and others are not. Headings go with what follows.
     Only neighbours in the same article count for its blocks, and refused elements are never neighbours
     there; an article without a decided block is text.
     """
@@ -251,7 +293,7 @@ def second_pass(blocks: list[Block]) -> None:
     for i, b in enumerate(blocks):
         if b.label is None:
             near = [x for x in ((after[i],) if b.heading and after[i] is not None else (before[i], after[i])) if x is not None]
-            b.label = (any(near) if b.article else all(near)) if near else bool(b.article)
+            b.label = (any(near) if b.article or b.odd else all(near)) if near else bool(b.article)
 
 
 def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
@@ -259,8 +301,9 @@ def main_text(page: str | None, rules: BlockRules = BlockRules()) -> str:
     if not page:
         return ""
     blocks = parse_blocks(page)
+    few = any(not b.article and not b.around for b in blocks) and few_stop_words(blocks, rules)
     for b in blocks:
-        b.label = first_pass(b, rules)
+        b.label = first_pass(b, rules, few)
     second_pass(blocks)
     return "\n".join(b.text for b in blocks if b.label)
 

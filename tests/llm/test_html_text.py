@@ -51,6 +51,44 @@ def test_pages(html, text):
     assert main_text(html) == text
 
 
+POLISH = "Stary dom stał przy drodze, którą codziennie szli ludzie ze wsi, lecz nikt nie wiedział, kto kiedyś tam mieszkał."
+CHINESE = "山上的老房子已经很旧了，住在那里的人都知道它不会永远屹立不倒，可是他们仍然每天晚上点亮灯火，等待远方的亲人回来。"
+NAMES = ", ".join(f"Anna{i} Kowalska{i}" for i in range(20))
+CODE = "def add(x, y):\n    return x + y\n" * 12
+
+
+@pytest.mark.parametrize("text", [POLISH, CHINESE, NAMES])
+def test_pages_of_few_stop_words_without_an_article(text):
+    menu = '<div><a href="/a">Pierwsza strona</a> <a href="/b">Druga strona</a></div>'
+    assert main_text(page(f"{menu}<div><p>{text}</p><p>{text} 2</p></div><nav>{text}</nav>{menu}")) == f"{text}\n{text} 2"
+
+
+@pytest.mark.parametrize("odd", [NAMES, CODE])
+def test_odd_blocks_of_a_page_without_an_article(odd):
+    plain = " ".join(odd.split())
+    assert main_text(page(f"<div>{LIST}</div><div><p>{P1}</p><pre>{odd}</pre><p>{P2}</p></div><div>{LIST}</div>")) == f"{P1}\n{plain}\n{P2}"
+    assert main_text(page(f"<div>{LIST}</div><div><pre>{odd}</pre><p>{P2}</p></div><div>{LIST}</div>")) == f"{plain}\n{P2}"
+
+
+@pytest.mark.parametrize(
+    "own",
+    [
+        f"<section id='search-algorithms'><p>{P2}</p></section>", f"<div class='section' id='search'><p>{P2}</p></div>",
+        f"<p class='social-history'>{P2}</p>", f"<div id='notice-of-change'>{P2}</div>",
+    ],
+)
+def test_subjects_of_an_article_are_its_text(own):
+    assert main_text(page(f"<article><p>{P1}</p>{own}</article>")) == f"{P1}\n{P2}"
+    assert main_text(page(f"<article><h2 id='related-work'>Work</h2><p>{P1}</p></article>")) == f"Work\n{P1}"
+
+
+@pytest.mark.parametrize(
+    "mark", ["class='ads'", "class='x share-buttons'", "class='related_posts'", "id='comments'", "role='navigation'", "class='post-nav'"]
+)
+def test_marked_elements_of_an_article_are_not(mark):
+    assert main_text(page(f"<article><p>{P1}</p><div {mark}>{P2}</div></article>")) == P1
+
+
 def test_heading_goes_with_what_follows():
     blocks = parse_blocks(page(f"<h2>Story</h2><p>{P1} {P2}</p><h2>More</h2>{LIST}"))
     for b in blocks:
