@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm import decontaminate, html_text, language, mixing, near_dup, nearest, quality, sharding, suffix_dedup, warc
+from glossa.llm import (
+    decontaminate, html_text, language, mixing, near_dup, nearest, prefix_trie, quality, sharding, suffix_dedup, warc,
+)
 from glossa.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +109,10 @@ def op10_near_dup(spark, sf):
 
 
 ORACLE: dict[str, str] = {}
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    """Trie of conversations whose first turns are grafted from the first of their group of twenty."""
+    convs = table(spark, sf, "conversations")
+    return prefix_trie.prefix_trie(prefix_trie.graft_prefixes(convs), members=convs.select("conv_id"))

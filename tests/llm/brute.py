@@ -97,3 +97,56 @@ def nearest(vectors, query, k):
             for rank, (s, c) in enumerate(scored[:k], 1):
                 out[(q, rank)] = (c, -s)
     return out
+
+
+def prefix_trie(rows, graft=True, group=20, most=4):
+    """Nodes of the contract of op11 from (conv_id, turn, role, text) rows, as a set of tuples."""
+    from zlib import crc32
+
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs[c].append((turn is not None, turn if turn is not None else 0, role or "", text or ""))
+    own = {c: [(r, t) for _, _, r, t in sorted(ts)] for c, ts in convs.items()}
+    if graft:
+        built = {}
+        for c, turns in own.items():
+            h = crc32(str(c).encode()) % most
+            # The remainder takes the sign of c, as in SQL.
+            base = own.get(c - (abs(c) % group) * (1 if c >= 0 else -1), [])
+            built[c] = base[:h] + turns[h:]
+        own = built
+    nodes = {}
+    for c, turns in own.items():
+        for d in range(len(turns) + 1):
+            key = tuple(turns[:d])
+            node = nodes.setdefault(key, {"members": [], "ends": []})
+            node["members"].append(c)
+            if d == len(turns):
+                node["ends"].append(c)
+    children = defaultdict(list)
+    for key in nodes:
+        if key:
+            children[key[:-1]].append(key)
+
+    def words(key):
+        return len(re.findall(r"[^\x20\x09-\x0D]+", key[-1][1])) if key else 0
+
+    memo = {}
+
+    def sub(key):
+        if key not in memo:
+            leaves, saved = (0 if children[key] else 1), (len(nodes[key]["members"]) - 1) * words(key)
+            for child in children[key]:
+                a, b = sub(child)
+                leaves, saved = leaves + a, saved + b
+            memo[key] = (leaves, saved)
+        return memo[key]
+
+    out = set()
+    for key, node in sorted(nodes.items(), key=lambda kv: len(kv[0])):
+        leaves, saved = sub(key)
+        parent = min(nodes[key[:-1]]["members"]) if key else None
+        ends = hashlib.sha256(",".join(map(str, sorted(node["ends"]))).encode()).hexdigest()
+        out.add((min(node["members"]), len(key), parent, len(node["members"]), len(children[key]), leaves, saved, ends))
+    return out
