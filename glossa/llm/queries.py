@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import (
-    decontaminate, html_text, language, mixing, near_dup, nearest, prefix_trie, quality, sharding, suffix_dedup, warc,
+    decontaminate, html_text, language, mixing, near_dup, nearest, prefix_trie, quality, sharding, suffix_dedup,
+    toxicity, warc,
 )
 from glossa.llm.common import id_remainder, prepare, table
 
@@ -116,3 +117,12 @@ def op11_prefix_trie(spark, sf):
     """Trie of conversations whose first turns are grafted from the first of their group of twenty."""
     convs = table(spark, sf, "conversations")
     return prefix_trie.prefix_trie(prefix_trie.graft_prefixes(convs), members=convs.select("conv_id"))
+
+
+@query
+def op12_toxicity(spark, sf):
+    """Toxicity scores, learned from labels outside the held-out quarter."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = toxicity.learn_toxicity(docs, labels.filter(~held_out))
+    return toxicity.score_toxicity(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
