@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from glossa.llm import (
     decontaminate, html_text, language, mixing, near_dup, nearest, prefix_trie, quality, sharding, suffix_dedup,
-    toxicity, warc,
+    spelling, toxicity, warc,
 )
 from glossa.llm.common import id_remainder, prepare, table
 
@@ -126,3 +126,9 @@ def op12_toxicity(spark, sf):
     held_out = id_remainder("doc_id", 4) == 2
     model = toxicity.learn_toxicity(docs, labels.filter(~held_out))
     return toxicity.score_toxicity(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_spelling(spark, sf):
+    """Spelling variants of the words of all documents, each with its most common near form and root."""
+    return spelling.spelling_variants(table(spark, sf, "documents"))

@@ -150,3 +150,43 @@ def prefix_trie(rows, graft=True, group=20, most=4):
         ends = hashlib.sha256(",".join(map(str, sorted(node["ends"]))).encode()).hexdigest()
         out.add((min(node["members"]), len(key), parent, len(node["members"]), len(children[key]), leaves, saved, ends))
     return out
+
+
+def spelling(docs, least_length=6, least_count=5, factor=5):
+    """Rows (word, form, root, n, n_near, form_n) of the contract of op13 from (doc_id, text) pairs."""
+    from collections import Counter
+    from zlib import crc32
+
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1:]
+            counts[run] += 1
+    vocab = {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+
+    def one_edit(a, b):
+        if abs(len(a) - len(b)) > 1 or a == b:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        if len(a) > len(b):
+            a, b = b, a
+        return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    words = sorted(vocab)
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda v: (-vocab[v], v), default=None)
+        form[w] = best if best is not None and vocab[best] >= factor * vocab[w] else None
+    out = set()
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.add((w, form[w], root, vocab[w], len(near[w]), vocab[form[w]] if form[w] else None))
+    return out
