@@ -2,7 +2,7 @@
 
 Features of a text are computed on the JVM: lower-cased words (runs of letters and digits) of the whole
 text, hashed into ``buckets`` as unigrams, bigrams and one-skip bigrams (words i and i + 2), each counted once
-per text and scaled to unit length. Learning takes a bounded sample of labelled rows (``most_rows``, lowest
+per text with value 1 (``unit_length`` scales them by the text's number of features instead). Learning takes a bounded sample of labelled rows (``most_rows``, lowest
 hash of doc_id first), spread over learners of ``rows_per_learner`` rows; each runs FTRL-proximal (per-coordinate
 rates, L1 and L2) over its rows and the learners' weights are averaged by a Spark aggregation. L1 keeps the
 weights sparse; at most ``buckets`` + 1 of them exist, which bounds what is broadcast to score every document.
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.llm.common import lean
+from glossa.session import write_scratch
 
 
 @dataclass(frozen=True)
@@ -95,26 +96,26 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, settings: ToxicitySetting
     """A model from ``labels`` (doc_id, toxic) joined to the texts of ``docs`` (doc_id, text).
 
     Rows with a null toxic value or doc_id are not used; a doc_id with several texts or labels gives one
-    example per pair. Of the rest, the ``most_rows`` of lowest hash of (doc_id, label, text) are learned from.
+    example per pair. Of the labels, the ``most_rows`` of lowest hash of (doc_id, label) are learned from,
+    with every text of their doc_id.
     Without labelled rows the model has no weights and scores every text 0.5.
     """
     s = settings
-    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("double").alias("_y"))
-    texts = docs.select("doc_id", "text")
-    chosen = (
-        known.join(texts, "doc_id").select("doc_id", "_y", F.xxhash64("doc_id", "_y", "text", F.lit(s.seed)).alias("_r"))
-        .orderBy("_r", "doc_id", "_y").limit(s.most_rows)
+    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(
+        "doc_id", F.col("toxic").cast("double").alias("_y"), F.xxhash64("doc_id", "toxic", F.lit(s.seed)).alias("_r")
     )
+    # The sample is chosen on the labels alone, so that no text is shuffled; its size is bounded by most_rows,
+    # which bounds the broadcast that finds its texts.
+    chosen = known.orderBy("_r", "doc_id", "_y").limit(s.most_rows)
+    chosen = write_scratch(chosen, "toxic-sample")
     counted = chosen.count()
     if not counted:
         return ToxicityModel(np.empty(0, np.int64), np.empty(0), 0.0, s.buckets, 0)
-    learners = max(1, math.ceil(counted / s.rows_per_learner))
-    examples = (
-        chosen.join(known.join(texts, "doc_id").select("doc_id", "_y", "text", F.xxhash64("doc_id", "_y", "text", F.lit(s.seed)).alias("_r")),
-                    ["doc_id", "_y", "_r"])
-        .select("_r", "_y", features(F.col("text"), s.buckets).alias("_f"))
-        .repartition(learners, "_r").sortWithinPartitions("_r")
+    examples = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "_r", "_y", features(F.col("text"), s.buckets).alias("_f")
     )
+    learners = max(1, math.ceil(counted / s.rows_per_learner))
+    examples = examples.repartition(learners, "_r").sortWithinPartitions("_r", "_y")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
