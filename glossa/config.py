@@ -60,6 +60,10 @@ class JobConfig:
     rows_per_task: int = 200
     # Tasks per round, whatever the rows (0 = by ``rows_per_task``).
     score_partitions: int = 0
+    # The call log is merged after each chunk into one file per key bucket; merged files below
+    # ``log_small_file_bytes`` are merged again. A run reads only the buckets of its queue.
+    log_buckets: int = 64
+    log_small_file_bytes: int = 64 << 20
     # Whether cells of CSV input may hold line breaks; then each file is one task.
     multiline_csv: bool = True
 

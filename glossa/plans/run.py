@@ -26,7 +26,7 @@ from glossa.plans.scoring import ClientFactory, outcomes, score
 from glossa.schema_spec import response_schema, schema_spec
 from glossa.session import configure, scratch_scope, shared_path, write_observed
 from glossa.sinks.tables import annotation_rows, annotation_schema, append_annotations, append_results
-from glossa.sources.attempts import read_attempts, reusable
+from glossa.sources.attempts import merge_rounds, read_attempts, reusable
 from glossa.sources.posts import read_posts
 from glossa.sources.results import processed_keys, read_results
 
@@ -93,9 +93,10 @@ class _Calls:
 
 
 def known_calls(queue: Queue, job: JobConfig) -> DataFrame | None:
-    """What the log knows of the queued keys; None if nothing. The log is read once per run."""
+    """What the log knows of the queued keys; None if nothing. The log is read once per run, and only
+    the buckets of the queued keys."""
     spark = queue.ordered.table.sparkSession
-    log = read_attempts(spark, job.log_path)
+    log = read_attempts(spark, job.log_path, keys=queue.ordered.table, buckets=job.log_buckets)
     if log is None:
         return None
     found = reusable(log, queue.ordered.table, errors=not job.retry_errors)
@@ -151,6 +152,8 @@ def run_queue(queue: Queue, job: JobConfig, client: ClientFactory) -> RunReport:
             if job.annotation:
                 results = second_pass(results, count, calls)
             written += sink.append(project_to(results, columns))
+            # The chunk is committed: its rounds of calls become one file per key bucket.
+            merge_rounds(queue.ordered.table.sparkSession, job.log_path, job.log_buckets, job.log_small_file_bytes)
         if stop is not None:
             return RunReport(queue.count, written, calls.made, stop)
     return RunReport(queue.count, written, calls.made)

@@ -586,3 +586,11 @@ oracle(
     "stream_resume",
     "select vlm_content_key, count(distinct vlm_content_key) as n_rows from first_rows group by 1", "posts", KEYED, FIRST,
 )
+
+
+# The first four hex digits of the key as a number, modulo 64, as ``log_bucket``.
+HEX_BUCKET = " + ".join(f"(instr('0123456789abcdef', substr(h, {i}, 1)) - 1) * {16 ** (4 - i)}" for i in range(1, 5))
+oracle("log_compaction", f"""select cast(({HEX_BUCKET}) % 64 as integer) as bucket, 1::bigint as n_files,
+    count(*) as n_rows, count(distinct h) as n_keys, count(resp) as n_replies, count(err) as n_errors,
+    3::bigint as rounds_merged, 0::bigint as left_over
+  from (select sha256(cast(k as varchar)) as h, resp, err from calls) group by 1""", "calls")

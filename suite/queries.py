@@ -19,7 +19,9 @@ from glossa.plans.scoring import per_row_client
 from glossa.schema_spec import schema_spec
 from glossa.session import configure, scratch_path, write_scratch
 from glossa.sinks.tables import annotation_rows, append_by_name, append_results
-from glossa.sources.attempts import read_attempts, response_text
+from glossa.sources.attempts import (
+    LOG_BUCKETS, append_attempts, log_bucket, merge_rounds, read_attempts, response_text, round_folders,
+)
 from glossa.sources.posts import CSV_OPTIONS, read_csv
 from glossa.sources.results import read_results
 from glossa.streaming.incremental import annotate_stream
@@ -573,6 +575,32 @@ def mirror_sink(spark, sf):
     return first.withColumn("sink", F.lit("primary")).unionByName(second.withColumn("sink", F.lit("mirror")))
 
 
+@query
+def log_compaction(spark, sf):
+    """Every call of ``calls`` logged as a round per attempt, merged at commit, and read back per key bucket.
+
+    A second merge finds nothing to do; every bucket is one file, no round is left, and no row is lost or doubled.
+    """
+    calls = view(spark, sf, "calls")
+    log = calls.select(
+        "k", F.sha2(F.col("k").cast("string"), 256).alias(KEY), F.col("pass").cast("int").alias("pass"), "model",
+        F.col("attempt").cast("int").alias("attempt"), F.lit("p").alias("prompt_hash"), F.lit(True).alias("called"),
+        F.col("attempt").cast("double").alias("ended_at"), "resp", "err",
+    )
+    path = scratch_path(spark, "log") + "/log"
+    for attempt in range(3):
+        append_attempts(log.filter(F.col("attempt") == attempt), path)
+    first = merge_rounds(spark, path, LOG_BUCKETS)
+    again = merge_rounds(spark, path, LOG_BUCKETS)
+    left = len(round_folders(spark, path)) + again.rounds + again.files_read
+    read = read_attempts(spark, path).withColumn("_file", F.input_file_name())
+    return read.groupBy(log_bucket(F.col(KEY), LOG_BUCKETS).alias("bucket")).agg(
+        F.countDistinct("_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(KEY).alias("n_keys"),
+        F.count("resp").alias("n_replies"), F.count("err").alias("n_errors"),
+        F.lit(first.rounds).cast("long").alias("rounds_merged"), F.lit(left).cast("long").alias("left_over"),
+    )
+
+
 def _job(path: str, **changes):
     return JOB.with_(results_path=path, **changes)
 
