@@ -64,6 +64,9 @@ class JobConfig:
     # ``log_small_file_bytes`` are merged again. A run reads only the buckets of its queue.
     log_buckets: int = 64
     log_small_file_bytes: int = 64 << 20
+    # Called on the driver as (chunk, step, rows) after each step of a commit: staged, results,
+    # annotations, mirror, closed. It may report progress; what it raises stops the run there.
+    commit_progress: Callable | None = None
     # Whether cells of CSV input may hold line breaks; then each file is one task.
     multiline_csv: bool = True
 
@@ -90,6 +93,11 @@ class JobConfig:
     def log_path(self) -> str:
         return self.attempts_path or f"{self.results_path.rstrip('/')}-attempts"
 
+    @property
+    def ledger_path(self) -> str:
+        """The commit ledger of the results and their copies (``sinks.ledger``), beside the results."""
+        return f"{self.results_path.rstrip('/')}-ledger"
+
     def with_(self, **changes: Any) -> JobConfig:
         return replace(self, **changes)
 

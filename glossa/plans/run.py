@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from glossa.config import JobConfig
 from glossa.functions.prompts import media_prompt, url_prompt
 from glossa.operators.annotate import annotate, annotation_column_names, second_pass_rows, second_prompt
-from glossa.operators.gate import annotation_gate, has_payload
+from glossa.operators.gate import annotation_gate
 from glossa.operators.queue import KEY, SMALL_BATCH, keys_among, with_content_key
 from glossa.operators.quota import quota_flag
 from glossa.operators.results import column_order, project_to, result_columns, result_rows, with_analysis
@@ -25,6 +25,7 @@ from glossa.plans.prepare import ROUTE_COLUMNS, Queue, prepare
 from glossa.plans.scoring import ClientFactory, outcomes, score
 from glossa.schema_spec import response_schema, schema_spec
 from glossa.session import configure, scratch_scope, shared_path, write_observed
+from glossa.sinks.ledger import Ledger, missing_rows
 from glossa.sinks.tables import annotation_rows, annotation_schema, append_annotations, append_results
 from glossa.sources.attempts import merge_rounds, read_attempts, reusable
 from glossa.sources.posts import read_posts
@@ -162,8 +163,10 @@ def run_queue(queue: Queue, job: JobConfig, client: ClientFactory) -> RunReport:
 class _Sinks:
     """The results table and its copies: mirror and annotation table.
 
-    Results come first: a run goes by their keys, and they hold all a copy needs. What a crash left out of
-    the copies is added when the next run starts (``repair_copies``).
+    With copies, each chunk is staged once and goes through the commit ledger (``sinks.ledger``): results
+    first, since a run goes by their keys, then the annotation table and the mirror, each marked when
+    written. What a crash left out is completed from the staged chunk when the next run starts
+    (``repair_copies``). ``job.commit_progress(chunk, step, rows)`` hears of every step.
     """
 
     def __init__(self, job: JobConfig, names: list[str]):
@@ -172,21 +175,64 @@ class _Sinks:
         self.schema: StructType | None = None
         self.asked = False
 
+    def tables(self) -> list[str]:
+        job = self.job
+        return ["results", *(["annotations"] if self.names and job.annotations_path else []), *(["mirror"] if job.mirror_path else [])]
+
     def append(self, rows: DataFrame) -> int:
-        """Append to every table. With more than one the rows are written once and the appends read that."""
+        """Append to every table. With more than one the rows are staged once and the appends read that."""
         job = self.job
-        annotations = self.names and job.annotations_path
-        if not (annotations or job.mirror_path):
+        if len(self.tables()) == 1:
             seen = Observation()
             append_results(rows.observe(seen, F.count("*").alias("rows")), job.results_path, job.append_chunk_size)
+            self._progress("", "results", seen.get["rows"])
             return seen.get["rows"]
-        written, metrics = write_observed(rows, "chunk", rows=F.count("*"))
-        append_results(written, job.results_path, job.append_chunk_size)
-        if annotations:
-            self.annotations(written)
-        if job.mirror_path:
-            append_results(written, job.mirror_path, job.append_chunk_size)
-        return metrics["rows"]
+        seen = Observation()
+        ledger = Ledger(job.ledger_path)
+        chunk, staged = ledger.stage(rows.observe(seen, F.count("*").alias("rows")))
+        count = seen.get["rows"]
+        self._progress(chunk, "staged", count)
+        self.complete(ledger, chunk, staged, count, set(), fresh=True)
+        return count
+
+    def complete(self, ledger: Ledger, chunk: str, rows: DataFrame, count: int, done: set[str], fresh: bool = False) -> None:
+        """Give every table that lacks it the chunk ``rows``; a table marked ``done`` is skipped.
+
+        Unless the chunk is ``fresh``, only rows that a table does not hold yet (by key and kind of outcome) are added.
+        """
+        job = self.job
+        spark = rows.sparkSession
+        good = F.col("vlm_error").isNull()
+        paths = {"results": job.results_path, "mirror": job.mirror_path}
+        for table in self.tables():
+            if table in done:
+                continue
+            if table == "annotations":
+                picked = rows
+                if not fresh:
+                    held = read_results(spark, job.annotations_path)
+                    if held is not None and KEY not in held.columns:
+                        # An own annotation_rows without the content key: the table cannot be compared.
+                        picked = None
+                    else:
+                        picked = missing_rows(rows, held, [KEY])
+                if picked is not None:
+                    self.annotations(picked)
+            else:
+                picked = rows
+                if not fresh:
+                    held = read_results(spark, paths[table])
+                    picked = missing_rows(rows.withColumn("_good", good), None if held is None else held.withColumn("_good", good),
+                                          [KEY, "_good"]).drop("_good")
+                append_results(picked.select(*rows.columns), paths[table], job.append_chunk_size)
+            ledger.mark(spark, chunk, table)
+            self._progress(chunk, table, count)
+        ledger.close(spark, chunk, count, self.tables())
+        self._progress(chunk, "closed", count)
+
+    def _progress(self, chunk: str, step: str, rows: int) -> None:
+        if self.job.commit_progress is not None:
+            self.job.commit_progress(chunk, step, rows)
 
     def annotations(self, rows: DataFrame) -> None:
         job = self.job
@@ -196,35 +242,26 @@ class _Sinks:
         self.schema = append_annotations(picked, job.annotations_path, self.schema)
 
 
-def repair_copies(spark: SparkSession, job: JobConfig) -> None:
-    """Give mirror and annotation table the rows of results that a run did not get to append.
+def repair_copies(spark: SparkSession, job: JobConfig) -> list[str]:
+    """Complete the chunks that an interrupted run staged but did not bring to every table; returns their names.
 
-    A row is missing where its key, with the same kind of outcome, is not in the copy. An annotation table
-    without the content key (own ``annotation_rows``) cannot be compared and stays as it is.
+    A clean start lists the ledger's staged folder and reads nothing else. An annotation table without the
+    content key (own ``annotation_rows``) cannot be compared and is left as it is.
     """
     names = annotation_column_names(job.annotation_columns) if job.annotation else []
-    if not (job.mirror_path or (names and job.annotations_path)):
-        return
-    results = read_results(spark, job.results_path)
-    if results is None:
-        return
-    if job.mirror_path:
-        held = read_results(spark, job.mirror_path)
-        missing = results
-        if held is not None:
-            good = F.col("vlm_error").isNull()
-            there = held.select(KEY, good.alias("_good")).distinct()
-            missing = results.withColumn("_good", good).join(there, [KEY, "_good"], "left_anti").drop("_good")
-        if not missing.isEmpty():
-            append_results(missing.select(*results.columns), job.mirror_path)
-    if names and job.annotations_path:
-        held = read_results(spark, job.annotations_path)
-        if held is not None and KEY not in held.columns:
-            return
-        missing = results if held is None else results.join(held.select(KEY).distinct(), KEY, "left_anti")
-        missing = missing.filter(has_payload([n for n in names if n in results.columns]))
-        if not missing.isEmpty():
-            _Sinks(job, names).annotations(missing)
+    sinks = _Sinks(job, names)
+    if len(sinks.tables()) == 1:
+        return []
+    ledger = Ledger(job.ledger_path)
+    repaired = []
+    for chunk in ledger.open_chunks(spark):
+        rows = ledger.rows(spark, chunk)
+        if rows is None:
+            ledger.drop(spark, chunk)
+            continue
+        sinks.complete(ledger, chunk, rows, rows.count(), ledger.marks(spark, chunk))
+        repaired.append(chunk)
+    return repaired
 
 
 def run_job(

@@ -572,6 +572,13 @@ oracle(
     f"""select sink, vlm_content_key, count(*) as n_rows from answers, (select unnest(['results', 'mirror', 'annotations'])
       as sink) where sink <> 'annotations' or ({FESTIVE}) group by 1, 2""", *PASSES,
 )
+oracle(
+    "commit_ledger",
+    f"""select lost_after, sink, vlm_content_key, 0::bigint as open_chunks, count(*) as n_rows
+    from answers, (select unnest(['results', 'mirror', 'annotations']) as sink),
+      (select unnest(['staged', 'results', 'annotations', 'mirror']) as lost_after)
+    where sink <> 'annotations' or ({FESTIVE}) group by 1, 2, 3""", *PASSES,
+)
 oracle(
     "media_lookup",
     f"""select d.ordinal, f.media_fname, d.save_name || '/' || f.media_fname as media_place,

@@ -18,6 +18,7 @@ from glossa.plans.run import run_job
 from glossa.plans.scoring import per_row_client
 from glossa.schema_spec import schema_spec
 from glossa.session import configure, scratch_path, write_scratch
+from glossa.sinks.ledger import Ledger
 from glossa.sinks.tables import annotation_rows, append_by_name, append_results
 from glossa.sources.attempts import (
     LOG_BUCKETS, append_attempts, log_bucket, merge_rounds, read_attempts, response_text, round_folders,
@@ -754,6 +755,43 @@ def commit_repair(spark, sf):
     return parts[0].union(parts[1]).union(parts[2]).groupBy("sink", KEY).agg(F.count("*").alias("n_rows"))
 
 
+COMMIT_STEPS = ("staged", "results", "annotations", "mirror")
+
+
+@query
+def commit_ledger(spark, sf):
+    """A driver lost after each step of a commit in turn; the next run completes the chunk from the ledger.
+
+    Per step, each table's rows by key: every key once in results and mirror, festive ones once in the annotation
+    table, and no chunk left open.
+    """
+    known = posts_table(spark, sf)
+    posts, manifest = known.select("ordinal", *JOB.key_columns), store(known)
+    parts = []
+    for step in COMMIT_STEPS:
+        path = scratch_path(spark, f"ledger-{step}") + "/table"
+
+        def lose(chunk, done, rows, step=step):
+            if done == step:
+                raise ConnectionError("the driver is gone")
+
+        try:
+            run_job(posts, _two_pass_job(path, commit_progress=lose), two_pass_client(), manifest)
+            raise AssertionError("the run was to die")
+        except ConnectionError:
+            pass
+        job = _two_pass_job(path)
+        run_job(posts, job, two_pass_client(), manifest)
+        left = len(Ledger(job.ledger_path).open_chunks(spark))
+        for name, p in (("results", path), ("mirror", job.mirror_path), ("annotations", job.annotations_path)):
+            parts.append(read_results(spark, p).select(KEY, F.lit(name).alias("sink"), F.lit(step).alias("lost_after"),
+                                                       F.lit(left).cast("long").alias("open_chunks")))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.groupBy("lost_after", "sink", KEY, "open_chunks").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def media_lookup(spark, sf):
     """Files of a store on disk, looked up by the names of the queue."""

@@ -508,3 +508,49 @@ def test_stream_delivers_each_key_once(spark, posts, tmp_path):
     both = drain("c1")
     assert both > first
     assert drain("c2") == both
+
+
+def test_commit_ledger_steps_and_a_clean_start_reads_no_results(spark, posts, manifest, tmp_path, monkeypatch):
+    steps = []
+    job = annotating(tmp_path, commit_progress=lambda chunk, step, rows: steps.append((step, rows)))
+    run_job(posts, job, per_row_client(replying), manifest)
+    assert [s for s, _ in steps] == ["staged", "results", "annotations", "mirror", "closed"]
+    assert len({n for _, n in steps}) == 1
+    from glossa.plans import run as plan
+    from glossa.sinks.ledger import Ledger
+
+    ledger = Ledger(job.ledger_path)
+    assert ledger.open_chunks(spark) == [] and ledger.entries(spark).count() == 1
+
+    def refuse(*_):
+        raise AssertionError("a clean start read a table")
+
+    monkeypatch.setattr(plan, "read_results", refuse)
+    assert plan.repair_copies(spark, job) == []
+
+
+def test_a_chunk_staged_in_part_is_dropped_and_one_lost_after_results_is_completed(spark, posts, manifest, tmp_path):
+    from glossa.plans.run import repair_copies
+    from glossa.sinks.ledger import Ledger
+
+    def lose(chunk, step, rows):
+        if step == "results":
+            raise ConnectionError("gone")
+
+    job = annotating(tmp_path)
+    with pytest.raises(ConnectionError):
+        run_job(posts, job.with_(commit_progress=lose), per_row_client(replying), manifest)
+    ledger = Ledger(job.ledger_path)
+    (open_chunk,) = ledger.open_chunks(spark)
+    assert ledger.marks(spark, open_chunk) == {"results"}
+    assert read_results(spark, job.mirror_path) is None
+    # A staged folder without its success file: no table got it.
+    spark.range(3).write.parquet(f"{ledger.root}/staged/chunk-0-partial/rows")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger.root}/staged/chunk-0-partial/rows/_SUCCESS")
+    fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs, False)
+    assert repair_copies(spark, job) == [open_chunk]
+    assert ledger.open_chunks(spark) == []
+    results, mirror = read_results(spark, job.results_path), read_results(spark, job.mirror_path)
+    assert results.count() == mirror.count() == mirror.select(KEY).distinct().count()
+    festive = results.filter("vlm_mood = 'FESTIVE'").count()
+    assert read_results(spark, job.annotations_path).count() == festive
