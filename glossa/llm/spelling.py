@@ -34,16 +34,17 @@ BLOCK = 3
 _TOP = chr(0x10FFFF)
 
 
-def word_occurrences(docs: DataFrame) -> DataFrame:
+def word_occurrences(docs: DataFrame, least: int = 0) -> DataFrame:
     """One row (word) per maximal letter run of every whole text, A-Z lower-cased, thinned by its hash.
 
     The run's code point h % length is deleted where 199 divides h, the unsigned crc32 of the UTF-8
-    text ``<doc_id>:<run>``; a null doc_id is written as the empty text. Null texts have no runs.
+    text ``<doc_id>:<run>``; a null doc_id is written as the empty text. Null texts have no runs. Runs
+    shorter than ``least`` code points, which cannot give a word of that length, are left out.
     """
     runs = docs.select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
         F.explode(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(RUN), 0)).alias("_run"),
-    ).select("_id", F.translate("_run", UPPER, LOWER).alias("_run"))
+    ).filter(F.length("_run") >= least).select("_id", F.translate("_run", UPPER, LOWER).alias("_run"))
     h = F.crc32(F.concat("_id", F.lit(":"), "_run").cast("binary"))
     at = (h % F.length("_run")).cast("int")
     thinned = F.concat(F.substring("_run", F.lit(1), at), F.substring("_run", at + 2, F.length("_run")))
@@ -52,12 +53,15 @@ def word_occurrences(docs: DataFrame) -> DataFrame:
 
 def vocabulary(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT) -> DataFrame:
     """Distinct words of at least ``least_length`` code points and ``least_count`` occurrences: word, n."""
-    words = word_occurrences(docs).filter(F.length("word") >= least_length)
+    words = word_occurrences(docs, least_length).filter(F.length("word") >= least_length)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_count)
 
 
-def one_edit(query: str, words: list[str]) -> list[str]:
-    """Words of the sorted list ``words`` exactly one insertion, deletion or substitution away from ``query``."""
+def one_edit(query: str, words: list[str], start: int = 0, skip: str | None = None) -> list[str]:
+    """Words of the sorted list ``words`` exactly one insertion, deletion or substitution away from ``query``.
+
+    Only ``words[start:]`` are scanned, and none that starts with ``skip`` (a range of the sorted list).
+    """
     m = len(query)
     far = 2
     found = []
@@ -66,9 +70,12 @@ def one_edit(query: str, words: list[str]) -> list[str]:
     for j in range(m + 1):
         rows[0][j] = min(j, far)
     prefix = ""
-    i = 0
+    i = start
     while i < len(words):
         word = words[i]
+        if skip and word.startswith(skip):
+            i = bisect.bisect_left(words, skip + _TOP, i + 1)
+            continue
         common = 0
         top = min(len(prefix), len(word))
         while common < top and prefix[common] == word[common]:
@@ -102,23 +109,31 @@ def one_edit(query: str, words: list[str]) -> list[str]:
 
 
 def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of a block, each found once: from its smaller word, scanning only the words after it.
+
+    A block of shared last code points (side 1) skips words that share the query's first code points too:
+    those pairs are found in the block of their first code points.
+    """
     words = sorted(block["word"].tolist())
+    backward = bool(len(block)) and int(block["_side"].iloc[0]) == 1
     left, right = [], []
-    for query in words:
-        for other in one_edit(query, words):
-            if query < other:
-                left.append(query)
-                right.append(other)
+    for at, query in enumerate(words):
+        for other in one_edit(query, words, at + 1, query[:BLOCK] if backward else None):
+            left.append(query)
+            right.append(other)
     return pd.DataFrame({"a": pd.Series(left, dtype=object), "b": pd.Series(right, dtype=object)})
 
 
 def near_pairs(vocab: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b in code-point order, of vocabulary words exactly one edit apart; each pair once."""
+    """Pairs (a, b), a < b in code-point order, of vocabulary words exactly one edit apart; each pair once.
+
+    A pair whose words share their first ``BLOCK`` code points comes from that block alone; any other pair
+    (its edit among the first code points) shares the last ``BLOCK`` and comes from that block alone.
+    """
     blocks = vocab.select("word", F.substring("word", 1, BLOCK).alias("_block"), F.lit(0).alias("_side")).unionByName(
         vocab.select("word", F.substring(F.reverse("word"), 1, BLOCK).alias("_block"), F.lit(1).alias("_side"))
     )
-    pairs = blocks.groupBy("_side", "_block").applyInPandas(_block_pairs, "a string, b string")
-    return pairs.distinct()
+    return blocks.groupBy("_side", "_block").applyInPandas(_block_pairs, "a string, b string")
 
 
 def spelling_variants(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT, factor: int = FACTOR) -> DataFrame:
