@@ -133,14 +133,17 @@ def second_pass(rows: DataFrame, count: int, calls: _Calls) -> DataFrame:
     return annotate(rows, replies, POS, job.annotation_columns, drop=work)
 
 
-def run_queue(queue: Queue, job: JobConfig, client: ClientFactory) -> RunReport:
-    """Score and append every chunk, up to the first daily quota error of the primary model."""
+def run_queue(queue: Queue, job: JobConfig, client: ClientFactory, fresh_keys: bool = False) -> RunReport:
+    """Score and append every chunk, up to the first daily quota error of the primary model.
+
+    With ``fresh_keys`` the caller vouches that no queued key was ever called, so the log is not read.
+    """
     spec = schema_spec(job.analysis)
     names = annotation_column_names(job.annotation_columns) if job.annotation else []
     columns = column_order(queue.source_columns, result_columns(spec, names))
     work = tuple(c for c in (POS, "analysis", *ROUTE_COLUMNS) if c not in queue.source_columns)
     written, sink = 0, _Sinks(job, names)
-    calls = _Calls(job, client, known_calls(queue, job))
+    calls = _Calls(job, client, None if fresh_keys else known_calls(queue, job))
     for start in range(0, queue.count, job.commit_rows):
         with scratch_scope(queue.ordered.table.sparkSession):
             count = min(job.commit_rows, queue.count - start)
@@ -272,11 +275,14 @@ def run_job(
     failures: DataFrame | None = None,
     post_count: int | None = None,
     repair: bool = True,
+    fresh_keys: bool = False,
 ) -> RunReport:
     """One run over ``posts``: skip what the results table has, score the rest.
 
     ``post_count``, where known, lets a small batch skip the shuffle of a large results table.
     ``repair`` first completes the copies of the results that an interrupted run left behind.
+    ``fresh_keys``: the caller vouches that no key of ``posts`` is in the results or the log (a stream's
+    state does), so neither is read.
     """
     spark = configure(posts.sparkSession)
     for path in (job.results_path, job.mirror_path, job.annotations_path, job.log_path):
@@ -284,12 +290,12 @@ def run_job(
             shared_path(spark, path)
     if repair:
         repair_copies(spark, job)
-    done = processed_keys(spark, job.results_path, job.retry_errors)
-    if post_count is not None and post_count <= SMALL_BATCH:
+    done = processed_keys(spark, job.results_path, job.retry_errors) if not fresh_keys else spark.createDataFrame([], f"{KEY} string")
+    if not fresh_keys and post_count is not None and post_count <= SMALL_BATCH:
         done = keys_among(done, with_content_key(posts, job.key_columns))
     with scratch_scope(spark):
         queue = prepare(posts, done, job, manifest, failures)
-        return run_queue(queue, job, client) if queue else RunReport(0, 0, False)
+        return run_queue(queue, job, client, fresh_keys) if queue else RunReport(0, 0, False)
 
 
 def run_project(spark: SparkSession, job: JobConfig, client: ClientFactory) -> RunReport:

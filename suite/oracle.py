@@ -601,3 +601,7 @@ oracle("log_compaction", f"""select cast(({HEX_BUCKET}) % 64 as integer) as buck
     count(*) as n_rows, count(distinct h) as n_keys, count(resp) as n_replies, count(err) as n_errors,
     3::bigint as rounds_merged, 0::bigint as left_over
   from (select sha256(cast(k as varchar)) as h, resp, err from calls) group by 1""", "calls")
+oracle(
+    "stream_state",
+    "select vlm_content_key, count(distinct vlm_content_key) as n_rows from first_rows group by 1", "posts", KEYED, FIRST,
+)

@@ -841,6 +841,25 @@ def stream_resume(spark, sf):
     return read_results(spark, path).groupBy(KEY).agg(F.count("*").alias("n_rows"))
 
 
+@query
+def stream_state(spark, sf):
+    """One stream over two arrivals, the second repeating every key of the first, then a fresh checkpoint over all.
+
+    The keyed state lets each key through once; the fresh checkpoint starts from the results. Rows per key in the end.
+    """
+    posts = queue.dedup_first(view(spark, sf, "posts"))
+    folder = scratch_path(spark, "state")
+    source, path = f"{folder}/in", f"{folder}/results"
+    posts.filter(F.col("ordinal") % 2 == 0).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    annotate_stream(arriving, _job(path), stub_client(), f"{folder}/checkpoint", state=True).awaitTermination()
+    # Late repeats: the first arrival again, with the rest.
+    posts.write.mode("append").parquet(source)
+    annotate_stream(arriving, _job(path), stub_client(), f"{folder}/checkpoint", state=True).awaitTermination()
+    annotate_stream(arriving, _job(path), stub_client(), f"{folder}/fresh", state=True).awaitTermination()
+    return read_results(spark, path).groupBy(KEY).agg(F.count("*").alias("n_rows"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Raw posts, keyed and deduplicated, minus earlier results, capped and counted per platform."""
     configure(spark)

@@ -554,3 +554,27 @@ def test_a_chunk_staged_in_part_is_dropped_and_one_lost_after_results_is_complet
     assert results.count() == mirror.count() == mirror.select(KEY).distinct().count()
     festive = results.filter("vlm_mood = 'FESTIVE'").count()
     assert read_results(spark, job.annotations_path).count() == festive
+
+
+def test_stream_state_later_batches_read_neither_results_nor_log(spark, posts, manifest, tmp_path, monkeypatch):
+    from glossa.plans import run as plan
+
+    reads = []
+    for name in ("processed_keys", "read_attempts"):
+        real = getattr(plan, name)
+        monkeypatch.setattr(plan, name, lambda *a, _real=real, _name=name, **k: reads.append(_name) or _real(*a, **k))
+    from glossa.operators.queue import with_content_key
+
+    source = str(tmp_path / "in")
+    posts.filter("ordinal % 3 = 0").coalesce(1).write.parquet(source)
+    arriving = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    posts.filter("ordinal % 3 = 1").coalesce(1).write.mode("append").parquet(source)
+    posts.coalesce(1).write.mode("append").parquet(source)  # late repeats of every key
+    job = JOB.with_(results_path=str(tmp_path / "r"))
+    annotate_stream(arriving, job, stub_client(), str(tmp_path / "ck"), manifest, state=True).awaitTermination()
+    # The state starts from the results once; only the first batch of the start checks the results and the log.
+    assert reads.count("processed_keys") == 1 and reads.count("read_attempts") <= 1
+    got = read_results(spark, job.results_path)
+    keys = with_content_key(posts, JOB.key_columns).select(KEY).distinct().count()
+    # Every key once at most, though each arrived twice or three times; rows that a run drops (first per raw URL) stay out.
+    assert 0 < got.count() == got.select(KEY).distinct().count() <= keys
