@@ -64,6 +64,11 @@ class JobConfig:
     # ``log_small_file_bytes`` are merged again. A run reads only the buckets of its queue.
     log_buckets: int = 64
     log_small_file_bytes: int = 64 << 20
+    # One request rate for the whole cluster (``operators.rate``): first calls of a model start no more than
+    # these many a minute (``default_requests_per_minute`` for others), ``burst_requests`` more in the first minute.
+    requests_per_minute: dict[str, int] | None = None
+    default_requests_per_minute: int = 60
+    burst_requests: int = 0
     # Called on the driver as (chunk, step, rows) after each step of a commit: staged, results,
     # annotations, mirror, closed. It may report progress; what it raises stops the run there.
     commit_progress: Callable | None = None

@@ -88,6 +88,9 @@ class _Calls:
             job.log_path,
             self.known,
             stop_early=job.stop_on_primary_daily_quota and number == 1,
+            rate=None if job.requests_per_minute is None else (
+                job.requests_per_minute, job.default_requests_per_minute, job.burst_requests
+            ),
         )
         self.made += scored.calls
         return outcomes(scored.log)

@@ -8,6 +8,7 @@ already knows of a request is used instead of a call.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -29,6 +30,7 @@ from glossa.functions.errors import (
 from glossa.operators.attempts import with_final, with_reply_error
 from glossa.operators.queue import KEY
 from glossa.session import write_observed
+from glossa.operators.rate import rate_schedule
 from glossa.sources.attempts import CALL_COLUMNS, LOG_SCHEMA, append_attempts
 
 # What a client sees of each request. ``response_schema`` is the JSON schema of the wanted reply;
@@ -167,6 +169,7 @@ def score(
     log_path: str,
     known: DataFrame | None = None,
     stop_early: bool = False,
+    rate: tuple[dict[str, int], int, int] | None = None,
 ) -> Scored:
     """Call the model for every row until nothing is left to retry.
 
@@ -175,11 +178,16 @@ def score(
     holds only the rows the one before left open, at most twice the allowed attempts. With
     ``stop_early`` a client may skip rows behind a daily quota error of the primary model.
 
-    ``known`` (see ``sources.attempts.reusable``) answers requests without a call.
+    ``known`` (see ``sources.attempts.reusable``) answers requests without a call. With ``rate`` (requests per
+    minute by model, for other models, burst) first calls get a ``ready_at`` from their place among the rows of their
+    model (``operators.rate``), so that all tasks together keep one rate; retries wait as the policy says.
     """
     logs: list[DataFrame] = []
     calls = 0
     todo = rows.withColumns({"attempt": F.lit(0), "wait_sec": F.lit(0.0), "ready_at": F.lit(0.0)})
+    if rate is not None:
+        limits, default, burst = rate
+        todo = rate_schedule(todo.drop("ready_at"), "k", "model", limits, default, burst, F.lit(time.time())).drop("rate_rank")
     for _ in range(2 * policy.max_attempts):
         open_rows = 0
         asked = todo

@@ -605,3 +605,10 @@ oracle(
     "stream_state",
     "select vlm_content_key, count(distinct vlm_content_key) as n_rows from first_rows group by 1", "posts", KEYED, FIRST,
 )
+oracle(
+    "rate_schedule",
+    """select k, model, attempt, rate_rank,
+      60.0 * floor(greatest(rate_rank - 3, 0) / case model when 'primary' then 7 when 'fallback' then 5 else 1 end) as ready_at
+    from (select k, model, attempt, row_number() over (partition by model order by k * 3 + attempt) - 1 as rate_rank
+      from calls)""", "calls",
+)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from glossa.config import RetryPolicy
 from glossa.functions import errors, prompts, reply, text
 from glossa.functions.cells import cell_text, json_text
-from glossa.operators import attempts, gate, media, positions, queue, quota, results
+from glossa.operators import attempts, gate, media, positions, queue, quota, rate, results
 from glossa.operators.annotate import annotate, second_pass_rows, second_prompt
 from glossa.plans import prepare as plans
 from glossa.plans.run import run_job
@@ -602,6 +602,17 @@ def log_compaction(spark, sf):
     )
 
 
+RATE_LIMITS = {"primary": 7, "fallback": 5}
+
+
+@query
+def rate_schedule(spark, sf):
+    """A planned start for every call of ``calls``: seven a minute on the primary model, five on the fallback, three more at first."""
+    calls = view(spark, sf, "calls").select("k", "model", "attempt", (F.col("k") * 3 + F.col("attempt")).alias("place"))
+    planned = rate.rate_schedule(calls, "place", "model", RATE_LIMITS, 1, burst=3)
+    return planned.select("k", "model", "attempt", "rate_rank", "ready_at")
+
+
 def _job(path: str, **changes):
     return JOB.with_(results_path=path, **changes)
 
