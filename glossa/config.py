@@ -54,6 +54,9 @@ class JobConfig:
     # Rows whose results are appended together. Calls are kept as they are made (``log_path``), so
     # this does not decide what a crash costs.
     commit_rows: int = 100_000
+    # Quota probing in waves: chunks of this many rows, doubling up to ``commit_rows``; a wave starts only
+    # when the one before met no daily quota error, so calls behind a stop are those of one wave at most (0: off).
+    first_wave_rows: int = 0
     # Most rows of a file of the CSV tables (0 = as many as a task has).
     append_chunk_size: int = 0
     # Rows a task calls the model for; replies are kept when a task ends.

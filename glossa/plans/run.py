@@ -136,6 +136,16 @@ def second_pass(rows: DataFrame, count: int, calls: _Calls) -> DataFrame:
     return annotate(rows, replies, POS, job.annotation_columns, drop=work)
 
 
+def chunk_bounds(total: int, most: int, first_wave: int = 0) -> list[tuple[int, int]]:
+    """(start, size) of the chunks of a queue of ``total`` rows: ``most`` rows each, or waves that double from ``first_wave``."""
+    out, start, size = [], 0, (min(first_wave, most) if first_wave > 0 else most)
+    while start < total:
+        out.append((start, size))
+        start += size
+        size = min(2 * size, most)
+    return out
+
+
 def run_queue(queue: Queue, job: JobConfig, client: ClientFactory, fresh_keys: bool = False) -> RunReport:
     """Score and append every chunk, up to the first daily quota error of the primary model.
 
@@ -147,9 +157,9 @@ def run_queue(queue: Queue, job: JobConfig, client: ClientFactory, fresh_keys: b
     work = tuple(c for c in (POS, "analysis", *ROUTE_COLUMNS) if c not in queue.source_columns)
     written, sink = 0, _Sinks(job, names)
     calls = _Calls(job, client, None if fresh_keys else known_calls(queue, job))
-    for start in range(0, queue.count, job.commit_rows):
+    for start, size in chunk_bounds(queue.count, job.commit_rows, job.first_wave_rows):
         with scratch_scope(queue.ordered.table.sparkSession):
-            count = min(job.commit_rows, queue.count - start)
+            count = min(size, queue.count - start)
             chunk = queue.ordered.slice(start, start + count, POS)
             scored, stop = first_pass(chunk, count, calls)
             if stop is not None:

@@ -554,6 +554,8 @@ FESTIVE = "why is null and ('0x' || substr(h, 2, 1))::int % 4 = 0"
 oracle("resume_run", f"select {PLAIN_ROWS}, 0::bigint as left_over from answers", *PASSES)
 oracle("resume_after_crash", f"select {PLAIN_ROWS}, 0::bigint as repeated_calls from answers", *ONCE)
 oracle("run_quota_stop", f"select {SPENT_ROWS}, stop as stopped_at from stopping where pos <= coalesce(stop, pos)", *QUOTA)
+oracle("quota_waves", f"select {SPENT_ROWS}, stop as stopped_at, true as within_one_wave from stopping where pos <= coalesce(stop, pos)",
+       *QUOTA)
 oracle("quota_resume", f"select {SPENT_ROWS}, 0::bigint as answered_twice from stopping", *QUOTA)
 oracle(
     "run_two_pass",

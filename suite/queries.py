@@ -14,7 +14,7 @@ from glossa.functions.cells import cell_text, json_text
 from glossa.operators import attempts, gate, media, positions, queue, quota, rate, results
 from glossa.operators.annotate import annotate, second_pass_rows, second_prompt
 from glossa.plans import prepare as plans
-from glossa.plans.run import run_job
+from glossa.plans.run import chunk_bounds, run_job
 from glossa.plans.scoring import per_row_client
 from glossa.schema_spec import schema_spec
 from glossa.session import configure, scratch_path, write_scratch
@@ -692,6 +692,24 @@ def run_quota_stop(spark, sf):
     return read_results(spark, job.results_path).select(*RUN_COLUMNS, stop)
 
 
+@query
+def quota_waves(spark, sf):
+    """A run in waves of 4, 8, 16 ... rows whose primary model meets its daily quota at position 20.
+
+    The rows up to the stop, the stop, and whether the calls made behind it fit in one wave.
+    """
+    known = posts_table(spark, sf)
+    posts, manifest = once_per_key(known.select("ordinal", *JOB.key_columns)), store(known)
+    path = scratch_path(spark, "waves") + "/table"
+    job = _job(path, stop_on_primary_daily_quota=True, rows_per_task=20, first_wave_rows=4)
+    report = run_job(posts, job, stub_client(daily_after=QUOTA_AT), manifest)
+    calls = read_attempts(spark, job.log_path).filter("called and pass = 1 and model = 'primary'")
+    behind = calls.filter(F.col("k") > report.stopped_at).count() if report.stopped_at is not None else 0
+    wave = max(size for start, size in chunk_bounds(10**9, job.commit_rows, 4) if start <= QUOTA_AT < start + size)
+    stop = F.lit(report.stopped_at).cast("long").alias("stopped_at")
+    return read_results(spark, job.results_path).select(*RUN_COLUMNS, stop, F.lit(behind <= wave).alias("within_one_wave"))
+
+
 @query
 def quota_resume(spark, sf):
     """The next run after a quota stop scores the rest and calls nothing that was answered."""

@@ -43,3 +43,12 @@ def test_a_run_with_a_rate_calls_every_row_once(spark, tmp_path, sf_dir):
     run_job(posts, job, per_row_client(call, keep_waits=False))
     log = read_attempts(spark, job.log_path).filter("called").collect()
     assert log and len(log) <= 30
+
+
+def test_waves_double_up_to_a_chunk():
+    from glossa.plans.run import chunk_bounds
+
+    assert chunk_bounds(50, 16, 3) == [(0, 3), (3, 6), (9, 12), (21, 16), (37, 16)]
+    assert chunk_bounds(10, 4) == [(0, 4), (4, 4), (8, 4)]
+    assert chunk_bounds(0, 4, 2) == []
+    assert sum(size for _, size in chunk_bounds(10**6, 1000, 1)) >= 10**6
