@@ -28,7 +28,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names.
+    """The folder ``spark.checkpoint.dir`` names; on a cluster with its scheme (that of ``fs.defaultFS`` if none is given).
 
     Only a local session without the setting gets a temporary folder of its own;
     on a cluster executors could not see it.
@@ -36,7 +36,12 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if root:
-        return root.rstrip("/")
+        root = root.rstrip("/")
+        if "://" not in root and not root.startswith("file:") and not sc.master.startswith("local"):
+            # Shared by agreement, whatever its scheme: what is derived from it is no path of one machine.
+            fs, where = _file_system(spark, root)
+            root = str(fs.makeQualified(where).toString())
+        return root
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     app = sc.applicationId

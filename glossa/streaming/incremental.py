@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -22,6 +24,10 @@ STATE_STORE = {
 }
 
 
+# Executors cannot import the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class FirstOfKey(StatefulProcessor):
     """Lets through the first row (smallest ``ordinal``) of each content key the stream has not seen yet.
 

@@ -578,3 +578,28 @@ def test_stream_state_later_batches_read_neither_results_nor_log(spark, posts, m
     keys = with_content_key(posts, JOB.key_columns).select(KEY).distinct().count()
     # Every key once at most, though each arrived twice or three times; rows that a run drops (first per raw URL) stay out.
     assert 0 < got.count() == got.select(KEY).distinct().count() <= keys
+
+
+def test_scratch_paths_work_where_the_checkpoint_folder_has_no_scheme(spark, monkeypatch):
+    from glossa.session import scratch_path, scratch_root, shared_path
+    from suite.queries import QUERIES
+
+    plain = scratch_root(spark)
+    assert "://" not in plain and not plain.startswith("file:")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert scratch_root(spark) == f"file:{plain}"
+    assert shared_path(spark, scratch_path(spark, "any") + "/table")
+    assert QUERIES["media_lookup"](spark, "/root/testdata/sf0.001").count() == 50
+
+
+def test_what_tasks_run_does_not_need_the_package():
+    """Loaded in a process that finds neither ``glossa`` nor ``suite``."""
+    import subprocess
+
+    from glossa.streaming.incremental import FirstOfKey
+    from suite.queries import two_pass_client
+
+    code = "import pickle, sys; x = pickle.loads(sys.stdin.buffer.read()); x[0](); x[1]('ordinal')"
+    sent = cloudpickle.dumps((two_pass_client(), FirstOfKey))
+    done = subprocess.run([sys.executable, "-c", code], input=sent, capture_output=True, cwd="/tmp", env={"PATH": ""})
+    assert done.returncode == 0, done.stderr.decode()
