@@ -8,7 +8,8 @@ is skipped by a binary search in the sorted list.
 
 Two words at distance one, both of at least ``least`` >= 6 code points, share their first three or their
 last three code points; the vocabulary is therefore split into blocks by either, each block a Spark group,
-and every pair is found in at least one block.
+and every pair is found in at least one block. Within a block only words that share half their code points,
+and whose lengths differ by one at most, are scanned.
 """
 
 from __future__ import annotations
@@ -62,38 +63,39 @@ def one_edit(query: str, words: list[str], start: int = 0, skip: str | None = No
 
     Only ``words[start:]`` are scanned, and none that starts with ``skip`` (a range of the sorted list).
     """
-    m = len(query)
-    far = 2
-    found = []
-    # rows[k]: distances of the candidate's prefix of length k to query[:j], for j within one of k.
-    rows = [list(range(m + 1))]
-    for j in range(m + 1):
-        rows[0][j] = min(j, far)
+    found: list[str] = []
+    if start >= len(words):
+        return found
+    m, far = len(query), 2
+    # Cells behind the query's end are never read by those before it.
+    padded = query + "\0\0"
+    # rows[k]: distances of the candidate's prefix of length k to query[:j], for j = k - 1, k and k + 1.
+    rows = [(far, 0, 1)]
     prefix = ""
-    i = start
-    while i < len(words):
+    i, last = start, len(words)
+    while i < last:
         word = words[i]
         if skip and word.startswith(skip):
             i = bisect.bisect_left(words, skip + _TOP, i + 1)
             continue
         common = 0
-        top = min(len(prefix), len(word))
-        while common < top and prefix[common] == word[common]:
+        for x, y in zip(prefix, word):
+            if x != y:
+                break
             common += 1
         del rows[common + 1:]
         prefix = word
+        low, mid, high = rows[common]
         pruned = -1
-        for k in range(common + 1, len(word) + 1):
-            above = rows[k - 1]
-            row = [far] * (m + 1)
+        for k in range(common + 1, min(len(word), m + 1) + 1):
             char = word[k - 1]
-            for j in range(max(0, k - 1), min(m, k + 1) + 1):
-                best = above[j] + 1
-                if j:
-                    best = min(best, row[j - 1] + 1, above[j - 1] + (query[j - 1] != char))
-                row[j] = min(best, far)
-            rows.append(row)
-            if min(row[max(0, k - 1): min(m, k + 1) + 1] or [far]) >= far:
+            # Each cell: one deletion or insertion more, or the diagonal with a replacement if the code points differ.
+            below = min(mid + 1, low + (padded[k - 2] != char), far)
+            on = min(high + 1, below + 1, mid + (padded[k - 1] != char), far)
+            above = min(on + 1, high + (padded[k] != char), far)
+            low, mid, high = below, on, above
+            rows.append((low, mid, high))
+            if low >= far and mid >= far and high >= far:
                 pruned = k
                 break
         if pruned >= 0:
@@ -102,33 +104,47 @@ def one_edit(query: str, words: list[str], start: int = 0, skip: str | None = No
             prefix = word[:pruned]
             del rows[pruned:]
             continue
-        if rows[len(word)][m] == 1:
+        if abs(m - len(word)) <= 1 and rows[len(word)][m - len(word) + 1] == 1:
             found.append(word)
+        # Rows end behind the query's end.
+        prefix = word[:len(rows) - 1]
         i += 1
     return found
 
 
 def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block, each found once: from its smaller word, scanning only the words after it.
+    """Pairs of a block, each found once: from its shorter word, or of two of one length from the smaller.
 
-    A block of shared last code points (side 1) skips words that share the query's first code points too:
-    those pairs are found in the block of their first code points.
+    Of a pair whose shorter word has ``size`` code points, the edit lies behind the first ``size // 2`` (then the words
+    share those) or among them (then they share the last ``size - size // 2``). So a block is cut into parts by
+    ``size`` and by that many first code points, or last ones where the block shares its last (side 1), and a
+    word is scanned against its part alone. Side 1 skips words that share the query's first code points
+    too: those pairs are found in the block of their first code points.
     """
-    words = sorted(block["word"].tolist())
     backward = bool(len(block)) and int(block["_side"].iloc[0]) == 1
+    parts: dict[tuple[int, str], tuple[list[str], list[str]]] = {}
+    for word in sorted(block["word"].tolist()):
+        for size in (len(word), len(word) - 1):
+            half = max(BLOCK, size // 2)
+            shared = word[-max(BLOCK, size - half):] if backward else word[:half]
+            parts.setdefault((size, shared), ([], []))[len(word) - size].append(word)
     left, right = [], []
-    for at, query in enumerate(words):
-        for other in one_edit(query, words, at + 1, query[:BLOCK] if backward else None):
-            left.append(query)
-            right.append(other)
+    for (size, _), (words, longer) in parts.items():
+        half = max(BLOCK, size // 2)
+        for at, query in enumerate(words):
+            skip = query[:half] if backward else None
+            for near in (one_edit(query, words, at + 1, skip), one_edit(query, longer, 0, skip)):
+                for other in near:
+                    left.append(min(query, other))
+                    right.append(max(query, other))
     return pd.DataFrame({"a": pd.Series(left, dtype=object), "b": pd.Series(right, dtype=object)})
 
 
 def near_pairs(vocab: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b in code-point order, of vocabulary words exactly one edit apart; each pair once.
 
-    A pair whose words share their first ``BLOCK`` code points comes from that block alone; any other pair
-    (its edit among the first code points) shares the last ``BLOCK`` and comes from that block alone.
+    A pair whose words share the first half of the shorter one comes from the block of their first ``BLOCK`` code
+    points alone; any other pair (its edit in that half) from the block of their last ``BLOCK`` alone.
     """
     blocks = vocab.select("word", F.substring("word", 1, BLOCK).alias("_block"), F.lit(0).alias("_side")).unionByName(
         vocab.select("word", F.substring(F.reverse("word"), 1, BLOCK).alias("_block"), F.lit(1).alias("_side"))

@@ -44,3 +44,23 @@ def test_forms_roots_ties_nulls_and_clashes(spark, documents):
 
 def test_empty_table(spark, documents):
     assert spelling_variants(documents([]).limit(0)).collect() == []
+
+
+def test_words_that_share_only_three_code_points_are_not_scanned(monkeypatch):
+    import pandas as pd
+
+    from glossa.llm import spelling
+
+    seen, scan = [0], spelling.one_edit
+
+    def counted(query, words, start=0, skip=None):
+        seen[0] += max(0, len(words) - start)
+        return scan(query, words, start, skip)
+
+    monkeypatch.setattr(spelling, "one_edit", counted)
+    letters = "abcdefghijklmnopqrst"
+    words = [f"abc{x}{y}klmno" for x in letters for y in letters] + ["abcaaklmnoo", "abcaaklmn", "abcaaklmnx"]
+    pairs = spelling._block_pairs(pd.DataFrame({"word": words, "_side": 0}))
+    assert {("abcaaklmn", "abcaaklmno"), ("abcaaklmno", "abcaaklmnoo"), ("abcaaklmno", "abcaaklmnx")} <= set(zip(pairs["a"], pairs["b"]))
+    # All against all would be 81,003.
+    assert seen[0] < 500
