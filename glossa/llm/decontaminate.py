@@ -141,7 +141,8 @@ def canonical(text: str | None, vocabulary: Vocabulary) -> Canonical:
     text = text or ""
     if _DIGIT.search(text):
         text = _JOINED.sub(r"\1 \2", text)
-    numbers = np.array(list(map(vocabulary.__getitem__, text.split())), dtype=np.int64)
+    words = text.split()
+    numbers = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
     literal, kind = vocabulary.lookup(numbers)
     if not literal.all():
         keep = literal != 0
@@ -286,16 +287,19 @@ def passages(text: str | None, table: WindowTable, vocabulary: Vocabulary, setti
     ids_of = (doc.literal, doc.template ^ np.uint64(0xA5A5), doc.literal ^ np.uint64(0x5EED))
     for kind, width in table.widths:
         hashes = window_hashes(ids_of[kind], width)
-        for at in np.flatnonzero(table.maybe[(hashes >> np.uint64(44)).astype(np.int64)]):
-            low = np.searchsorted(table.hashes, hashes[at], "left")
-            high = np.searchsorted(table.hashes, hashes[at], "right")
+        at_all = np.flatnonzero(table.maybe[(hashes >> np.uint64(44)).astype(np.int64)])
+        # All places at once: most pass the filter by chance and are in no window of the benchmark.
+        lows = np.searchsorted(table.hashes, hashes[at_all], "left")
+        highs = np.searchsorted(table.hashes, hashes[at_all], "right")
+        met = np.flatnonzero(lows < highs)
+        for at, low, high in zip(at_all[met].tolist(), lows[met].tolist(), highs[met].tolist()):
             for r in range(low, high):
                 if table.kind[r] == kind:
                     item, j = int(table.item[r]), int(table.place[r])
                     if kind == 2:
-                        seeds[(item, 0)].add(int(at) - j)
+                        seeds[(item, 0)].add(at - j)
                     else:
-                        hits[(item, kind)][int(at) - j].append(j)
+                        hits[(item, kind)][at - j].append(j)
                         width_of[item] = width
     found = {}
     for item, kind in sorted({*hits, *seeds}):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from glossa.llm.decontaminate import DecontaminationSettings, contaminated, drop_contaminated
@@ -118,3 +119,21 @@ def test_items_that_share_an_id_or_have_none(spark, documents):
             (9, 7, "literal", 1.0), (9, 7, "literal", 1.0),
         ]
         assert {r.doc_id for r in drop_contaminated(docs, items, settings).collect()} == {6}
+
+
+def test_places_of_a_text_are_looked_up_together(monkeypatch):
+    from glossa.llm import decontaminate as d
+
+    settings = DecontaminationSettings()
+    table = d.window_table([(1, ITEMS[0][1]), (2, ITEMS[1][1])], settings)
+    table.maybe[:] = True
+    calls, search = [0], np.searchsorted
+
+    def counted(*args, **kwargs):
+        calls[0] += 1
+        return search(*args, **kwargs)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    got = d.passages(f"{CLEAN} {ITEMS[0][1]} {CLEAN}", table, d.Vocabulary(), settings)
+    assert [hit[0] for hit in got] == [0]
+    assert calls[0] <= 2 * len(table.widths)
