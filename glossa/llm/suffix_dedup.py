@@ -5,7 +5,7 @@
 2. Hashes that occur in one document alone are set aside.
 3. The distinct segments of the other hashes go to tasks by hash. A task cuts them into shards, builds each
    shard's transform, and merges the transforms by refining their interleave (Holt and
-   McMillan, 2014), here two symbols at a time. Suffixes are not sorted again. After ``length`` rounds the blocks of the interleave are the
+   McMillan, 2014), here several symbols at a time. Suffixes are not sorted again. After ``length`` symbols the blocks of the interleave are the
    intervals of suffixes with a common prefix of that length: the repeated windows, and the first document of each.
 4. Each document's windows are looked up, and what they cover is taken out.
 """
@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,51 +48,70 @@ class SuffixSettings:
 
 
 _KMER = 16
+# Steps a round of the merge takes at most, and the pairs of a symbol and a rank that are numbered by a table.
+_MOST_STEPS = 10
+_RANKED = 1 << 23
+_STRETCH = 1 << 15  # places hashed at once: their numbers stay in a core's cache
 
 
 def _kmer_hashes(buf: np.ndarray) -> np.ndarray:
-    """Hash of the 16 bytes at each place."""
-    two = buf[:-1].astype(np.uint64) | (buf[1:].astype(np.uint64) << np.uint64(8))
-    four = two[:-2] | (two[2:] << np.uint64(16))
-    eight = four[:-4] | (four[4:] << np.uint64(32))
-    return mix(eight[:-8] * np.uint64(0x9E3779B97F4A7C15) + mix(eight[8:]))
+    """Hash of the 16 bytes at each place. Each half is folded first, so no two bytes reach the top bits only."""
+    out = np.empty(max(0, len(buf) - _KMER + 1), dtype=np.uint64)
+    for at in range(0, len(out), _STRETCH):
+        part = np.ascontiguousarray(buf[at : at + _STRETCH + _KMER - 1])
+        eight = np.ndarray(len(part) - 7, dtype="<u8", buffer=part, strides=(1,)).astype(np.uint64)
+        eight ^= eight >> np.uint64(32)
+        x = eight[:-8] * np.uint64(0x9E3779B97F4A7C15)
+        eight *= np.uint64(0xD6E8FEB86659FD93)
+        x += eight[8:]
+        x ^= x >> np.uint64(32)
+        np.multiply(x, np.uint64(0xBF58476D1CE4E5B9), out=out[at : at + len(x)])
+    return out
 
 
 def _window_minima(buf: np.ndarray, length: int) -> np.ndarray:
     """Smallest hash of the 16-byte strings in each window of ``length`` bytes."""
-    least = _kmer_hashes(buf)
-    width, wanted = 1, length - _KMER + 1
-    while width * 2 <= wanted:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    rest = wanted - width
-    return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    out = np.empty(max(0, len(buf) - length + 1), dtype=np.uint64)
+    wanted = length - _KMER + 1
+    for at in range(0, len(out), _STRETCH):
+        least, width = _kmer_hashes(buf[at : at + _STRETCH + length - 1]), 1
+        while width * 2 <= wanted:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        rest = wanted - width
+        out[at : at + _STRETCH] = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    return out
 
 
 def segments(texts: list[bytes], settings: SuffixSettings) -> tuple[np.ndarray, ...]:
     """(text, smallest hash, content hash, start, windows) of the segments of some texts."""
     length = settings.length
     buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    ends = np.cumsum([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    ends = np.cumsum(sizes)
     n = len(buf) - length + 1
     if n < 1:
         none = np.empty(0, np.int64)
         return none, none.view(np.uint64), none.view(np.uint64), none, none
     least = _window_minima(buf, length)
-    text = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))[:n]
-    inside = np.arange(n) + length <= ends[text]
-    cut = np.flatnonzero((least[1:] != least[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])) + 1
-    start = np.concatenate([[0], cut])
-    count = np.diff(np.concatenate([start, [n]]))
-    start, count = start[inside[start]], count[inside[start]]
+    # A segment also ends where the windows of its text begin or stop.
+    cut = np.empty(n, dtype=bool)
+    cut[0] = True
+    np.not_equal(least[1:], least[:-1], out=cut[1:])
+    edges = np.concatenate([ends - sizes, ends - np.minimum(sizes, length - 1)])
+    cut[edges[edges < n]] = True
+    start = np.flatnonzero(cut)
+    count = np.diff(start, append=n)
+    inside = start + length <= ends[np.searchsorted(ends, start, side="right")]
+    start, count = start[inside], count[inside]
     if len(count) and count.max() > settings.most_windows:
         parts = -(-count // settings.most_windows)
         place = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         start, whole = np.repeat(start, parts) + place * settings.most_windows, np.repeat(count, parts)
         count = np.minimum(whole - place * settings.most_windows, settings.most_windows)
     content = range_hashes(buf, start, start + count + length - 1)
-    begin = ends[text[start]] - np.array([len(t) for t in texts])[text[start]]
-    return text[start], least[start], content, start - begin, count
+    text = np.searchsorted(ends, start, side="right")
+    return text, least[start], content, start - (ends - sizes)[text], count
 
 
 def _pieces(texts: list[bytes], settings: SuffixSettings) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -105,6 +125,13 @@ def _pieces(texts: list[bytes], settings: SuffixSettings) -> Iterator[tuple[list
             yield list(range(a, b)), [0] * (b - a), texts[a:b]
 
 
+def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts): an order that brings equal values together, and where in it each value begins."""
+    order = np.argsort(values)
+    ordered = values[order]
+    return order, np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
 def _census(rows: DataFrame, settings: SuffixSettings) -> DataFrame:
     """(h, s, first, segs, n): segments of the hashes that occur in several documents.
 
@@ -121,15 +148,14 @@ def _census(rows: DataFrame, settings: SuffixSettings) -> DataFrame:
                 if not len(h):
                     continue
                 doc = ids[np.array(members)[text]]
-                order = np.lexsort((doc, s, h))
-                h, s, doc, n = h[order], s[order], doc[order], n[order]
-                new = np.concatenate([[True], (h[1:] != h[:-1]) | (s[1:] != s[:-1])])
-                at = np.flatnonzero(new)
-                last = np.concatenate([at[1:], [len(h)]]) - 1
+                order, at = _groups(s)
+                lead, doc = order[at], doc[order]
+                first = np.minimum.reduceat(doc, at)
+                several = first != np.maximum.reduceat(doc, at)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h[at].view(np.int64)), pa.array(s[at].view(np.int64)), pa.array(doc[at]),
-                        pa.array((n[at] * 2 + (doc[at] != doc[last])).astype(np.int32)),
+                        pa.array(h[lead].view(np.int64)), pa.array(s[lead].view(np.int64)), pa.array(first),
+                        pa.array((n[lead] * 2 + several).astype(np.int32)),
                     ],
                     names=["h", "s", "doc", "n2"],
                 )
@@ -166,14 +192,12 @@ def _occurrences(rows: DataFrame, repeated: np.ndarray, compared: np.ndarray, se
                 if not hit.any():
                     continue
                 text, h, s, start, n = text[hit], h[hit], s[hit], start[hit], n[hit]
-                _, lead = np.unique(s, return_index=True)
-                wanted = np.zeros(len(s), dtype=bool)
-                wanted[lead] = True
-                wanted &= passes(h, may_differ)
-                seg = [
-                    parts[t][a : a + c + length - 1] if w else None
-                    for t, a, c, w in zip(text.tolist(), start.tolist(), n.tolist(), wanted.tolist())
-                ]
+                order, at = _groups(s)
+                lead = order[at]
+                wanted = np.sort(lead[passes(h[lead], may_differ)])
+                seg: list[bytes | None] = [None] * len(s)
+                for i, t, a, c in zip(wanted.tolist(), text[wanted].tolist(), start[wanted].tolist(), n[wanted].tolist()):
+                    seg[i] = parts[t][a : a + c + length - 1]
                 member = np.array(members)[text]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -188,7 +212,7 @@ def _occurrences(rows: DataFrame, repeated: np.ndarray, compared: np.ndarray, se
 
 @dataclass
 class Shard:
-    """Rotations of some strings in order, to a depth of 56 symbols; 0 ends a string."""
+    """Rotations of some strings in order, to a depth of at least 56 symbols; 0 ends a string."""
 
     bwt: np.ndarray
     order: np.ndarray  # rotation -> place in the concatenated symbols
@@ -197,48 +221,78 @@ class Shard:
 def build_shard(symbols: np.ndarray, string_start: np.ndarray, string_size: np.ndarray) -> Shard:
     """Transform of strings given as concatenated symbols (bytes), each string with its end symbol."""
     n = len(symbols)
-    begin, size = np.repeat(string_start, string_size), np.repeat(string_size, string_size)
-    offset = np.arange(n) - begin
-    following = begin + (offset + 1) % size
-    # The first seven symbols in one number, then twice as many in each step.
+    following = np.arange(1, n + 1)
+    following[string_start + string_size - 1] = string_start
+    # The first seven symbols in one number, then the ranks of three such runs (two, if three have no room).
     rank, ahead = symbols.astype(np.int64), following
     for _ in range(6):
         rank, ahead = (rank << 8) | symbols[ahead], following[ahead]
-    _, rank = np.unique(rank, return_inverse=True)
-    for step in (7, 14, 28):
-        _, rank = np.unique(rank * n + rank[begin + (offset + step) % size], return_inverse=True)
-    order = np.argsort(rank, kind="stable")
-    before = begin[order] + (offset[order] - 1) % size[order]
-    return Shard(symbols[before], order)
+    known, runs = 7, 3 if n <= 1 << 21 else 2
+    while known < 56:
+        order, first = _groups(rank)
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.repeat(np.arange(len(first)), np.diff(first, append=n))
+        own, step = rank, ahead
+        for _ in range(runs - 1):
+            rank, ahead = rank * n + own[ahead], step[ahead]
+        known *= runs
+    order = np.argsort(rank)
+    before = np.empty_like(symbols)
+    before[following] = symbols
+    return Shard(before[order], order)
+
+
+def _steps(bwt: np.ndarray, back: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(symbols, row) for one, two and more steps back, ``most`` at most: the rank of the symbols before each row, in
+    order, and the row of the rotation that begins with them. As many steps as have ranks of 16 bits."""
+    steps = [(bwt.astype(np.uint16), back)]
+    size = int(bwt.max()) + 1
+    known = size
+    while len(steps) < most:
+        ranks, row = steps[-1]
+        if size * known > _RANKED:
+            break
+        pair = bwt.take(row).astype(np.uint32) * np.uint32(known) + ranks
+        used = np.zeros(size * known, dtype=bool)
+        used[pair] = True
+        known = int(np.count_nonzero(used))
+        if known > 1 << 16:
+            break
+        rank = np.cumsum(used, dtype=np.uint32) - np.uint32(1)
+        steps.append((rank.take(pair).astype(np.uint16), back.take(row)))
+    return steps
 
 
 def merge_shards(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Interleave of the shards by the first ``depth`` symbols: (row, block) per merged place.
 
     Rows count the shards' rotations one shard after another. Each round moves every place to the bucket of
-    its two preceding symbols, in order, and the row there to the rotation that begins with them; within a shard
-    rows keep their order. Places of one block have a common prefix of twice as many symbols as there
-    were rounds. Stops early when a round splits no block.
+    its preceding symbols, in order, and the row there to the rotation that begins with them; within a shard
+    rows keep their order. Places of one block have a common prefix of all symbols of the rounds so far.
+    Stops early when a round splits no block.
     """
-    if depth % 2:
-        raise ValueError("the depth must be even")
     bwt = np.concatenate([s.bwt for s in shards])
     back = np.empty(len(bwt), dtype=np.int32)  # row -> row of the rotation that begins one symbol earlier
     at = 0
     for s in shards:
         back[at + np.argsort(s.bwt, kind="stable")] = np.arange(at, at + len(s.bwt), dtype=np.int32)
         at += len(s.bwt)
-    pair = (bwt[back].astype(np.uint16) << np.uint16(8)) | bwt
-    back = back[back]
-    row = np.arange(len(bwt), dtype=np.int32)
-    block = np.zeros(len(bwt), dtype=np.int32)
+    steps = _steps(bwt, back, min(depth, _MOST_STEPS))
+    rounds, rest = divmod(depth, len(steps))
+    steps = {size: (steps[size - 1][0], steps[size - 1][1].astype(np.int64)) for size in {len(steps), rest} - {0}}
+    most = max(steps)
+    row = np.arange(len(bwt))
+    block = np.zeros(len(bwt), dtype=np.int64)
     count = 1
-    for _ in range(depth // 2):
-        symbol = pair[row]
+    for size in [most] * rounds + [rest] * bool(rest):
+        symbols, back = steps[size]
+        symbol = symbols.take(row)
         move = np.argsort(symbol, kind="stable")
-        symbol, block, row = symbol[move], block[move], back[row[move]]
-        split = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        block = np.concatenate([[0], np.cumsum(split, dtype=np.int32)])
+        block <<= 16
+        block |= symbol
+        key, row = block.take(move), back.take(row).take(move)
+        block[0] = 0
+        np.cumsum(key[1:] != key[:-1], out=block[1:])
         if block[-1] + 1 == count:
             break
         count = int(block[-1]) + 1
@@ -271,9 +325,9 @@ def first_documents(strings: list[bytes], first: np.ndarray, settings: SuffixSet
     place, block = place[whole], block[whole]
     new = np.concatenate([[True], block[1:] != block[:-1]])
     least = np.minimum.reduceat(first[owner[place]], np.flatnonzero(new))
-    document = least[np.cumsum(new) - 1]
-    back = np.argsort(place)
-    return place[back], document[back]
+    document, window = np.empty(len(joined), dtype=least.dtype), np.zeros(len(joined), dtype=bool)
+    document[place], window[place] = least[np.cumsum(new) - 1], True
+    return np.flatnonzero(window), document[window]
 
 
 def _may_share(h: np.ndarray, strings: list[bytes], settings: SuffixSettings) -> np.ndarray:
@@ -296,19 +350,20 @@ def _may_share(h: np.ndarray, strings: list[bytes], settings: SuffixSettings) ->
     # Every place counts: a window may hold any of several such k-mers of a string.
     found, h = own[at], h.view(np.uint64)[own[at]]
     keep = np.zeros(len(strings), dtype=bool)
+    ranges = []
     for i in range(4):
         low, high = at - i * quarter, at + _KMER + max(0, around - (i + 1) * quarter + 1)
         fits = (low >= starts[found]) & (high <= ends[found])
-        if not fits.any():
+        ranges.append((low[fits], high[fits], h[fits], found[fits]))
+    hashed = range_hashes(buf, np.concatenate([r[0] for r in ranges]), np.concatenate([r[1] for r in ranges]))
+    for _, _, least, holder in ranges:
+        key, hashed = mix(hashed[: len(least)] + least), hashed[len(least) :]
+        if not len(key):
             continue
-        key, holder = mix(range_hashes(buf, low[fits], high[fits]) + h[fits]), found[fits]
-        # Stable, so the strings of a key stay in order and the outermost tell whether there are several.
-        order = np.argsort(key, kind="stable")
-        key, holder = key[order], holder[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
-        several = holder[first] != holder[first + size - 1]
-        keep[holder[np.repeat(several, size)]] = True
+        order, first = _groups(key)
+        holder = holder[order]
+        several = np.minimum.reduceat(holder, first) != np.maximum.reduceat(holder, first)
+        keep[holder[np.repeat(several, np.diff(first, append=len(key)))]] = True
     return keep
 
 
@@ -408,17 +463,33 @@ def repeated_spans(docs: DataFrame, settings: SuffixSettings = SuffixSettings())
     return spans
 
 
-def _cut(data: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
-    """What is left of ``data``, and how many runs were taken out."""
-    kept, runs, at, end = [], 0, 0, -1
-    for a, b in sorted((x["a"], x["b"]) for x in spans or ()):
-        if a > end:
-            kept.append(data[at:a])
-            runs += 1
-        end = max(end, b)
-        at = end
+def _merged(spans: pa.Array) -> Iterator[list[tuple[int, int]]]:
+    """Per row of ``spans`` (lists of start ``a`` and end ``b``, null: none) its maximal runs, in order."""
+    sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+    a, b = (x.to_numpy() for x in spans.flatten().flatten())
+    if not len(a):
+        yield from ([] for _ in sizes)
+        return
+    # Rows one after another on one line, none of which reaches into the next.
+    base = np.repeat(np.arange(len(sizes)), sizes) * (int(b.max()) + 1)
+    order = np.argsort(a + base)
+    a, reach, base = (a + base)[order], np.maximum.accumulate((b + base)[order]), base[order]
+    first = np.flatnonzero(np.concatenate([[True], a[1:] > reach[:-1]]))
+    last = np.append(first[1:], len(a)) - 1
+    runs = list(zip((a - base)[first].tolist(), (reach - base)[last].tolist()))
+    ends = np.searchsorted(first, np.cumsum(sizes)).tolist()
+    for low, high in zip([0, *ends], ends):
+        yield runs[low:high]
+
+
+def _cut(data: bytes, runs: list[tuple[int, int]]) -> bytes:
+    """What is left of ``data`` without some runs of it, given in order."""
+    kept, at = [], 0
+    for a, b in runs:
+        kept.append(data[at:a])
+        at = b
     kept.append(data[at:])
-    return b"".join(kept), runs
+    return b"".join(kept)
 
 
 def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(), with_kept: bool = False) -> DataFrame:
@@ -459,12 +530,12 @@ def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(),
             batch = batch if joined else having(batch, False)
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                spans_of = part.column("spans").to_pylist() if joined else [None] * part.num_rows
+                runs_of = _merged(part.column("spans")) if joined else [[]] * part.num_rows
                 out = []
-                for text, cuts in zip(part.column("text").to_pylist(), spans_of):
+                for text, runs in zip(part.column("text").to_pylist(), runs_of):
                     data = utf8(text)
-                    kept, runs = _cut(data, cuts)
-                    out.append((len(data), len(data) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
+                    kept = _cut(data, runs)
+                    out.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
                 arrays = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]

@@ -4,10 +4,11 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from glossa.llm import hashing
+from glossa.llm import bitmap, hashing, suffix_dedup
 from glossa.llm.components import connected_components
 from glossa.llm.near_dup import NearDupSettings, min_hashes, most_differing_bits, near_duplicates, odd_sketch, _constants
 from glossa.llm.suffix_dedup import SuffixSettings, remove_repeats
@@ -165,3 +166,81 @@ def test_suffix_odd_rows(documents):
     assert remove_repeats(documents(rows).limit(0)).collect() == []
     with pytest.raises(ValueError):
         remove_repeats(documents(rows), SuffixSettings(length=20))
+
+
+def shards_of(strings, shard):
+    """Shards of strings over the symbols 1 and up, and the rotations of all strings by row."""
+    shards, rotations = [], []
+    for at in range(0, len(strings), shard):
+        part = [s + b"\0" for s in strings[at : at + shard]]
+        sizes = np.array([len(s) for s in part])
+        starts = np.cumsum(sizes) - sizes
+        shards.append(suffix_dedup.build_shard(np.frombuffer(b"".join(part), dtype=np.uint8), starts, sizes))
+        turned = [(s[i:] + s[:i]) * 60 for s in part for i in range(len(s))]
+        rotations += [turned[place] for place in shards[-1].order]
+    return shards, rotations
+
+
+@pytest.mark.parametrize("symbols, most", [(2, 10), (4, 8), (100, 4), (200, 3)])
+@pytest.mark.parametrize("depth", [1, 7, 50])
+def test_suffix_merge_takes_several_symbols_a_round(monkeypatch, symbols, most, depth):
+    rng = random.Random(symbols)
+    base = [bytes(rng.randrange(1, symbols + 1) for _ in range(90)) for _ in range(12)]
+    strings = [b[rng.randrange(30) : rng.randrange(50, 90)] for b in base for _ in range(10)]
+    shards, rotations = shards_of(strings, 25)
+    assert all(r[:50] <= s[:50] for a, b in zip([0, *np.cumsum([len(x.order) for x in shards])], np.cumsum([len(x.order) for x in shards]))
+               for r, s in zip(rotations[a : b - 1], rotations[a + 1 : b]))
+    taken, steps = [], suffix_dedup._steps
+    monkeypatch.setattr(suffix_dedup, "_steps", lambda *args: taken.append(steps(*args)) or taken[-1])
+    row, block = suffix_dedup.merge_shards(shards, depth)
+    assert sorted(row.tolist()) == list(range(len(rotations)))
+    merged = [rotations[r][:depth] for r in row]
+    assert merged == sorted(merged)
+    assert (np.diff(block) == [a != b for a, b in zip(merged, merged[1:])]).all()
+    assert len(taken[0]) >= min(most, depth)
+
+
+def test_suffix_segments_hold_each_window_once(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_STRETCH", 64)
+    rng = random.Random(8)
+    texts = [bytes(rng.choice(b"abc \n") for _ in range(rng.choice([0, 1, 49, 50, 51, 64, 150, 700]))) for _ in range(60)]
+    texts += [b"", b"z" * 300, texts[7], texts[7], b"", b""]
+    for settings in (SuffixSettings(), SuffixSettings(length=32, most_windows=5)):
+        text, h, s, start, n = suffix_dedup.segments(texts, settings)
+        windows = [(t, i) for t, a, c in zip(text.tolist(), start.tolist(), n.tolist()) for i in range(a, a + c)]
+        assert sorted(windows) == [(t, i) for t, x in enumerate(texts) for i in range(len(x) - settings.length + 1)]
+        assert n.max() <= settings.most_windows
+        least, content = {}, {}
+        for t, x, y, a, c in zip(text.tolist(), h.tolist(), s.tolist(), start.tolist(), n.tolist()):
+            for i in range(a, a + c):
+                assert least.setdefault(texts[t][i : i + settings.length], x) == x
+            assert content.setdefault(texts[t][a : a + c + settings.length - 1], (x, y)) == (x, y)
+        assert len({y for _, y in content.values()}) == len(content)
+
+
+def test_suffix_runs_of_several_rows_at_once():
+    rng = random.Random(9)
+    rows = [[(a, a + rng.randrange(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randrange(9)))] for _ in range(200)]
+    rows = [[], None, *rows, None, [(0, 5), (5, 9)], []]
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    spans = pa.array([r if r is None else [{"a": a, "b": b} for a, b in r] for r in rows], kind)
+    wanted = []
+    for r in rows:
+        held = sorted({i for a, b in r or () for i in range(a, b)})
+        first = [i for i in held if i - 1 not in held]
+        wanted.append([(i, next(j for j in range(i, 99) if j not in held)) for i in first])
+    assert list(suffix_dedup._merged(spans)) == wanted
+    assert list(suffix_dedup._merged(spans.slice(50, 70))) == wanted[50:120]
+    assert list(suffix_dedup._merged(spans.slice(0, 2))) == [[], []] and list(suffix_dedup._merged(spans.slice(0, 0))) == []
+    assert suffix_dedup._cut(b"0123456789", [(0, 2), (5, 10)]) == b"234"
+
+
+def test_bitmap_lets_pass_what_was_put_in(spark):
+    rng = np.random.default_rng(5)
+    values = rng.integers(-(1 << 63), 1 << 63, 600)
+    for words in (64, 100, 1024):
+        made = bitmap.bitmap_of(spark.createDataFrame([(int(v),) for v in values[:300]], "v long"), words)
+        bits = [{(int(w), int(b)) for w, b in zip(*bitmap._bits(values.view(np.uint64)[i : i + 1], words, f))}
+                for f in range(bitmap.FUNCTIONS) for i in range(len(values))]
+        hit = [all(int(made[w]) & b for one in bits[i :: len(values)] for w, b in one) for i in range(len(values))]
+        assert all(hit[:300]) and bitmap.passes(values.view(np.uint64), made).tolist() == hit
