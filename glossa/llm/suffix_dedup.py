@@ -2,8 +2,9 @@
 
 1. Every window of ``length`` bytes has a smallest k-mer hash. Neighbouring windows of one smallest hash form
    a segment. Equal windows have equal hashes, so only segments of one hash need be compared.
-2. Hashes that occur in one document alone are set aside.
-3. The distinct segments of the other hashes go to tasks by hash. A task cuts them into shards, builds each
+2. Where each segment stands goes to tasks by hash. Hashes that occur in one document alone are set aside.
+3. The distinct segments of the other hashes are cut from their documents' texts, where a hash has several, and go to
+   tasks by hash. A task cuts them into shards, builds each
    shard's transform, and merges the transforms by refining their interleave (Holt and
    McMillan, 2014), here several symbols at a time. Suffixes are not sorted again. After ``length`` symbols the blocks of the interleave are the
    intervals of suffixes with a common prefix of that length: the repeated windows, and the first document of each.
@@ -19,22 +20,23 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm.bitmap import bitmap_of, passes
 from glossa.llm.common import blocks, lean, release, repeats_an_id, utf8
 from glossa.llm.hashing import mix, range_hashes
-from glossa.session import write_scratch
+from glossa.session import scratch_path, scratch_scope
 
 
 @dataclass(frozen=True)
 class SuffixSettings:
     """``length``: bytes of a repeated string (even, 32 to 56). ``most_windows``: windows of a segment.
 
-    ``filter_words``: 64-bit words of the bitmap that tells tasks which hashes may repeat (bounded; when it
-    fills up more rows are shuffled and the result is the same). ``batch`` and ``shard``: bytes of
-    segments merged at once, and of one transform. ``hot``: distinct segments of one hash beyond which its windows
+    ``filter_words``: 64-bit words of the bitmap that tells tasks which documents are cut (bounded; when it
+    fills up more texts are shuffled and the result is the same). ``batch`` and ``shard``: bytes of
+    segments merged at once, and of one transform. ``packed``: places of segments that a task packs, or
+    takes from a part, at once. ``hot``: distinct segments of one hash beyond which its windows
     are grouped by their bytes over all tasks instead.
     """
 
@@ -45,32 +47,35 @@ class SuffixSettings:
     shard: int = 1 << 17
     hot: int = 5000
     piece: int = 1 << 20
+    packed: int = 1 << 19
 
 
-_KMER = 16
+_SHORTEST, _KMER = 32, 24
 # Steps a round of the merge takes at most, and the pairs of a symbol and a rank that are numbered by a table.
 _MOST_STEPS = 10
 _RANKED = 1 << 23
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STRETCH = 1 << 15  # places hashed at once: their numbers stay in a core's cache
 
 
 def _kmer_hashes(buf: np.ndarray) -> np.ndarray:
-    """Hash of the 16 bytes at each place. Each half is folded first, so no two bytes reach the top bits only."""
+    """Hash of the ``_KMER`` bytes at each place. Each third is folded first, so no two bytes reach the top bits only."""
     out = np.empty(max(0, len(buf) - _KMER + 1), dtype=np.uint64)
     for at in range(0, len(out), _STRETCH):
         part = np.ascontiguousarray(buf[at : at + _STRETCH + _KMER - 1])
         eight = np.ndarray(len(part) - 7, dtype="<u8", buffer=part, strides=(1,)).astype(np.uint64)
         eight ^= eight >> np.uint64(32)
-        x = eight[:-8] * np.uint64(0x9E3779B97F4A7C15)
+        x = eight[: len(part) - _KMER + 1] * np.uint64(0x9E3779B97F4A7C15)
+        x += eight[8 : 8 + len(x)] * np.uint64(0x94D049BB133111EB)
         eight *= np.uint64(0xD6E8FEB86659FD93)
-        x += eight[8:]
+        x += eight[_KMER - 8 :]
         x ^= x >> np.uint64(32)
         np.multiply(x, np.uint64(0xBF58476D1CE4E5B9), out=out[at : at + len(x)])
     return out
 
 
 def _window_minima(buf: np.ndarray, length: int) -> np.ndarray:
-    """Smallest hash of the 16-byte strings in each window of ``length`` bytes."""
+    """Smallest hash of the ``_KMER``-byte strings in each window of ``length`` bytes."""
     out = np.empty(max(0, len(buf) - length + 1), dtype=np.uint64)
     wanted = length - _KMER + 1
     for at in range(0, len(out), _STRETCH):
@@ -132,82 +137,232 @@ def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
 
 
-def _census(rows: DataFrame, settings: SuffixSettings) -> DataFrame:
-    """(h, s, first, segs, n): segments of the hashes that occur in several documents.
+# Columns of packed rows. The first two are hashes, which do not compress; of the others the same byte of all rows stands
+# together, and ``doc`` holds differences, so that most of their bytes are zeros.
+_PACKED = {"h": "<u8", "s": "<u8", "doc": "<i8", "version": "<i8", "start": "<u4", "n": "<u4", "segs": "<u4"}
+_HASHES = 16
+_WIDTH = sum(np.dtype(kind).itemsize for kind in _PACKED.values())
+_PARTS = 8  # parts for each partition of a shuffle; a task holds the packed rows of one part at a time
+
+
+def _pack(part: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """(part, data): one row per part with the packed rows of that part."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    columns = {name: columns[name][order].astype(kind) for name, kind in _PACKED.items()}
+    doc = columns["doc"].copy()
+    doc[1:] -= columns["doc"][:-1]
+    doc[at] = columns["doc"][at]
+    rest = [x.view(np.uint8).reshape(len(part), -1) for x in ({**columns, "doc": doc}[name] for name in list(_PACKED)[2:])]
+    planes = np.concatenate(rest, axis=1)
+    data = [
+        columns["h"][a:b].tobytes() + columns["s"][a:b].tobytes() + planes[a:b].T.tobytes()
+        for a, b in zip(at.tolist(), [*at[1:].tolist(), len(part)])
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(part[at].astype(np.int32)), pa.array(data, pa.binary())], names=["part", "data"])
+
+
+def _unpack(packed: list[bytes]) -> dict[str, np.ndarray]:
+    found: dict[str, list[np.ndarray]] = {name: [np.empty(0, kind)] for name, kind in _PACKED.items()}
+    for data in packed:
+        n = len(data) // _WIDTH
+        found["h"].append(np.frombuffer(data, "<u8", n))
+        found["s"].append(np.frombuffer(data, "<u8", n, n * 8))
+        planes, at = np.frombuffer(data, np.uint8, offset=n * _HASHES).reshape(-1, n), 0
+        for name, kind in list(_PACKED.items())[2:]:
+            size = np.dtype(kind).itemsize
+            values = np.ascontiguousarray(planes[at : at + size].T).view(kind).ravel()
+            found[name].append(np.cumsum(values) if name == "doc" else values)
+            at += size
+    return {name: np.concatenate(arrays) for name, arrays in found.items()}
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each part, from batches in the order of ``part``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = batch.column("part").to_numpy()
+        cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)]):
+            if held and held[-1].column("part")[0].as_py() != part[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
 
-    ``first``: smallest document of the segment; ``segs``: distinct segments of the hash. Tasks send
-    one row per hash and segment of a block of documents; a mark tells that it came from several.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            texts = [utf8(t) for t in batch.column("text").to_pylist()]
-            for members, _, parts in _pieces(texts, settings):
-                text, h, s, _, n = segments(parts, settings)
-                if not len(h):
-                    continue
-                doc = ids[np.array(members)[text]]
-                order, at = _groups(s)
-                lead, doc = order[at], doc[order]
-                first = np.minimum.reduceat(doc, at)
-                several = first != np.maximum.reduceat(doc, at)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h[lead].view(np.int64)), pa.array(s[lead].view(np.int64)), pa.array(first),
-                        pa.array((n[lead] * 2 + several).astype(np.int32)),
-                    ],
-                    names=["h", "s", "doc", "n2"],
-                )
-
-    # Both aggregations read one shuffle: its partitions are numbered here, and both use all of its columns, or
-    # Spark would narrow one of them and shuffle twice. Most hashes end without a sort.
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    seen = rows.mapInArrow(lean(run), "h long, s long, doc long, n2 int").repartition(partitions, "h")
-    several = seen.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.max(F.expr("n2 & 1")).alias("f"), F.max("s").alias("s"))
-    several = several.filter("(a <> b or f = 1) and s is not null").select("h")
-    distinct = seen.groupBy("h", "s").agg(F.min("doc").alias("first"), F.max("n2").alias("n2"))
-    return distinct.join(several.hint("shuffle_hash"), "h", "left_semi").select(
-        "h", "s", "first", F.expr("shiftright(n2, 1)").alias("n"),
-        F.expr("count(1) over (partition by h)").cast("int").alias("segs"),
-    )
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, 1 << 16):
+        yield batch.slice(at, 1 << 16)
 
 
-def _occurrences(rows: DataFrame, repeated: np.ndarray, compared: np.ndarray, settings: SuffixSettings) -> DataFrame:
-    """(h, s, doc, version, start, seg) of segments that may repeat. ``seg``: the bytes, once per block of
-    documents, of those that have to be compared with others."""
-    sc = rows.sparkSession.sparkContext
-    sent = sc.broadcast((repeated, compared))
-    length = settings.length
+def _parts(spark: SparkSession) -> int:
+    return _PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _located(rows: DataFrame, settings: SuffixSettings) -> DataFrame:
+    """(part, data): where every segment stands, packed, in parts by smallest hash."""
+    parts = _parts(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may_repeat, may_differ = sent.value
+        held: list[dict[str, np.ndarray]] = []
+        size = 0
+
+        def packed() -> pa.RecordBatch:
+            columns = {name: np.concatenate([x[name] for x in held]) for name in held[0]}
+            return _pack((mix(columns["h"]) % np.uint64(parts)).astype(np.int64), {**columns, "segs": np.zeros(size, np.uint32)})
+
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             versions = batch.column("version").to_numpy(zero_copy_only=False)
             texts = [utf8(t) for t in batch.column("text").to_pylist()]
-            for members, base, parts in _pieces(texts, settings):
-                text, h, s, start, n = segments(parts, settings)
-                hit = passes(h, may_repeat)
-                if not hit.any():
+            for members, base, pieces in _pieces(texts, settings):
+                text, h, s, start, n = segments(pieces, settings)
+                if not len(h):
                     continue
-                text, h, s, start, n = text[hit], h[hit], s[hit], start[hit], n[hit]
-                order, at = _groups(s)
-                lead = order[at]
-                wanted = np.sort(lead[passes(h[lead], may_differ)])
-                seg: list[bytes | None] = [None] * len(s)
-                for i, t, a, c in zip(wanted.tolist(), text[wanted].tolist(), start[wanted].tolist(), n[wanted].tolist()):
-                    seg[i] = parts[t][a : a + c + length - 1]
                 member = np.array(members)[text]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h.view(np.int64)), pa.array(s.view(np.int64)), pa.array(ids[member]), pa.array(versions[member]),
-                        pa.array((start + np.array(base)[text]).astype(np.int64)), pa.array(seg, pa.binary()),
-                    ],
-                    names=["h", "s", "doc", "version", "start", "seg"],
-                )
+                at = (start + np.array(base)[text]).astype(np.uint32)
+                held.append({"h": h, "s": s, "doc": ids[member], "version": versions[member], "start": at, "n": n.astype(np.uint32)})
+                size += len(h)
+                if size >= settings.packed:
+                    yield packed()
+                    held, size = [], 0
+        if held:
+            yield packed()
+
+    return rows.mapInArrow(lean(run), "part int, data binary")
+
 
-    return write_scratch(rows.mapInArrow(lean(run), "h long, s long, doc long, version long, start long, seg binary"), "occurrences")
+def _leads(found: dict[str, np.ndarray], last: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """One row of each hash and segment, that of its smallest document, and the largest document of each (``last``: so far)."""
+    order = np.lexsort((found["doc"], found["s"], found["h"]))
+    h, s = found["h"][order], found["s"][order]
+    at = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (s[1:] != s[:-1])]))
+    return {name: values[order[at]] for name, values in found.items()}, np.maximum.reduceat(last[order], at)
+
+
+def _census(rows: DataFrame, settings: SuffixSettings) -> DataFrame:
+    """(h, s, doc, version, start, n, segs, lead): segments of the hashes that occur in several documents.
+
+    ``segs``: distinct segments of the hash. With ``lead``: a row for each of them, in its smallest document, if the
+    hash has several. Without: every place in a document larger than the first that holds the hash, without h and s
+    if the hash has one segment.
+    """
+    names = ["h", "s", "doc", "version", "start", "n", "segs", "lead"]
+
+    def sent(found: dict[str, np.ndarray], segs: np.ndarray, lead: bool) -> Iterator[pa.RecordBatch]:
+        alone = segs == 1
+        arrays = [
+            np.where(alone, 0, found["h"].view(np.int64)), np.where(alone, 0, found["s"].view(np.int64)), found["doc"], found["version"],
+            found["start"].astype(np.int64), found["n"].astype(np.int32), segs.astype(np.int32), np.full(len(segs), lead),
+        ]
+        yield from _sliced(pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_part(batches):
+            # A part is taken a stretch at a time, twice: a very common hash has any number of rows.
+            packed = table.column("data")
+            stretches = list(blocks([len(x.as_buffer()) for x in packed], settings.packed * _WIDTH))
+            whole = None
+            leads = last = None
+            for a, b in stretches:
+                found = _unpack(packed[a:b].to_pylist())
+                if len(stretches) == 1:
+                    order, at = _groups(found["h"])
+                    doc = found["doc"][order]
+                    several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+                    order = order[np.repeat(several, np.diff(at, append=len(order)))]
+                    found = whole = {name: values[order] for name, values in found.items()}
+                    if not len(order):
+                        break
+                own, most = _leads(found, found["doc"])
+                if leads is not None:
+                    own = {name: np.concatenate([leads[name], own[name]]) for name in own}
+                    own, most = _leads(own, np.concatenate([last, most]))
+                leads, last = own, most
+            if leads is None:
+                continue
+            new = np.concatenate([[True], leads["h"][1:] != leads["h"][:-1]])
+            at = np.flatnonzero(new)
+            h, least, segs = leads["h"][at], np.minimum.reduceat(leads["doc"], at), np.diff(at, append=len(new))
+            several = least != np.maximum.reduceat(last, at)
+            if not several.any():
+                continue
+            wanted = np.repeat(several & (segs > 1), segs)
+            yield from sent({name: values[wanted] for name, values in leads.items()}, np.repeat(segs, segs)[wanted], True)
+            h, least, segs = h[several], least[several], segs[several]
+            for a, b in stretches:
+                found = whole or _unpack(packed[a:b].to_pylist())
+                place = np.minimum(np.searchsorted(h, found["h"]), len(h) - 1)
+                late = np.flatnonzero((h[place] == found["h"]) & (found["doc"] > least[place]))
+                yield from sent({name: values[late] for name, values in found.items()}, segs[place[late]], False)
+
+    schema = "h long, s long, doc long, version long, start long, n int, segs int, lead boolean"
+    return _located(rows, settings).repartition("part").sortWithinPartitions("part").mapInArrow(lean(run), schema)
+
+
+def _fetched(rows: DataFrame, leads: DataFrame, settings: SuffixSettings) -> DataFrame:
+    """(h, s, first, segs, seg): the bytes of segments, cut from their documents' texts."""
+    part = F.pmod(F.xxhash64("doc", "version"), F.lit(_parts(rows.sparkSession))).cast("int").alias("part")
+    length = settings.length
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def packed() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            columns = {name: table.column(name).to_numpy() for name in _PACKED}
+            order = np.argsort(columns["doc"], kind="stable")
+            return _pack(table.column("part").to_numpy()[order], {name: values[order] for name, values in columns.items()})
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= settings.packed:
+                yield packed()
+                held, size = [], 0
+        if size:
+            yield packed()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_part(batches):
+            wanted = _unpack([x for x in table.column("data").to_pylist() if x is not None])
+            if not len(wanted["h"]):
+                continue
+            order = np.lexsort((wanted["version"], wanted["doc"]))
+            wanted = {name: values[order] for name, values in wanted.items()}
+            doc, version = wanted["doc"], wanted["version"]
+            at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (version[1:] != version[:-1])]))
+            ranges = dict(zip(zip(doc[at].tolist(), version[at].tolist()), zip(at.tolist(), [*at[1:].tolist(), len(doc)])))
+            start = wanted["start"].astype(np.int64)
+            end = start + wanted["n"] + (length - 1)
+            for batch in table.to_batches():
+                texts = batch.filter(batch.column("text").is_valid())
+                taken, seg = [], []
+                for key, text in zip(zip(texts.column("doc").to_pylist(), texts.column("version").to_pylist()), texts.column("text")):
+                    a, b = ranges.pop(key, (0, 0))
+                    if a < b:
+                        data = utf8(text.as_py())
+                        taken.append(np.arange(a, b))
+                        seg += [data[i:j] for i, j in zip(start[a:b].tolist(), end[a:b].tolist())]
+                if taken:
+                    rows_of = np.concatenate(taken)
+                    h, s = (wanted[name][rows_of].view(np.int64) for name in ("h", "s"))
+                    arrays = [h, s, doc[rows_of], wanted["segs"][rows_of].astype(np.int32)]
+                    yield from _sliced(pa.RecordBatch.from_arrays([*map(pa.array, arrays), pa.array(seg, pa.binary())], names=["h", "s", "first", "segs", "seg"]))
+            if ranges:
+                raise ValueError(f"{len(ranges)} documents are not what they were when first read")
+
+    asked = leads.select(part, *_PACKED).mapInArrow(lean(pack), "part int, data binary")
+    texts = rows.withColumnRenamed("doc_id", "doc").select(part, F.lit(None).cast("binary").alias("data"), "doc", "version", "text")
+    asked = asked.select("part", "data", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("version"), F.lit(None).cast("string").alias("text"))
+    both = asked.union(texts).repartition("part").sortWithinPartitions("part")
+    return both.mapInArrow(lean(cut), "h long, s long, first long, segs int, seg binary")
 
 
 @dataclass
@@ -441,26 +596,35 @@ def repeated_spans(docs: DataFrame, settings: SuffixSettings = SuffixSettings())
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "version", "text")
     spark = docs.sparkSession
-    census = write_scratch(_census(rows, settings), "segments")
-    release(spark)
-    repeated = bitmap_of(census.select("h"), settings.filter_words)
-    compared = bitmap_of(census.filter("segs > 1").select("h"), settings.filter_words)
-    found = _occurrences(rows, repeated, compared, settings)
-    segs = found.filter(F.col("seg").isNotNull()).select("h", "s", "seg").groupBy("h", "s").agg(F.min("seg").alias("seg"))
-    segs = census.filter("segs > 1").join(segs, ["h", "s"]).select("h", "s", "first", "segs", "seg")
-    runs = _compare(segs, settings).union(
-        census.filter("segs = 1").select("h", "s", F.lit(0).alias("offset"), F.col("n").alias("windows"), "first")
-    )
-    runs = write_scratch(runs, "runs")
-    release(spark)
-    covered = found.select("h", "s", "doc", "version", "start").join(runs, ["h", "s"]).filter(F.col("first") < F.col("doc"))
-    begin = F.col("start") + F.col("offset")
-    spans = covered.groupBy("doc", "version").agg(
-        F.collect_list(F.struct(begin.alias("a"), (begin + F.col("windows") + settings.length - 1).alias("b"))).alias("spans")
-    )
-    spans = write_scratch(spans, "spans")
-    release(spark)
-    return spans
+
+    def write(df: DataFrame, path: str) -> DataFrame:
+        # Its shuffles end with it: on a large table the driver may not have forgotten the plan when it collects garbage.
+        before = spark.conf.get(_CLEANUP, "false")
+        spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("append").parquet(path)
+        finally:
+            spark.conf.set(_CLEANUP, before)
+        release(spark)
+        return spark.read.schema(df.schema).parquet(path)
+
+    # Tables are given back with their scope, the texts' segments once they are compared.
+    spans_path = scratch_path(spark, "spans")
+    with scratch_scope(spark):
+        found = write(_census(rows, settings), scratch_path(spark, "segments"))
+        runs_path = scratch_path(spark, "runs")
+        with scratch_scope(spark):
+            segs = write(_fetched(rows, found.filter("lead"), settings), scratch_path(spark, "bytes"))
+            runs = write(_compare(segs, settings), runs_path)
+        common = found.filter("segs > 1 and not lead").select("h", "s", "doc", "version", "start")
+        common = common.join(runs, ["h", "s"]).filter(F.col("first") < F.col("doc"))
+        begin = F.col("start") + F.col("offset")
+        common = common.select("doc", "version", begin.alias("a"), (begin + F.col("windows") + settings.length - 1).alias("b"))
+        alone = found.filter("segs = 1").select(
+            "doc", "version", F.col("start").alias("a"), (F.col("start") + F.col("n") + settings.length - 1).alias("b")
+        )
+        spans = common.union(alone).groupBy("doc", "version").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+        return write(spans, spans_path)
 
 
 def _merged(spans: pa.Array) -> Iterator[list[tuple[int, int]]]:
@@ -503,8 +667,8 @@ def remove_repeats(docs: DataFrame, settings: SuffixSettings = SuffixSettings(),
     * repeated rows: rows of one doc_id do not remove from one another, and each is cut by its own text
     * empty table: no rows; other columns are not read
     """
-    if settings.length < 2 * _KMER or settings.length > 56 or settings.length % 2:
-        raise ValueError(f"length must be even, at least {2 * _KMER} and at most 56")
+    if settings.length < _SHORTEST or settings.length > 56 or settings.length % 2:
+        raise ValueError(f"length must be even, at least {_SHORTEST} and at most 56")
     named = docs.filter(F.col("doc_id").isNotNull())
     # Rows of one doc_id are told apart by their text; usually there are none.
     version = F.xxhash64("text") if repeats_an_id(named.select("doc_id")) else F.lit(0).cast("long")

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import readwriter
 
 from glossa.llm import bitmap, hashing, suffix_dedup
 from glossa.llm.components import connected_components
@@ -168,6 +169,88 @@ def test_suffix_odd_rows(documents):
         remove_repeats(documents(rows), SuffixSettings(length=20))
 
 
+@pytest.fixture
+def rows_written(monkeypatch, spark):
+    """Rows of the tables written so far."""
+    written, write = [], readwriter.DataFrameWriter.parquet
+
+    def counted(self, path, *args, **kwargs):
+        write(self, path, *args, **kwargs)
+        written.append(spark.read.parquet(path).count())
+
+    monkeypatch.setattr(readwriter.DataFrameWriter, "parquet", counted)
+    return written
+
+
+def random_texts(seed, n, size):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size)) for _ in range(n)]
+
+
+def test_suffix_tables_hold_what_repeats_alone(documents, rows_written):
+    """However small the bitmap is beside the hashes that repeat: segments of one document alone are not written."""
+    texts = random_texts(10, 200, 600)
+    rows = [*enumerate(texts), (500, "x" + texts[3][100:300] + "y"), (501, "z" + texts[9][:80])]
+    assert removed(documents(rows), SuffixSettings(filter_words=1)) == brute.suffix_dedup(rows, 50)
+    assert sum(rows_written) < 200
+
+
+def test_suffix_short_common_strings_are_not_compared(documents, rows_written):
+    """A phrase of 20 bytes in every document makes no segment of one a segment of another."""
+    rows = [(i, x[:100] + "a phrase that all use"[:20] + x[100:]) for i, x in enumerate(random_texts(11, 200, 200))]
+    assert removed(documents(rows)) == brute.suffix_dedup(rows, 50)
+    assert sum(rows_written) == 0
+
+
+def test_suffix_shuffles_end_with_their_tables(documents, spark, monkeypatch):
+    """Also where the driver's garbage collection does not find them."""
+    def shuffled():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {x for x in held.split() if x.startswith("shuffle_")}
+
+    monkeypatch.setattr(suffix_dedup, "release", lambda spark: None)
+    texts = random_texts(17, 30, 300)
+    docs = documents([*enumerate(texts), (50, texts[3]), (51, texts[5][:90] + texts[6])]).withColumn("version", F.lit(0).cast("long"))
+    cleanup, before = spark.conf.get(suffix_dedup._CLEANUP), shuffled()
+    spans = suffix_dedup.repeated_spans(docs)
+    assert shuffled() <= before and spark.conf.get(suffix_dedup._CLEANUP) == cleanup
+    assert sorted(r.doc for r in spans.collect()) == [50, 51]
+
+
+@pytest.mark.parametrize("packed", [1, 40, 1 << 20])
+def test_suffix_common_hash_in_stretches(documents, packed):
+    """A part's rows taken in one stretch and in several; rows of one id, and a document that holds a passage twice."""
+    line, other = random_texts(12, 2, 60)
+    rows = [(i, x + line + y) for i, (x, y) in enumerate(zip(random_texts(13, 40, 70), random_texts(14, 40, 70)))]
+    rows += [(100, line), (101, line), (-5, other + line[:55]), (102, other + "-" + other + line), (2**62, other)]
+    assert removed(documents(rows), SuffixSettings(packed=packed)) == brute.suffix_dedup(rows, 50)
+    again = [(7, line + "a"), (7, line + "b" + line), (7, line + "a"), (3, line[5:])]
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in remove_repeats(documents(again), SuffixSettings(packed=packed)).collect())
+    assert got == [(3, 55, 0), (7, 61, 55), (7, 61, 55), (7, 121, 110)]
+
+
+def test_suffix_shortest_length(documents):
+    rng = random.Random(15)
+    base = ["".join(rng.choice("abc ") for _ in range(150)) for _ in range(5)]
+    rows = [(i, b[rng.randrange(60):] + rng.choice(base)[: rng.randrange(80)]) for i, b in enumerate(base * 8)]
+    assert removed(documents(rows), SuffixSettings(length=32)) == brute.suffix_dedup(rows, 32)
+
+
+def test_suffix_rows_packed_and_unpacked():
+    rng = np.random.default_rng(16)
+    n, low, high = 300, -(1 << 63), (1 << 63) - 1
+    columns = {"h": rng.integers(0, 1 << 64, n, dtype=np.uint64), "s": rng.integers(0, 1 << 64, n, dtype=np.uint64)}
+    columns |= {"doc": rng.integers(low, high, n), "version": rng.integers(low, high, n)}
+    columns["doc"][:4] = [low, high, low, 0]
+    columns |= {name: rng.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32) for name in ("start", "n", "segs")}
+    part = rng.integers(0, 7, n)
+    packed = suffix_dedup._pack(part, columns)
+    assert packed.column("part").to_pylist() == sorted(set(part.tolist()))
+    order = np.argsort(part, kind="stable")
+    got = suffix_dedup._unpack(packed.column("data").to_pylist())
+    assert list(got) == list(columns) and all((got[name] == columns[name][order]).all() for name in columns)
+
+
 def shards_of(strings, shard):
     """Shards of strings over the symbols 1 and up, and the rotations of all strings by row."""
     shards, rotations = [], []
